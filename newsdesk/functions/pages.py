@@ -15,10 +15,12 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements without content, and elements whose content is no text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 OPAQUE = frozenset(("script", "style"))
+ANCHOR = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
 
 # ---------------------------------------------------------------- built-in expressions
 
@@ -59,14 +61,13 @@ def extract_attribute(html: Column, tag: str, attribute: str) -> Column:
 
 def extract_links(html: Column) -> Column:
     """All anchors with a link, in order, as array<struct<title, url>>."""
-    anchor = F.lit(r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>')
-    shown = visible(html)
-    zipped = F.arrays_zip(
-        F.regexp_extract_all(shown, anchor, F.lit(2)).alias("title"),
-        F.regexp_extract_all(shown, anchor, F.lit(1)).alias("url"),
-    )
+    anchors = F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0))
     return F.transform(
-        zipped, lambda a: F.struct(inner_text(a["title"]).alias("title"), a["url"].alias("url"))
+        anchors,
+        lambda m: F.struct(
+            inner_text(F.regexp_extract(m, ANCHOR, 2)).alias("title"),
+            F.regexp_extract(m, ANCHOR, 1).alias("url"),
+        ),
     )
 
 
@@ -82,12 +83,11 @@ def element_markup(html: Column, tag: str) -> Column:
 
 def element_links(html: Column, tag: str) -> Column:
     """First link inside every element of a kind, as array<struct<title, url>>."""
-    anchor = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
     links = F.transform(
         element_markup(html, tag),
         lambda m: F.struct(
-            inner_text(F.regexp_extract(m, anchor, 2)).alias("title"),
-            F.nullif(F.regexp_extract(m, anchor, 1), F.lit("")).alias("url"),
+            inner_text(F.regexp_extract(m, ANCHOR, 2)).alias("title"),
+            F.nullif(F.regexp_extract(m, ANCHOR, 1), F.lit("")).alias("url"),
         ),
     )
     return F.filter(links, lambda a: a["url"].isNotNull())
@@ -231,7 +231,11 @@ def _rules(text: str) -> dict:
 
 # ---------------------------------------------------------------- Arrow-batched extractors
 
-BLOCKS = "array<struct<pos:int,fields:map<string,string>,href:string>>"
+# Result types as objects: worker processes import this module and have no session to parse text.
+_TEXT, _INT = T.StringType(), T.IntegerType()
+BLOCKS = T.ArrayType(
+    T.StructType().add("pos", _INT).add("fields", T.MapType(_TEXT, _TEXT)).add("href", _TEXT)
+)
 
 
 @F.pandas_udf(BLOCKS)
@@ -253,7 +257,11 @@ def extract_blocks(html: pd.Series, rules: pd.Series) -> pd.Series:
     return pd.Series([one(h, r) for h, r in zip(html, rules)])
 
 
-BODY = "struct<date:string,body:array<struct<pos:int,kind:string,value:string>>>"
+BODY = (
+    T.StructType()
+    .add("date", _TEXT)
+    .add("body", T.ArrayType(T.StructType().add("pos", _INT).add("kind", _TEXT).add("value", _TEXT)))
+)
 
 
 @F.pandas_udf(BODY)
@@ -284,8 +292,15 @@ def extract_body(html: pd.Series, rules: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(h, r) for h, r in zip(html, rules)], columns=["date", "body"])
 
 
-TAGGED = (
-    "array<struct<region:string,pos:int,writer:string,date:string,title:string,url:string,tags:array<string>>>"
+TAGGED = T.ArrayType(
+    T.StructType()
+    .add("region", _TEXT)
+    .add("pos", _INT)
+    .add("writer", _TEXT)
+    .add("date", _TEXT)
+    .add("title", _TEXT)
+    .add("url", _TEXT)
+    .add("tags", T.ArrayType(_TEXT))
 )
 
 
@@ -321,7 +336,7 @@ def extract_tagged_cards(html: pd.Series, rules: pd.Series) -> pd.Series:
     return pd.Series([one(h, r) for h, r in zip(html, rules)])
 
 
-REGION = "struct<block:string,links:array<string>>"
+REGION = T.StructType().add("block", _TEXT).add("links", T.ArrayType(_TEXT))
 
 
 @F.pandas_udf(REGION)

@@ -99,8 +99,9 @@ def ngrams(words: Column, n: int) -> Column:
     """Array of the n-grams of a token array, each joined by blanks."""
     if n == 1:
         return words
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
+    # Single items are read in constant time; a slice would copy the whole array for each n-gram.
+    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
     return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsdesk.operators.joins import accepted_rows, join_unique
+from newsdesk.operators.joins import accepted_rows
 from newsdesk.session import cut_lineage
 
 MIN_EDGE = 100
@@ -89,6 +89,7 @@ def cooccurrence_nodes(edges: DataFrame) -> DataFrame:
     partners of any node by the square root of twice the number of edges; every triangle is then
     found exactly once.
     """
+    edges = cut_lineage(edges)
     nodes = both_ways(edges).groupBy("token").agg(
         F.count("*").alias("degree"), F.sum("n").alias("weighted_degree")
     )
@@ -96,7 +97,8 @@ def cooccurrence_nodes(edges: DataFrame) -> DataFrame:
     a = degree.toDF("a", "da")
     b = degree.toDF("b", "db")
     forward = F.struct("da", "a") < F.struct("db", "b")
-    oriented = join_unique(join_unique(edges.select("a", "b"), a, "a"), b, "b").select(
+    ranked = edges.select("a", "b").join(a, "a").join(b, "b")
+    oriented = ranked.select(
         F.when(forward, F.col("a")).otherwise(F.col("b")).alias("low"),
         F.when(forward, F.col("b")).otherwise(F.col("a")).alias("high"),
         F.when(forward, F.col("db")).otherwise(F.col("da")).alias("rank"),

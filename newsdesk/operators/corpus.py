@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsdesk.functions import text as tx
 from newsdesk.operators.joins import join_unique
@@ -46,7 +47,7 @@ def split_tokens(docs: DataFrame, text: str, out: str = "words") -> DataFrame:
 
 def apply_tokenizer(make: Callable[[], Callable[[str], list[str]]]) -> Callable[[Column], Column]:
     """Column function from a tokenizer factory; the tokenizer is made once per worker task."""
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = make()
         for batch in batches:
@@ -113,7 +114,7 @@ def wordcloud_weight(
     group = list(group)
     counts = token_counts(docs, words, group)
     if stopwords is not None:
-        counts = join_unique(counts, stopwords.toDF("token").distinct(), "token", "left_anti")
+        counts = anti_join_stopwords(counts, stopwords)
     best = cap_per_group(counts, group, [F.desc("n"), "token"], max_words, rank="rank")
     largest = F.max("n").over(W.partitionBy(*group))
     return best.withColumn("size", F.col("n") / largest * max_size)

@@ -111,12 +111,17 @@ def nest_snapshot(ranked: DataFrame, articles: DataFrame, keys: list[str], top:
     return joined.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("rank_list"))
 
 
+def snapshot_lists(ranked: DataFrame, keys: list[str], top: int = TOP_RANKS) -> DataFrame:
+    """One row per snapshot with `ranked`, its words in rank order as array<struct<rank, word>>."""
+    words = cap_per_group(ranked.select(*keys, "rank", "word"), keys, ["rank", "word"], top)
+    return words.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("ranked"))
+
+
 def snapshot_tags(ranked: DataFrame, keys: list[str], ts: str, top: int = TOP_RANKS) -> DataFrame:
     """One published record per snapshot with its ordered tag list: words, then date tags."""
-    words = cap_per_group(ranked.select(*keys, "rank", "word"), keys, ["rank", "word"], top)
-    grouped = words.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("_w"))
-    names = F.transform("_w", lambda w: tx.without_commas(w["word"]))
-    return grouped.select(*keys, F.concat(names, tm.date_tag_names(F.col(ts))).alias("tags"))
+    lists = snapshot_lists(ranked, keys, top)
+    names = F.transform("ranked", lambda w: tx.without_commas(w["word"]))
+    return lists.select(*keys, F.concat(names, tm.date_tag_names(F.col(ts))).alias("tags"))
 
 
 def filter_tag(records: DataFrame, tag: str, tags: str = "tags", date: str | None = None,

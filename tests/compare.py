@@ -64,7 +64,7 @@ def main() -> None:
     parser.add_argument("--skip-to")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles = connect(args.sf), entry.queries(), entry.oracle_sql()
     bad = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsdesk.functions import text as tx
@@ -24,6 +24,18 @@ def pairs(items: Column, skip: int = 0, names: tuple[str, str] = ("title", "url"
     return F.when(count >= 1, made).otherwise(F.slice(made, 1, 0))
 
 
+def item_rows(df: DataFrame, array: str, *keep: str, item: str = "item", pos: str | None = None) -> DataFrame:
+    """One row per item of an array column, with its zero-based position if `pos` names one.
+
+    For a plain `explode` the optimiser adds a filter on the size of the array and pushes it below
+    the projection that computes the array, so a costly array is computed twice, and inside a
+    lambda once per item.  The outer form with a filter on its output avoids that.
+    """
+    if pos is None:
+        return df.select(*keep, F.explode_outer(array).alias(item)).filter(F.col(item).isNotNull())
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, item)).filter(F.col(pos).isNotNull())
+
+
 def alternating(pair_list: Column, names: tuple[str, str] = ("title", "url")) -> Column:
     """The inverse of `pairs`."""
     return F.flatten(F.transform(pair_list, lambda p: F.array(p[names[0]], p[names[1]])))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsdesk.functions import arrays as ar
 from newsdesk.functions import text as tx
 from newsdesk.operators.joins import join_unique
 from newsdesk.operators.ranking import cap_per_group, topk
@@ -67,7 +68,8 @@ def anti_join_stopwords(counts: DataFrame, stopwords: DataFrame, token: str = "t
 
 
 def token_counts(docs: DataFrame, words: str = "words", group: Iterable[str] = ()) -> DataFrame:
-    tokens = docs.select(*group, F.explode(words).alias("token"))
+    group = list(group)
+    tokens = ar.item_rows(docs, words, *group, item="token")
     return tokens.groupBy(*group, "token").agg(F.count("*").alias("n"))
 
 
@@ -84,7 +86,7 @@ def ngram_count(
         return counts if stopwords is None else anti_join_stopwords(counts, stopwords)
     if doc is None:
         raise ValueError("n-grams behind stopwords need a document id")
-    long = docs.select(doc, F.posexplode(words).alias("pos", "token"))
+    long = ar.item_rows(docs, words, doc, item="token", pos="pos")
     kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti")
     order = W.partitionBy(doc).orderBy("pos")
     parts = [F.col("token"), *[F.lead("token", i).over(order) for i in range(1, n)]]

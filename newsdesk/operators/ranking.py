@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from newsdesk.functions import arrays as ar
+
 
 def position_rank(lists: DataFrame, items: str, out: str = "word") -> DataFrame:
     """One row per list item with its rank, starting at 1."""
     others = [c for c in lists.columns if c != items]
-    long = lists.select(*others, F.posexplode(items).alias("rank", out))
+    long = ar.item_rows(lists, items, *others, item=out, pos="rank")
     return long.withColumn("rank", F.col("rank") + 1)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsdesk.functions import arrays as ar
 from newsdesk.functions import text as tx
 from newsdesk.functions import times as tm
 from newsdesk.operators.novelty import map_union
@@ -133,7 +134,7 @@ def filter_tag(records: DataFrame, tag: str, tags: str = "tags", date: str | Non
 
 def tag_options(records: DataFrame, tags: str = "tags") -> DataFrame:
     """The distinct tags in use."""
-    return records.select(F.explode(tags).alias("tag")).distinct()
+    return ar.item_rows(records, tags, item="tag").distinct()
 
 
 def tag_rank_counts(records: DataFrame, keys: list[str], tags: str = "tags") -> DataFrame:

@@ -91,7 +91,7 @@ def regex_after(spark, sf):
 
 @query("resolve_url", rf"WITH {st.SHOWN}, {st.LINKS} SELECT page_id, pos, {st.SQL_RESOLVED} AS link FROM links")
 def resolve_url(spark, sf):
-    links = st.page_links(spark, sf).select("page_id", "url", F.posexplode("links").alias("pos", "a"))
+    links = ar.item_rows(st.page_links(spark, sf), "links", "page_id", "url", item="a", pos="pos")
     return links.select("page_id", F.col("pos").cast("bigint").alias("pos"),
                         ln.resolve_url(F.col("url"), F.col("a.url")).alias("link"))
 
@@ -213,6 +213,6 @@ SELECT source, ts, word AS tag, rank FROM snap
 UNION ALL SELECT source, ts, '@' || strftime(ts, '%m') || '月', 99 FROM t""")
 def date_tag_test(spark, sf):
     lists = trends.snapshot_tags(st.snapshot(spark, sf), ["source", "ts"], "ts")
-    long = lists.select("source", "ts", F.posexplode("tags").alias("pos", "tag"))
+    long = ar.item_rows(lists, "tags", "source", "ts", item="tag", pos="pos")
     ranked = long.select("source", "ts", "tag", tx.tag_rank(F.col("tag"), F.col("pos")).cast("bigint").alias("rank"))
     return ranked.filter("tag NOT LIKE '%年' AND tag NOT LIKE '%日'")

@@ -32,20 +32,23 @@ def join_unique(
     The rows of the `hot` most frequent keys stay where they are and meet a broadcast of at most
     `hot` rows; every other key holds less than 1/hot of the rows and takes the ordinary join.
     Rows with a NULL key match nothing and skip the shuffle.  `hot=0` leaves the choice to Spark.
+
+    `left` is read three times: give it a scan, or cut the lineage of a costly frame before.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not hot:
         return left.join(right, keys, how)
     heavy = F.broadcast(heavy_keys(left, keys, hot))
     heavy_right = F.broadcast(right.join(heavy, keys, "left_semi"))
-    hot_part = left.join(heavy, keys, "left_semi").join(heavy_right, keys, how)
     known = left.dropna("any", subset=keys)
-    cold_part = known.join(heavy, keys, "left_anti").join(right, keys, how)
-    out = hot_part.unionByName(cold_part)
+    spread = known.join(heavy, keys, "left_anti").join(right, keys, how)
     if how in ("left", "left_outer", "left_anti"):
+        marked = left.join(heavy.withColumn("_hot", F.lit(True)), keys, "left")
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        out = out.unionByName(left.filter(no_key), allowMissingColumns=True)
-    return out
+        local = marked.filter(F.col("_hot").isNotNull() | no_key).drop("_hot")
+    else:
+        local = known.join(heavy, keys, "left_semi")
+    return local.join(heavy_right, keys, how).unionByName(spread)
 
 
 def accepted_rows(rows: DataFrame, judged: DataFrame, keys: list[str], hot: int = HOT_KEYS) -> DataFrame:

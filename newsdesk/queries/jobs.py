@@ -106,9 +106,21 @@ def _news_rules(spark, sf):
     return jobs.news_by_rules(conf, landed, details, history, "site", "Nicht")
 
 
-@query("job_news_rules")
+@query("job_news_rules", rf"""WITH {st.SHOWN}, li AS (
+  SELECT page_id, regexp_extract(html, '(?i)<html\b[^>]*\blang="([^"]*)"', 1) AS lang,
+    unnest(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1)) AS markup,
+    generate_subscripts(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1), 1) - 1 AS pos FROM shown),
+topics AS (SELECT lang, page_id * 1048576 + pos AS seq, {st.sql_text('markup')} AS headline,
+  'https://site.example' || regexp_extract(markup, 'href="([^"]*)"', 1) AS url
+  FROM li WHERE page_id NOT IN (SELECT page_id FROM pages WHERE contains(html, 'Nicht'))),
+known AS (SELECT regexp_extract(html, '<li><a href="([^"]*)"', 1) AS href FROM pages WHERE page_id % 2 = 0),
+past AS (SELECT lang, -1 AS seq, regexp_replace(href, '^/', '') AS headline, 'https://site.example' || href AS url
+  FROM known, (VALUES ('en'), ('fr'), ('de'), ('es')) v(lang)),
+firsts AS (SELECT *, min(seq) OVER (PARTITION BY lang, headline) AS fh, min(seq) OVER (PARTITION BY lang, url) AS fu
+  FROM (SELECT * FROM topics UNION ALL SELECT * FROM past))
+SELECT headline, url FROM firsts WHERE seq >= 0 AND (fh = seq OR fu = seq)""")
 def job_news_rules(spark, sf):
-    return _news_rules(spark, sf)["pages"]
+    return _news_rules(spark, sf)["pages"].select("headline", "url")
 
 
 @query("job_news_rules_refused", "SELECT url FROM pages WHERE contains(html, 'Nicht')")
@@ -143,11 +155,14 @@ def job_news_cards(spark, sf):
     return shown.select("url", "date", author.alias("author"))
 
 
-@query("job_tech_articles")
+@query("job_tech_articles", rf"""SELECT {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title,
+  '2024-01-0' || (page_id % 7 + 1) AS date, 'tech' AS database FROM pages""")
 def job_tech_articles(spark, sf):
     pages = st.table(spark, sf, "pages")
     conf = pages.select(F.substring_index("url", "://", -1).alias("word"))
-    landed = pages.select(F.concat(F.lit("s://"), F.substring_index("url", "://", -1)).alias("url"), "html")
+    stamp = F.concat(F.lit('<article><time datetime="2024-01-0'), F.col("page_id") % 7 + 1, F.lit('"></time>'))
+    landed = pages.select(F.concat(F.lit("s://"), F.substring_index("url", "://", -1)).alias("url"),
+                          F.replace("html", F.lit("<article>"), stamp).alias("html"))
     text = F.lit(None).cast("string")
     history = conf.select("word", text.alias("writer"), text.alias("date"), text.alias("title"), text.alias("url"),
                           F.lit("Site").alias("site"), F.lit("https://site.example/").alias("site_url"),

@@ -93,18 +93,25 @@ def extract_blocks_by_class(spark, sf):
     return blocks.groupBy("page_id").agg(F.count("*").alias("blocks"))
 
 
-@query("extract_body")
+# An open paragraph ends where the next one starts or its article ends.
+@query("extract_body", rf"""WITH {st.SHOWN}, m AS (SELECT page_id,
+  regexp_extract_all(regexp_replace(html, '<p>', '</p><p>', 'g'), '(?s)<p>(.*?)(?:</p>|</article>)', 1) AS ps FROM shown),
+p AS (SELECT page_id, unnest(ps) AS markup, (generate_subscripts(ps, 1) - 1)::BIGINT AS pos FROM m)
+SELECT page_id, pos, 'paragraph' AS kind, {st.sql_text('markup')} AS value FROM p""")
 def extract_body(spark, sf):
     pages = st.table(spark, sf, "pages")
     read = pages.select("page_id", pg.extract_body(F.col("html"), F.lit(BODY_RULES)).alias("a"))
-    return read.select("page_id", F.col("a.date").alias("date"), F.inline("a.body"))
+    return read.select("page_id", F.inline("a.body")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-@query("extract_tagged_cards")
+@query("extract_tagged_cards", rf"""WITH {st.SHOWN} SELECT page_id, 'top' AS region, 0::BIGINT AS pos,
+  {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS writer,
+  {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title, '' AS tags FROM shown""")
 def extract_tagged_cards(spark, sf):
     pages = st.table(spark, sf, "pages")
     cards = pages.select("page_id", F.inline(pg.extract_tagged_cards(F.col("html"), F.lit(CARD_RULES))))
-    return cards.withColumn("tags", F.array_join("tags", "|"))
+    return cards.select("page_id", "region", F.col("pos").cast("bigint").alias("pos"), "writer", "title",
+                        F.array_join("tags", "|").alias("tags"))
 
 
 @query("extract_region_text", rf"""WITH {st.SHOWN}, {st.LINKS}

@@ -19,10 +19,12 @@ from newsdesk.functions import text as tx
 from newsdesk.operators.joins import join_unique
 from newsdesk.operators.ranking import cap_per_group, topk
 
-# Sizes of the charts these tables feed, and the word classes that carry content.
+# Sizes of the charts these tables feed, the word classes that carry content; and
+# the longest stopword list that is put into an expression.
 TOP_NGRAMS = 400
 CLOUD_WORDS = 100
 CLOUD_SIZE = 100
+STOP_LITERALS = 1000
 CONTENT_CLASSES = ("名詞", "形容詞", "動詞")
 
 
@@ -73,6 +75,21 @@ def token_counts(docs: DataFrame, words: str = "words", group: Iterable[str] = (
     return tokens.groupBy(*group, "token").agg(F.count("*").alias("n"))
 
 
+def without_stopwords(docs: DataFrame, doc: str, words: str, stopwords: DataFrame) -> DataFrame:
+    """(doc, words) with the stopwords taken out and the order kept.
+
+    A list of at most `STOP_LITERALS` words is put into the expression and nothing moves; a longer
+    one is joined to the tokens, which then go back into order per document.
+    """
+    listed = [r[0] for r in stopwords.toDF("token").distinct().limit(STOP_LITERALS + 1).collect()]
+    if len(listed) <= STOP_LITERALS:
+        return docs.select(doc, F.filter(words, lambda t: ~t.isin(listed)).alias(words))
+    long = ar.item_rows(docs, words, doc, item="token", pos="pos")
+    kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti")
+    ordered = kept.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("t"))
+    return ordered.select(doc, F.col("t.token").alias(words))
+
+
 def ngram_count(
     docs: DataFrame, words: str = "words", n: int = 1, stopwords: DataFrame | None = None, doc: str | None = None
 ) -> DataFrame:
@@ -80,18 +97,14 @@ def ngram_count(
 
     `doc` (a unique document id) is needed only for n > 1 together with stopwords.
     """
-    if stopwords is None or n == 1:
-        grams = docs.select(tx.ngrams(F.col(words), n).alias("words"))
-        counts = token_counts(grams)
+    if n == 1:
+        counts = token_counts(docs, words)
         return counts if stopwords is None else anti_join_stopwords(counts, stopwords)
-    if doc is None:
-        raise ValueError("n-grams behind stopwords need a document id")
-    long = ar.item_rows(docs, words, doc, item="token", pos="pos")
-    kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti")
-    order = W.partitionBy(doc).orderBy("pos")
-    parts = [F.col("token"), *[F.lead("token", i).over(order) for i in range(1, n)]]
-    grams = kept.select(F.array(*parts).alias("parts")).filter(F.get("parts", F.lit(n - 1)).isNotNull())
-    return grams.groupBy(F.array_join("parts", " ").alias("token")).agg(F.count("*").alias("n"))
+    if stopwords is not None:
+        if doc is None:
+            raise ValueError("n-grams behind stopwords need a document id")
+        docs = without_stopwords(docs, doc, words, stopwords)
+    return token_counts(docs.select(tx.ngrams(F.col(words), n).alias("words")))
 
 
 def top_ngrams(counts: DataFrame, k: int = TOP_NGRAMS) -> DataFrame:

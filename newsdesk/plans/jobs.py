@@ -258,7 +258,7 @@ def text_profile(docs: DataFrame, doc: str, text: str, group: str, min_edge: int
                  min_freq: int = 0) -> dict[str, DataFrame]:
     """All text tables of a corpus: n-grams, shares, document weights, graph, communities."""
     words = corpus.split_tokens(docs, text)
-    counts = corpus.token_counts(words)
+    counts = cut_lineage(corpus.token_counts(words))
     stop = corpus.frequency_stopwords(counts, top_n, min_freq)
     kept = corpus.anti_join_stopwords(counts, stop)
     edges = co.cooccurrence_edges(words, doc, min_edge=min_edge, stopwords=stop)

@@ -55,7 +55,7 @@ g AS (SELECT token || ' ' || lead(token) OVER (PARTITION BY doc_id ORDER BY pos)
 SELECT token, count(*) AS n FROM g WHERE token IS NOT NULL GROUP BY token""")
 def ngram_count_pairs_stopwords(spark, sf):
     words = st.words(spark, sf)
-    stop = corpus.frequency_stopwords(corpus.token_counts(words), top_n=20)
+    stop = corpus.frequency_stopwords(st.counts(spark, sf), top_n=20)
     return corpus.ngram_count(words, n=2, stopwords=stop, doc="doc_id")
 
 
@@ -72,7 +72,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, token) A
 SELECT source, token, n, rank, round(n * 100.0::DOUBLE / max(n) OVER (PARTITION BY source), 6) AS size FROM r""")
 def wordcloud_weight(spark, sf):
     words = st.words(spark, sf)
-    stop = corpus.frequency_stopwords(corpus.token_counts(words), top_n=20)
+    stop = corpus.frequency_stopwords(st.counts(spark, sf), top_n=20)
     cloud = corpus.wordcloud_weight(words, group=["source"], stopwords=stop)
     return cloud.withColumns({"rank": F.col("rank").cast("bigint"), "size": F.round("size", 6)})
 
@@ -80,7 +80,7 @@ def wordcloud_weight(spark, sf):
 @query("frequency_stopwords", f"""WITH {st.TOK}, counts AS (SELECT token, count(*) AS n FROM tok GROUP BY token)
 SELECT token FROM counts WHERE n <= 2 UNION SELECT token FROM (SELECT token FROM counts ORDER BY n DESC, token LIMIT 50)""")
 def frequency_stopwords(spark, sf):
-    return corpus.frequency_stopwords(corpus.token_counts(st.words(spark, sf)), top_n=50, min_freq=2)
+    return corpus.frequency_stopwords(st.counts(spark, sf), top_n=50, min_freq=2)
 
 
 def edges(spark, sf):

@@ -73,7 +73,7 @@ def title_lookup(spark, sf):
 @query("anti_join_stopwords", f"""WITH {st.TOK}, {st.TOP}
 SELECT token, n FROM counts WHERE token NOT IN (SELECT token FROM stop)""")
 def anti_join_stopwords(spark, sf):
-    counts = corpus.token_counts(st.words(spark, sf))
+    counts = st.counts(spark, sf)
     return corpus.anti_join_stopwords(counts, corpus.frequency_stopwords(counts, top_n=20))
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from newsdesk.functions import pages as pg
 from newsdesk.functions import times as tm
 from newsdesk.operators import corpus, trends
-from newsdesk.session import shared_dir, tune
+from newsdesk.session import cut_lineage, shared_dir, tune
+from newsdesk.sources import tables
 
 SPLIT = "2024-01-16"
 POSTS_PER_CHAIN = 1 << 20
@@ -23,7 +24,8 @@ POST_SITE = "https://posts.example"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf}/{name}.parquet")
+    rows = tune(spark).read.parquet(f"{sf}/{name}.parquet")
+    return tables.spread(rows) if name in ("documents", "pages") else rows
 
 
 def scratch(spark: SparkSession) -> str:
@@ -74,6 +76,11 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.split_tokens(docs, "text").drop("text")
 
 
+def counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Token counts of the corpus, stored once because stopwords and rests are made from them."""
+    return cut_lineage(corpus.token_counts(words(spark, sf)))
+
+
 TOK = r"""tok AS (
   SELECT doc_id, source, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents)"""
 

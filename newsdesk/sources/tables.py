@@ -32,6 +32,16 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> bool:
     return existed
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that arrives in too few pieces to be split by the scan.
+
+    Costly per-row work (tokens, page trees) would otherwise run in as many tasks as there are row
+    groups.  Tables with enough pieces are left alone, so nothing moves at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def filter_contains(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.filter(F.col(column).contains(part))
 

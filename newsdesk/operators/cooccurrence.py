@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsdesk.functions import arrays as ar
 from newsdesk.operators.joins import accepted_rows
 from newsdesk.session import cut_lineage
 
 MIN_EDGE = 100
+# Vocabularies up to this size are counted as a matrix per task, larger ones as rows.
+MATRIX_TOKENS = 2000
+MATRIX_DOCS = 2048
 TILE = 128
-BROADCAST_TOKENS = 200_000
-
-
-def _frequent_tokens(tokens: DataFrame, judged: DataFrame) -> DataFrame:
-    """Token rows judged `ok`; a vocabulary of checked size is broadcast, a larger one joined."""
-    vocabulary = cut_lineage(judged.filter("ok").select("token"))
-    if vocabulary.count() <= BROADCAST_TOKENS:
-        return tokens.join(F.broadcast(vocabulary), "token", "left_semi")
-    return accepted_rows(tokens, judged, ["token"])
 
 
 def cooccurrence_edges(
@@ -27,50 +26,92 @@ def cooccurrence_edges(
     words: str = "words",
     min_edge: int = MIN_EDGE,
     stopwords: DataFrame | None = None,
-    tile: int = TILE,
+    matrix_tokens: int = MATRIX_TOKENS,
 ) -> DataFrame:
     """Unordered token pairs (a < b) that share at least `min_edge` documents.
 
     An edge needs both tokens in `min_edge` documents, so rarer tokens leave before any pair is
-    formed (exact).  The frequent tokens of a document are cut into tiles; a task meets one tile
-    against another, never a whole document against itself, and pairs are summed inside each task
-    before the shuffle.
+    counted (exact).  What is left is usually a short vocabulary: its size is checked, and each task
+    then sums one matrix over its documents instead of making pairs.  A longer vocabulary is
+    counted by `_pairs_by_tiles`.
     """
-    tokens = docs.select(doc, F.explode(F.array_distinct(words)).alias("token"))
+    tokens = ar.item_rows(docs.select(doc, F.array_distinct(words).alias("t")), "t", doc, item="token")
     judged = tokens.groupBy("token").agg(F.count("*").alias("n")).withColumn("ok", F.col("n") >= min_edge)
     if stopwords is not None:
         marked = stopwords.toDF("token").distinct().withColumn("stop", F.lit(True))
         judged = judged.join(marked, "token", "left").withColumn("ok", F.col("ok") & F.col("stop").isNull())
-    kept = _frequent_tokens(tokens, judged.select("token", "n", "ok"))
+    judged = cut_lineage(judged.select("token", "n", "ok"))
+    listed = judged.filter("ok").select("token").limit(matrix_tokens + 1).collect()
+    if len(listed) <= matrix_tokens:
+        pairs = _pairs_by_matrix(docs, words, sorted(r[0] for r in listed))
+    else:
+        pairs = _pairs_by_tiles(tokens, doc, judged)
+    return pairs.filter(F.col("n") >= min_edge)
+
+
+def _pairs_by_matrix(docs: DataFrame, words: str, vocabulary: list[str]) -> DataFrame:
+    """Pair counts over a short vocabulary: one matrix per task, summed by pair."""
+    kept = docs.select(F.filter(words, lambda t: t.isin(vocabulary)).alias("t"))
+    local = kept.mapInPandas(_matrix_counter(vocabulary), "a string, b string, n bigint")
+    return local.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _matrix_counter(vocabulary: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    names = np.array(vocabulary, dtype=object)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = pd.Index(names)
+        total = np.zeros((len(names), len(names)), dtype=np.int64)
+        for batch in batches:
+            for start in range(0, len(batch), MATRIX_DOCS):
+                lists = batch["t"].iloc[start : start + MATRIX_DOCS].tolist()
+                sizes = [len(t) for t in lists]
+                if not sum(sizes):
+                    continue
+                held = np.zeros((len(lists), len(names)), dtype=np.float32)
+                held[np.repeat(np.arange(len(lists)), sizes), index.get_indexer(np.concatenate(lists))] = 1
+                total += (held.T @ held).astype(np.int64)
+        a, b = np.nonzero(np.triu(total, 1))
+        yield pd.DataFrame({"a": names[a], "b": names[b], "n": total[a, b]})
+
+    return count
+
+
+def _pairs_by_tiles(tokens: DataFrame, doc: str, judged: DataFrame, tile: int = TILE) -> DataFrame:
+    """Pair counts over a long vocabulary.
+
+    The frequent tokens of a document are cut into tiles; a task meets one tile against another,
+    never a whole long document against itself, and pairs are summed inside each task before the
+    shuffle.
+    """
+    kept = accepted_rows(tokens, judged, ["token"])
     per_doc = kept.groupBy(doc).agg(F.sort_array(F.collect_list("token")).alias("t"))
-    tiles = F.ceil(F.size("t") / tile).cast("int")
-    small = per_doc.filter(F.size("t") <= tile).select(F.col("t").alias("left"), F.lit(None).alias("right"))
-    # Long documents: one row per pair of tiles, dealt out over all tasks.
-    last = tiles - 1
+    none = F.lit(None).cast("array<string>")
+    small = per_doc.filter(F.size("t") <= tile).select(F.col("t").alias("left"), none.alias("right"))
+    last = F.floor((F.size("t") - 1) / tile).cast("int")
     grid = F.flatten(
         F.transform(
             F.sequence(F.lit(0), last),
             lambda i: F.transform(F.sequence(i, last), lambda j: F.struct(i.alias("i"), j.alias("j"))),
         )
     )
+    # Long documents: one row per pair of tiles, dealt out over all tasks.
+    cut = lambda at: F.slice("t", at * tile + 1, F.lit(tile))
     dealt = (
         per_doc.filter(F.size("t") > tile)
         .select(doc, "t", F.explode(grid).alias("g"))
         .select(
-            doc,
-            F.col("g.i").alias("i"),
-            F.col("g.j").alias("j"),
-            F.slice("t", F.col("g.i") * tile + 1, F.lit(tile)).alias("left"),
-            F.when(F.col("g.i") != F.col("g.j"), F.slice("t", F.col("g.j") * tile + 1, F.lit(tile))).alias("right"),
+            doc, "g.i", "g.j", cut(F.col("g.i")).alias("left"),
+            F.when(F.col("g.i") != F.col("g.j"), cut(F.col("g.j"))).alias("right"),
         )
         .repartition(doc, "i", "j")
         .select("left", "right")
     )
-    blocks = small.select("left", F.col("right").cast("array<string>")).unionByName(dealt)
+    blocks = small.unionByName(dealt)
     firsts = blocks.select(F.posexplode("left").alias("p", "a"), "left", "right")
     partners = F.coalesce(F.col("right"), F.slice("left", F.col("p") + 2, F.lit(tile)))
     pairs = firsts.select("a", F.explode(partners).alias("b"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter(F.col("n") >= min_edge)
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

@@ -95,11 +95,12 @@ def trend_realtime(
         F.col("url").alias("link"),
         ln.resolve_url(F.col("url"), pg.link_by_text(pg.extract_links(F.col("html")), anchor)).alias("url"),
     )
+    feeds = cut_lineage(feeds)
     items = joins.join_unique(feeds, feed_pages, "url").select(
         "link",
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), item), trends.ARTICLES_FEED)).alias("pos", "a"),
     )
-    articles = words.join(items, "link").select("name", "ts", "word", "pos", "a.title", "a.url")
+    articles = words.join(cut_lineage(items), "link").select("name", "ts", "word", "pos", "a.title", "a.url")
     shown = words.withColumns({"label": F.col("word"), "engine": F.lit("off")})
     out = _trend_documents(shown, articles, trends.ARTICLES_FEED)
     out["matrix"] = trends.matrix_cells(words.select(F.col("name").alias("source"), "ts", "rank", "word"))

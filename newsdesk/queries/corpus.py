@@ -89,6 +89,18 @@ def edges(spark, sf):
     return co.cooccurrence_edges(st.words(spark, sf), "doc_id", min_edge=floor)
 
 
+@query("cooccurrence_edges_tiled", f"""WITH {st.TOK}, dt AS (SELECT DISTINCT doc_id, token FROM tok),
+floor AS (SELECT count(*) // 8 AS m FROM documents),
+kept AS (SELECT doc_id, token FROM dt WHERE token IN (
+  SELECT token FROM dt GROUP BY token HAVING count(*) >= (SELECT m FROM floor)))
+SELECT x.token AS a, y.token AS b, count(*) AS n FROM kept x JOIN kept y ON x.doc_id = y.doc_id AND x.token < y.token
+GROUP BY ALL HAVING count(*) >= (SELECT m FROM floor)""")
+def cooccurrence_edges_tiled(spark, sf):
+    """The way of a long vocabulary."""
+    floor = max(st.table(spark, sf, "documents").count() // 8, 1)
+    return co.cooccurrence_edges(st.words(spark, sf), "doc_id", min_edge=floor, matrix_tokens=0)
+
+
 EDGES = f"""{st.TOK}, dt AS (SELECT DISTINCT doc_id, token FROM tok),
 floor AS (SELECT count(*) // 10 AS m FROM documents),
 kept AS (SELECT doc_id, token FROM dt WHERE token IN (

@@ -99,13 +99,13 @@ def apply_config(rows: DataFrame, conf: DataFrame, key: str, value: str, pos: st
 
 
 def title_lookup(docs: DataFrame, titles: DataFrame, title: str, pos: str) -> DataFrame:
-    """First document (smallest `pos`, unique per document) of every wanted title that exists.
+    """First document (smallest `pos`, unique per title) of every wanted title that exists.
 
     Titles are matched on narrow columns; texts are fetched for the winners only.
     """
     wanted = join_unique(docs.select(title, pos), titles.select(title).distinct(), title, "left_semi")
-    winners = wanted.groupBy(title).agg(F.min(pos).alias(pos)).select(pos)
-    return docs.join(winners, pos, "left_semi")
+    winners = wanted.groupBy(title).agg(F.min(pos).alias(pos))
+    return docs.join(winners, [title, pos], "left_semi")
 
 
 def link_blocks(blocks: DataFrame, pages: DataFrame, key: str = "page_key") -> DataFrame:

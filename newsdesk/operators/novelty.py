@@ -15,7 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsdesk.operators.joins import HOT_KEYS, accepted_rows, join_unique
+from newsdesk.operators.joins import HOT_KEYS, accepted_rows
+from newsdesk.session import cut_lineage
+
+# Keys of a batch that are sent to the history instead of shuffling it.
+BROADCAST_KEYS = 500_000
 
 
 def _cell(df: DataFrame, name: str) -> Column:
@@ -48,18 +52,33 @@ def compared_columns(batch: DataFrame, excluded: Iterable[str]) -> list[str]:
     return [c for c in batch.columns if c not in excluded]
 
 
-def seen_cells(history: DataFrame, batch: DataFrame, columns: list[str], group: Iterable[str] = ()) -> DataFrame:
-    """Distinct cell values of history; repeated values are combined before the shuffle."""
+def unseen(tally: DataFrame, past: DataFrame, key: list[str]) -> DataFrame:
+    """The tally (one row per key) with the verdict `ok`: the key does not occur in `past`.
+
+    A batch is usually small against its history.  The tally is stored and counted: up to
+    `BROADCAST_KEYS` keys it is sent to the history, which is then filtered where it lies and
+    never shuffled; beyond that, history is reduced to distinct keys before the join.
+    """
+    tally = cut_lineage(tally)
+    if tally.count() <= BROADCAST_KEYS:
+        known = past.join(F.broadcast(tally.select(*key)), key, "left_semi").distinct()
+    else:
+        known = past.distinct()
+    judged = tally.join(known.withColumn("_known", F.lit(True)), key, "left")
+    return judged.withColumn("ok", F.col("_known").isNull()).drop("_known")
+
+
+def past_cells(history: DataFrame, batch: DataFrame, columns: list[str], group: Iterable[str] = ()) -> DataFrame:
+    """The cells of history in the batch's types, one row per cell."""
     group = list(group)
-    past = history.select(*[F.col(g) for g in group], *_aligned(history, batch, columns))
-    return cells(past, columns, group).distinct()
+    return cells(history.select(*group, *_aligned(history, batch, columns)), columns, group)
 
 
 def rows_with_fresh_cells(
-    batch: DataFrame, seen: DataFrame, row_id: str, columns: list[str], group: Iterable[str] = (),
+    batch: DataFrame, past: DataFrame, row_id: str, columns: list[str], group: Iterable[str] = (),
     hot: int = HOT_KEYS,
 ) -> DataFrame:
-    """Batch rows with a cell outside `seen` (distinct group, col, val).
+    """Batch rows with a cell outside `past` (group, col, val).
 
     Values are first counted and judged once each, so the comparison with history has one row per
     value on both sides.  The verdict then returns to the rows: the most frequent values by
@@ -67,9 +86,7 @@ def rows_with_fresh_cells(
     """
     key = [*group, "col", "val"]
     ours = cells(batch, columns, [row_id, *group])
-    tally = ours.groupBy(*key).agg(F.count("*").alias("n"))
-    judged = tally.join(seen.withColumn("known", F.lit(True)), key, "left")
-    judged = judged.select(*key, "n", F.col("known").isNull().alias("ok"))
+    judged = unseen(ours.groupBy(*key).agg(F.count("*").alias("n")), past, key)
     fresh = accepted_rows(ours, judged, key, hot).select(row_id).distinct()
     return batch.join(fresh, row_id, "left_semi")
 
@@ -88,8 +105,8 @@ def novelty_cells(
     columns = compared_columns(batch, [row_id, *group, *excluded])
     if any(c not in history.columns for c in columns):
         return batch
-    seen = seen_cells(history, batch, columns, group)
-    return rows_with_fresh_cells(batch, seen, row_id, columns, group, hot)
+    past = past_cells(history, batch, columns, group)
+    return rows_with_fresh_cells(batch, past, row_id, columns, group, hot)
 
 
 def novelty_rows(batch: DataFrame, history: DataFrame, excluded: Iterable[str] = ()) -> DataFrame:
@@ -102,9 +119,9 @@ def novelty_rows(batch: DataFrame, history: DataFrame, excluded: Iterable[str] =
     keys = [f"_k_{c}" for c in columns]
     ours = batch.withColumns({f"_k_{c}": _cell(batch, c) for c in columns})
     past = history.select(*_aligned(history, batch, columns))
-    theirs = past.select(*[_cell(past, c).alias(f"_k_{c}") for c in columns]).distinct()
-    fresh = ours.select(*keys).distinct().join(theirs, keys, "left_anti")
-    return join_unique(ours, fresh, keys, "left_semi").select(*batch.columns)
+    theirs = past.select(*[_cell(past, c).alias(f"_k_{c}") for c in columns])
+    judged = unseen(ours.groupBy(*keys).agg(F.count("*").alias("n")), theirs, keys)
+    return accepted_rows(ours, judged, keys).select(*batch.columns)
 
 
 def novelty_sequential(
@@ -112,26 +129,19 @@ def novelty_sequential(
 ) -> DataFrame:
     """Novelty with history growing row after row: repeats inside the batch are not new again.
 
-    `seq` (0, 1, … and unique within `group`) gives the order.  A row is new when it is the first
-    to hold some value, history coming before all rows; the minimum per value is combined before
-    the shuffle and the result is matched back on the unique (group, seq).
+    `seq` (unique within `group`) gives the order.  A row is new when it is the first to hold some
+    value that history does not have; the minimum per value is combined before the shuffle and the
+    result is matched back on the unique (group, seq).
     """
     group = list(group)
     columns = compared_columns(batch, [seq, *group, *excluded])
     if any(c not in history.columns for c in columns):
         return batch
-    ours = cells(batch, columns, [*group, seq])
-    past = cells(history.select(*group, *_aligned(history, batch, columns)), columns, group)
-    first = (
-        ours.withColumn(seq, F.col(seq).cast("long"))
-        .unionByName(past.withColumn(seq, F.lit(-1).cast("long")))
-        .groupBy(*group, "col", "val")
-        .agg(F.min(seq).alias(seq))
-        .filter(F.col(seq) >= 0)
-        .select(*group, seq)
-        .distinct()
-    )
-    return batch.join(first, [*group, seq], "left_semi")
+    key = [*group, "col", "val"]
+    first = cells(batch, columns, [*group, seq]).groupBy(*key).agg(F.min(seq).alias(seq))
+    judged = unseen(first, past_cells(history, batch, columns, group), key)
+    fresh = judged.filter("ok").select(*group, seq).distinct()
+    return batch.join(fresh, [*group, seq], "left_semi")
 
 
 def merge_newest_first(

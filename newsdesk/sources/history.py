@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsdesk.operators.joins import accepted_rows
-from newsdesk.operators.novelty import cells, compared_columns
+from newsdesk.operators.novelty import cells, compared_columns, unseen
 
 
 class History:
@@ -45,7 +45,7 @@ class History:
         """Store a batch and return its new rows.
 
         Everything after the first write works on the stored batch, so the batch itself is
-        computed once.
+        computed once; of history only the seen values of the batch's own cells are looked up.
         """
         columns = compared_columns(batch, [self.row_id, *self.group, *self.excluded])
         rows_at, seen_at = (f"{self.folder}/{part}/batch_id={batch_id}" for part in ("log", "seen"))
@@ -53,12 +53,10 @@ class History:
         stored = self.spark.read.schema(batch.schema).parquet(rows_at)
         rows = cells(stored, columns, [self.row_id, *self.group])
         tally = rows.groupBy(*self.key).agg(F.count("*").alias("n"))
-        past = self.seen(batch_id).select(*self.key)
-        tally.join(past, self.key, "left_anti").write.mode("overwrite").parquet(seen_at)
-        fresh = self.spark.read.schema(self.seen_schema).parquet(seen_at).select(*self.key, F.lit(True).alias("ok"))
-        judged = tally.join(fresh, self.key, "left").fillna(False, subset=["ok"])
-        new_ids = accepted_rows(rows, judged, self.key).select(self.row_id).distinct()
-        return stored.join(new_ids, self.row_id, "left_semi")
+        judged = unseen(tally, self.seen(batch_id).select(*self.key), self.key)
+        judged.filter("ok").select(*self.key, "n").write.mode("overwrite").parquet(seen_at)
+        fresh = accepted_rows(rows, judged, self.key).select(self.row_id).distinct()
+        return stored.join(fresh, self.row_id, "left_semi")
 
     def current(self) -> DataFrame:
         """All stored rows without repeats; of equal rows the newest copy stays."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
@@ -19,18 +19,26 @@ def block_rows(df: DataFrame, key: Column, blocks: Column) -> DataFrame:
     return listed.select("page_key", "block_pos", F.to_json("block").alias("payload"))
 
 
-def publish_pages(pages: DataFrame, folder: str, partition: str = "database") -> None:
+def _writer(df: DataFrame, run: str | int | None) -> tuple[DataFrameWriter, str]:
+    """A named run replaces its own folder when it is repeated; without a name rows are appended."""
+    return (df.write.mode("append"), "") if run is None else (df.write.mode("overwrite"), f"/run={run}")
+
+
+def publish_pages(pages: DataFrame, folder: str, run: str | int | None = None, partition: str = "database") -> None:
     """Write page documents, one folder per database.
 
     Tasks write their own files for every database they hold, so a large database needs no shuffle.
     """
-    pages.write.mode("append").partitionBy(partition).json(folder)
+    writer, place = _writer(pages, run)
+    writer.partitionBy(partition).json(folder + place)
 
 
-def publish_blocks(blocks: DataFrame, folder: str) -> None:
-    blocks.write.mode("append").parquet(folder)
+def publish_blocks(blocks: DataFrame, folder: str, run: str | int | None = None) -> None:
+    writer, place = _writer(blocks, run)
+    writer.parquet(folder + place)
 
 
-def write_targets(df: DataFrame, folder: str, target: str = "target") -> None:
+def write_targets(df: DataFrame, folder: str, run: str | int | None = None, target: str = "target") -> None:
     """One table per target value inside one partitioned folder."""
-    df.write.mode("append").partitionBy(target).parquet(folder)
+    writer, place = _writer(df, run)
+    writer.partitionBy(target).parquet(folder + place)

@@ -36,8 +36,9 @@ def model_sequential(batch, past):
 
 
 @pytest.mark.parametrize("seed", range(5))
-@pytest.mark.parametrize("hot", [1, 256])
-def test_novelty_models(spark, seed, hot):
+@pytest.mark.parametrize("hot, broadcast", [(1, 0), (256, 500_000)])
+def test_novelty_models(spark, seed, hot, broadcast, monkeypatch):
+    monkeypatch.setattr(novelty, "BROADCAST_KEYS", broadcast)
     batch, past = frames(seed)
     b, h = spark.createDataFrame(batch, SCHEMA), spark.createDataFrame(past, SCHEMA)
     got = [r.id for r in novelty.novelty_cells(b, h, "id", hot=hot).orderBy("id").collect()]

@@ -116,7 +116,8 @@ def test_publishing(spark, tmp_path):
     assert {(r.database, json.loads(r.payload)["properties"]["Name"]["title"][0]["plain_text"]) for r in stored.collect()} == {("db1", "a"), ("db2", "b")}
     body = F.transform(tx.lines(F.col("text")), lambda t, i: F.struct(i.alias("pos"), F.lit("paragraph").alias("kind"), t.alias("value")))
     blocks = sinks.block_rows(docs, key, pl.body_blocks(key, body))
-    sinks.publish_blocks(blocks, str(tmp_path / "blocks"))
+    for _ in range(2):  # a named run replaces itself
+        sinks.publish_blocks(blocks, str(tmp_path / "blocks"), run=7)
     linked = joins.link_blocks(spark.read.parquet(str(tmp_path / "blocks")), pages.select("page_key", "id"))
     assert sorted((r.id, r.block_pos) for r in linked.collect()) == [("a", 0), ("a", 1), ("b", 0)]
     sinks.write_targets(tables.with_target(docs, "db", "id"), str(tmp_path / "targets"))

@@ -85,7 +85,7 @@ def without_stopwords(docs: DataFrame, doc: str, words: str, stopwords: DataFram
     if len(listed) <= STOP_LITERALS:
         return docs.select(doc, F.filter(words, lambda t: ~t.isin(listed)).alias(words))
     long = ar.item_rows(docs, words, doc, item="token", pos="pos")
-    kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti")
+    kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti", narrow=True)
     ordered = kept.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("t"))
     return ordered.select(doc, F.col("t.token").alias(words))
 

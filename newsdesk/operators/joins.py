@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsdesk.functions import text as tx
 
 HOT_KEYS = 256
+NARROW_ROWS = 200_000
 
 
 def heavy_keys(df: DataFrame, keys: list[str], n: int = HOT_KEYS) -> DataFrame:
@@ -25,10 +26,14 @@ def heavy_keys(df: DataFrame, keys: list[str], n: int = HOT_KEYS) -> DataFrame:
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", hot: int = HOT_KEYS
+    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", hot: int = HOT_KEYS,
+    narrow: bool = False,
 ) -> DataFrame:
     """Join `left` with `right`, which holds at most one row per key.
 
+    `narrow` says that the rows of `right` are short (keys and a few labels): it is then counted,
+    and broadcast if it has at most `NARROW_ROWS` rows.  Otherwise:
+
     The rows of the `hot` most frequent keys stay where they are and meet a broadcast of at most
     `hot` rows; every other key holds less than 1/hot of the rows and takes the ordinary join.
     Rows with a NULL key match nothing and skip the shuffle.  `hot=0` leaves the choice to Spark.
@@ -36,6 +41,8 @@ def join_unique(
     `left` is read three times: give it a scan, or cut the lineage of a costly frame before.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if narrow and right.limit(NARROW_ROWS + 1).count() <= NARROW_ROWS:
+        return left.join(F.broadcast(right), keys, how)
     if not hot:
         return left.join(right, keys, how)
     heavy = F.broadcast(heavy_keys(left, keys, hot))
@@ -67,7 +74,7 @@ def accepted_rows(rows: DataFrame, judged: DataFrame, keys: list[str], hot: int
 def semi_join_new_dates(records: DataFrame, fresh: DataFrame, date: str | list[str] = "date") -> DataFrame:
     """Every record that shares its date (and further key columns, if named) with a new record."""
     keys = [date] if isinstance(date, str) else list(date)
-    return join_unique(records, fresh.select(*keys).distinct(), keys, "left_semi")
+    return join_unique(records, fresh.select(*keys).distinct(), keys, "left_semi", narrow=True)
 
 
 def join_author(posts: DataFrame, users: DataFrame, author: str = "author_id", user: str = "id") -> DataFrame:
@@ -76,7 +83,7 @@ def join_author(posts: DataFrame, users: DataFrame, author: str = "author_id", u
         F.col(user).alias(author),
         *[F.col(c).alias(f"user_{c}") for c in users.columns if c != user],
     )
-    return join_unique(posts, named, author)
+    return join_unique(posts, named, author, narrow=True)
 
 
 def join_detail(topics: DataFrame, details: DataFrame, on: str = "url") -> DataFrame:
@@ -103,7 +110,7 @@ def title_lookup(docs: DataFrame, titles: DataFrame, title: str, pos: str) -> Da
 
     Titles are matched on narrow columns; texts are fetched for the winners only.
     """
-    wanted = join_unique(docs.select(title, pos), titles.select(title).distinct(), title, "left_semi")
+    wanted = join_unique(docs.select(title, pos), titles.select(title).distinct(), title, "left_semi", narrow=True)
     winners = wanted.groupBy(title).agg(F.min(pos).alias(pos))
     return docs.join(winners, [title, pos], "left_semi")
 
@@ -125,7 +132,7 @@ def translate_lookup(
     active = tx.engine_name(F.col(engine))
     if page_title is not None:
         active = F.when(F.col(page_title).contains("japan"), F.lit("none")).otherwise(active)
-    joined = join_unique(rows.withColumn("_engine", active), known, ["_engine", text], "left")
+    joined = join_unique(rows.withColumn("_engine", active), known, ["_engine", text], "left", narrow=True)
     suffix = F.when(F.col("_dst").isNull(), F.lit("")).otherwise(
         tx.translated_suffix(F.col("_engine"), F.col("_dst"))
     )

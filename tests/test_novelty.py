@@ -104,8 +104,9 @@ def test_join_unique_with_a_hot_key(spark, how):
     right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 50, 2)], "k string, v bigint")
     plain = left.join(right, "k", how).collect()
     split = joins.join_unique(left, right, "k", how, hot=1).collect()
+    narrow = joins.join_unique(left, right, "k", how, narrow=True).collect()
     shape = lambda rs: sorted(str(sorted(r.asDict().items())) for r in rs)
-    assert shape(plain) == shape(split)
+    assert shape(plain) == shape(split) == shape(narrow)
 
 
 def test_join_detail_and_config(spark):

@@ -57,7 +57,8 @@ def unseen(tally: DataFrame, past: DataFrame, key: list[str]) -> DataFrame:
 
     A batch is usually small against its history.  The tally is stored and counted: up to
     `BROADCAST_KEYS` keys it is sent to the history, which is then filtered where it lies and
-    never shuffled; beyond that, history is reduced to distinct keys before the join.
+    never shuffled; beyond that, history is reduced to distinct keys before the join.  The verdicts
+    are stored as well: they are used several times and history must be read only once.
     """
     tally = cut_lineage(tally)
     if tally.count() <= BROADCAST_KEYS:
@@ -65,7 +66,7 @@ def unseen(tally: DataFrame, past: DataFrame, key: list[str]) -> DataFrame:
     else:
         known = past.distinct()
     judged = tally.join(known.withColumn("_known", F.lit(True)), key, "left")
-    return judged.withColumn("ok", F.col("_known").isNull()).drop("_known")
+    return cut_lineage(judged.withColumn("ok", F.col("_known").isNull()).drop("_known"))
 
 
 def past_cells(history: DataFrame, batch: DataFrame, columns: list[str], group: Iterable[str] = ()) -> DataFrame:

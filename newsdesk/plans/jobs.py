@@ -17,7 +17,7 @@ from newsdesk.functions import text as tx
 from newsdesk.functions import times as tm
 from newsdesk.operators import cooccurrence as co
 from newsdesk.operators import corpus, joins, novelty, ranking, trends
-from newsdesk.session import cut_lineage
+from newsdesk.session import store
 from newsdesk.sources import sinks, tables
 
 SEQ_PER_PAGE = 1 << 20
@@ -33,7 +33,7 @@ def _trend_documents(ranked: DataFrame, articles: DataFrame, per_word: int) -> d
         ranked, articles.join(ranked.select(*keys).distinct(), ["name", "ts"]), keys,
         per_word=per_word, label="label",
     )
-    nested = cut_lineage(nested)
+    nested = store(nested)
     key = pl.page_key(F.col("name"), F.col("ts"))
     words = F.transform("rank_list", lambda e: e["word"])
     stamp = tm.compact_to_iso(tm.to_compact(F.col("ts")))
@@ -56,7 +56,7 @@ def trend_country(
     top = ranking.limit_rank(ranked)
     words = joins.apply_config(top, conf, "country", "search_url", "pos")
     words = words.withColumns({"name": F.concat(F.lit(f"{title}  "), "country"), "engine": F.lit(engine)})
-    words = cut_lineage(joins.translate_lookup(words, memory, "engine", "word", "label", "name"))
+    words = store(joins.translate_lookup(words, memory, "engine", "word", "label", "name"))
     queries = words.filter(ln.link_host_contains(F.col("search_url"), reader)).select("search_url", "word").distinct()
     landed = joins.join_unique(queries, search_pages, ["search_url", "word"])
     found = landed.select(
@@ -64,7 +64,7 @@ def trend_country(
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), block), trends.ARTICLES_SEARCH)).alias("pos", "a"),
     ).select("search_url", "word", "pos", F.col("a.title").alias("title"),
              ln.resolve_url(F.col("search_url"), F.col("a.url")).alias("url"))
-    found = cut_lineage(found)
+    found = store(found)
     articles = words.select("name", "engine", "ts", "search_url", "word").join(found, ["search_url", "word"])
     articles = joins.translate_lookup(articles, memory, "engine", "title", "shown", "name")
     articles = articles.select("name", "ts", "word", "pos", F.col("shown").alias("title"), "url")
@@ -89,18 +89,18 @@ def trend_realtime(
         "name", "ts", (F.col("pos") + 1).alias("rank"), F.col("e.word").alias("word"),
         ln.resolve_url(F.col("url"), F.get("links", F.col("pos"))).alias("link"),
     )
-    words = cut_lineage(ranking.limit_rank(words))
+    words = store(ranking.limit_rank(words))
     results = joins.join_unique(words.select(F.col("link").alias("url")).distinct(), result_pages, "url")
     feeds = results.select(
         F.col("url").alias("link"),
         ln.resolve_url(F.col("url"), pg.link_by_text(pg.extract_links(F.col("html")), anchor)).alias("url"),
     )
-    feeds = cut_lineage(feeds)
+    feeds = store(feeds)
     items = joins.join_unique(feeds, feed_pages, "url").select(
         "link",
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), item), trends.ARTICLES_FEED)).alias("pos", "a"),
     )
-    articles = words.join(cut_lineage(items), "link").select("name", "ts", "word", "pos", "a.title", "a.url")
+    articles = words.join(store(items), "link").select("name", "ts", "word", "pos", "a.title", "a.url")
     shown = words.withColumns({"label": F.col("word"), "engine": F.lit("off")})
     out = _trend_documents(shown, articles, trends.ARTICLES_FEED)
     out["matrix"] = trends.matrix_cells(words.select(F.col("name").alias("source"), "ts", "rank", "word"))
@@ -139,14 +139,14 @@ def news_by_rules(
         F.col("fields")["author"].alias("author"),
         ln.resolve_url(F.col("base_url"), F.col("href")).alias("url"),
     )
-    topics = cut_lineage(topics)
+    topics = store(topics)
     readers = topics.filter("url IS NOT NULL").groupBy("url").agg(F.max("body_rules").alias("body_rules"))
     read = joins.join_unique(readers, details, "url").select(
         "url", pg.extract_body(F.col("html"), F.col("body_rules")).alias("a")
     )
     full = joins.join_detail(topics.drop("body_rules"), read.select("url", "a.date", "a.body"), "url")
-    full = cut_lineage(tables.with_target(full, "site", "category"))
-    fresh = cut_lineage(novelty.novelty_sequential(full, history, "seq", ["target"], ["body"]))
+    full = store(tables.with_target(full, "site", "category"))
+    fresh = store(novelty.novelty_sequential(full, history, "seq", ["target"], ["body"]))
     return {"topics": full.drop("body"), "new": fresh.drop("body"), "refused": refused, **_news_documents(fresh)}
 
 
@@ -163,7 +163,7 @@ def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: s
         F.inline(F.array(tx.headline_summary(F.col("c.text")))),
         F.col("c.url").alias("url"),
     )
-    topics = cut_lineage(topics).filter("headline IS NOT NULL")
+    topics = store(topics).filter("headline IS NOT NULL")
     texts = F.transform(pg.element_markup(F.col("html"), "p"), pg.inner_text)
     body = F.transform(
         ar.trim_ends(texts),
@@ -175,9 +175,9 @@ def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: s
         tm.iso_to_jst(pg.extract_meta(F.col("html"), published)).alias("date"),
         body.alias("body"),
     )
-    full = cut_lineage(joins.join_detail(topics, read, "url"))
-    fresh = cut_lineage(novelty.novelty_cells(full.drop("body"), history, "row_id"))
-    shown = cut_lineage(joins.semi_join_new_dates(full, fresh))
+    full = store(joins.join_detail(topics, read, "url"))
+    fresh = store(novelty.novelty_cells(full.drop("body"), history, "row_id"))
+    shown = store(joins.semi_join_new_dates(full, fresh))
     documents = _news_documents(shown.withColumn("category", F.lit(None).cast("string")))
     return {"cards": full.drop("body"), "new": fresh, **documents}
 
@@ -198,8 +198,8 @@ def tech_articles(conf: DataFrame, pages: DataFrame, history: DataFrame, rules:
         F.lit(site).alias("site"), F.lit(site_url).alias("site_url"),
         (F.col("region") == featured).alias("pick_up"), F.lit("none").alias("summary"),
     )
-    rows = cut_lineage(rows)
-    fresh = cut_lineage(novelty.novelty_cells(rows.drop("tags"), history, "row_id", group=["word"]))
+    rows = store(rows)
+    fresh = store(novelty.novelty_cells(rows.drop("tags"), history, "row_id", group=["word"]))
     shown = joins.semi_join_new_dates(rows, fresh, ["word", "date"])
     key = pl.page_key(F.col("site"), F.col("word"), F.col("url"), F.col("pick_up"))
     payload = pl.article_page(*[F.col(c) for c in (
@@ -243,8 +243,8 @@ def flat_posts(posts: DataFrame, users: DataFrame, site: str, per_user: int) ->
 
 def posts_by_user(posts: DataFrame, users: DataFrame, history: DataFrame, site: str, per_user: int) -> dict[str, DataFrame]:
     """Newest posts of every user, those that are new in the user's own history, and their pages."""
-    rows = cut_lineage(flat_posts(posts, users, site, per_user).withColumn("row_id", F.col("post_id")))
-    fresh = cut_lineage(novelty.novelty_cells(rows, history, "row_id", group=["user_name"]))
+    rows = store(flat_posts(posts, users, site, per_user).withColumn("row_id", F.col("post_id")))
+    fresh = store(novelty.novelty_cells(rows, history, "row_id", group=["user_name"]))
     payload = pl.post_page(*[F.col(c) for c in (
         "post_type", "user_id", "post_id", "text", "post_url", "post_time", "user_name", "ref_text", "ref_url")])
     return {
@@ -259,7 +259,7 @@ def text_profile(docs: DataFrame, doc: str, text: str, group: str, min_edge: int
                  min_freq: int = 0) -> dict[str, DataFrame]:
     """All text tables of a corpus: n-grams, shares, document weights, graph, communities."""
     words = corpus.split_tokens(docs, text)
-    counts = cut_lineage(corpus.token_counts(words))
+    counts = store(corpus.token_counts(words))
     stop = corpus.frequency_stopwords(counts, top_n, min_freq)
     kept = corpus.anti_join_stopwords(counts, stop)
     edges = co.cooccurrence_edges(words, doc, min_edge=min_edge, stopwords=stop)
@@ -275,7 +275,7 @@ def text_profile(docs: DataFrame, doc: str, text: str, group: str, min_edge: int
 
 def text_graph(edges: DataFrame) -> dict[str, DataFrame]:
     """Node measures and communities of a co-occurrence graph."""
-    stored = cut_lineage(edges)
+    stored = store(edges)
     labels = co.communities(stored)
     return {"nodes": co.cooccurrence_nodes(stored), "communities": co.community_shares(labels, stored)}
 

@@ -10,6 +10,7 @@ from newsdesk.operators import cooccurrence as co
 from newsdesk.operators import corpus
 from newsdesk.queries import standins as st
 from newsdesk.queries.registry import query
+from newsdesk.session import store
 
 
 @query("pos_filter", "SELECT event_id, user_id, event_type FROM events WHERE event_type IN ('click', 'view', 'error')")
@@ -143,7 +144,5 @@ w AS (SELECT token, sum(n)::BIGINT AS weight FROM both_ways GROUP BY token)
 SELECT l5.label AS community, token, weight, round(weight / sum(weight) OVER (PARTITION BY l5.label), 9) AS share
 FROM l5 JOIN w USING (token)""")
 def communities(spark, sf):
-    from newsdesk.session import cut_lineage
-
-    stored = cut_lineage(edges(spark, sf))
+    stored = store(edges(spark, sf))
     return co.community_shares(co.communities(stored), stored).withColumn("share", F.round("share", 9))

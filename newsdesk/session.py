@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and go on from there (survives executor loss)."""
+    """Checkpoint a narrow frame in the shared folder (survives executor loss).
+
+    For verdicts, labels, pointers and vocabularies that loops and repeated joins start from.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write a frame of records as a columnar table in the shared folder and go on from there.
+
+    For records that several results are made from: each reads only its columns, and joins are
+    planned from the real size.
+    """
+    spark = df.sparkSession
+    place = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)

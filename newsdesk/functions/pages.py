@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -177,9 +176,13 @@ def _tree(html: str | None) -> _Node:
     return builder.root
 
 
-@lru_cache(maxsize=256)
+_parsed: dict[str, object] = {}
+
+
 def _steps(selector: str):
     """`tag.class > tag` as a list of (direct child?, tag, classes)."""
+    if selector in _parsed:
+        return _parsed[selector]
     steps, direct = [], False
     for part in selector.split():
         if part == ">":
@@ -188,7 +191,8 @@ def _steps(selector: str):
         tag, *classes = part.split(".")
         steps.append((direct, tag, frozenset(classes)))
         direct = False
-    return tuple(steps)
+    _parsed[selector] = tuple(steps)
+    return _parsed[selector]
 
 
 def _fits(node: _Node, step) -> bool:
@@ -224,9 +228,10 @@ def _text_of(node):
     return None if node is None else node.text()
 
 
-@lru_cache(maxsize=256)
 def _rules(text: str) -> dict:
-    return json.loads(text)
+    if text not in _parsed:
+        _parsed[text] = json.loads(text)
+    return _parsed[text]
 
 
 # ---------------------------------------------------------------- Arrow-batched extractors

@@ -26,12 +26,12 @@ SEQ_PER_PAGE = 1 << 20
 def _trend_documents(ranked: DataFrame, articles: DataFrame, per_word: int) -> dict[str, DataFrame]:
     """Pages and blocks of ranked snapshots.
 
-    `ranked`: name, ts, rank, word, label, engine; `articles`: name, ts, word, pos, title, url.
+    `ranked`: name, ts, rank, word, label, engine; `articles`: name, ts, rank, pos, title, url.
     """
     keys = ["name", "engine", "ts"]
     nested = trends.nest_snapshot(
         ranked, articles.join(ranked.select(*keys).distinct(), ["name", "ts"]), keys,
-        per_word=per_word, label="label",
+        per_word=per_word, label="label", on="rank",
     )
     nested = store(nested)
     key = pl.page_key(F.col("name"), F.col("ts"))
@@ -65,9 +65,9 @@ def trend_country(
     ).select("search_url", "word", "pos", F.col("a.title").alias("title"),
              ln.resolve_url(F.col("search_url"), F.col("a.url")).alias("url"))
     found = store(found)
-    articles = words.select("name", "engine", "ts", "search_url", "word").join(found, ["search_url", "word"])
+    articles = words.select("name", "engine", "ts", "rank", "search_url", "word").join(found, ["search_url", "word"])
     articles = joins.translate_lookup(articles, memory, "engine", "title", "shown", "name")
-    articles = articles.select("name", "ts", "word", "pos", F.col("shown").alias("title"), "url")
+    articles = articles.select("name", "ts", "rank", "pos", F.col("shown").alias("title"), "url")
     out = _trend_documents(words, articles, trends.ARTICLES_SEARCH)
     out["matrix"] = trends.matrix_cells(words.select(F.col("country").alias("source"), "ts", "rank", "word"))
     return out
@@ -100,7 +100,7 @@ def trend_realtime(
         "link",
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), item), trends.ARTICLES_FEED)).alias("pos", "a"),
     )
-    articles = words.join(store(items), "link").select("name", "ts", "word", "pos", "a.title", "a.url")
+    articles = words.join(store(items), "link").select("name", "ts", "rank", "pos", "a.title", "a.url")
     shown = words.withColumns({"label": F.col("word"), "engine": F.lit("off")})
     out = _trend_documents(shown, articles, trends.ARTICLES_FEED)
     out["matrix"] = trends.matrix_cells(words.select(F.col("name").alias("source"), "ts", "rank", "word"))

@@ -18,6 +18,7 @@ from newsdesk.queries.corpus import EDGES
 from newsdesk.queries.pages import BODY_RULES, CARD_RULES
 from newsdesk.queries.registry import query
 from newsdesk.queries.sources import INTEREST, SEGMENTS, interest
+from newsdesk.session import store
 
 SEARCH = "https://news.example/search"
 
@@ -68,7 +69,16 @@ def job_trend_country_matrix(spark, sf):
 REALTIME_RULES = json.dumps({"region": "body", "links": "ul > li > a", "block": "nav", "block_no": 0})
 
 
-@query("job_trend_realtime")
+@query("job_trend_realtime", rf"""WITH {st.SHOWN}, {st.LINKS},
+resolved AS (SELECT page_id, url, pos, {st.SQL_RESOLVED} AS link, {st.sql_text('markup')} AS word, href FROM links),
+reached AS (SELECT link, min(page_id) AS page_id FROM resolved GROUP BY link),
+anchors AS (SELECT page_id, arg_min(href, pos) AS feed FROM resolved WHERE word = 'the' GROUP BY page_id),
+feeds AS (SELECT r.link, f.page_id AS feed_page FROM reached r JOIN anchors USING (page_id)
+  JOIN reached f ON f.link = regexp_extract(r.link, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || feed),
+sizes AS (SELECT page_id AS feed_page, least(count(*), 7) AS n FROM links GROUP BY page_id)
+SELECT sha256(url || chr(1) || '2024-01-01 12:30:00') AS page_key, pos AS block_pos, (pos + 1) || ' : ' || word AS heading,
+  coalesce(n, 0)::BIGINT AS children
+FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN sizes USING (feed_page) WHERE pos < 20""")
 def job_trend_realtime(spark, sf):
     """Every page is a ranking page; a link leads to the first page that lists it, which is also its feed."""
     pages = st.table(spark, sf, "pages")
@@ -79,8 +89,12 @@ def job_trend_realtime(spark, sf):
     links = ar.item_rows(st.page_links(spark, sf), "links", "page_id", "url", item="a")
     reached = links.select(ln.resolve_url(F.col("url"), F.col("a.url")).alias("url"), "page_id")
     landed = ranking.first_match(reached, "url", "page_id", "page_id").join(pages.select("page_id", "html"), "page_id").drop("page_id")
+    landed = store(landed)
     out = jobs.trend_realtime(ranking_pages.drop("page_id"), landed, landed, REALTIME_RULES, "the")
-    return out["blocks"]
+    return out["blocks"].select(
+        "page_key", F.col("block_pos").cast("bigint").alias("block_pos"),
+        F.get_json_object("payload", "$.heading_1.rich_text[0].plain_text").alias("heading"),
+        F.json_array_length(F.get_json_object("payload", "$.heading_1.children")).cast("bigint").alias("children"))
 
 
 def _news_rules(spark, sf):
@@ -93,6 +107,7 @@ def _news_rules(spark, sf):
     links = ar.item_rows(st.page_links(spark, sf), "links", "page_id", item="a")
     reached = links.select(ln.resolve_url(F.lit("https://site.example/"), F.col("a.url")).alias("url"), "page_id")
     details = ranking.first_match(reached, "url", "page_id", "page_id").join(pages.select("page_id", "html"), "page_id").drop("page_id")
+    details = store(details)
     known = pages.filter("page_id % 2 = 0").select(F.regexp_extract("html", r'<li><a href="([^"]*)"', 1).alias("href"))
     # History: the first topic of every second page, in every category.
     history = known.select(

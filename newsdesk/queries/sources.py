@@ -22,6 +22,17 @@ def read_table_pruned(spark, sf):
     return tables.pruned(padded)
 
 
+@query("ensure_table", "SELECT *, false AS before, true AS after FROM nation")
+def ensure_table(spark, sf):
+    nation = st.table(spark, sf, "nation")
+    folder = st.scratch(spark)
+    name = "nation_" + folder[-32:]
+    before = tables.ensure_table(spark, name, nation.schema, folder)
+    nation.write.insertInto(name)
+    after = tables.ensure_table(spark, name, nation.schema, folder)
+    return tables.read_table_pruned(spark, name).select("*", F.lit(before).alias("before"), F.lit(after).alias("after"))
+
+
 def _stored(spark, sf) -> tuple[History, object]:
     past, batch = st.events_split(spark, sf)
     history = History(spark, st.scratch(spark), "event_id")

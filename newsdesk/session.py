@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,22 +21,8 @@ RUNTIME_SETTINGS = {
 }
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for the Arrow-batched functions."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        _shipped.add(context.applicationId)
-        package = Path(__file__).resolve().parent
-        target = Path(tempfile.mkdtemp(prefix="newsdesk-code-")) / package.name
-        context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to an existing session."""
-    ship_package(spark)
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -24,11 +24,11 @@ def read_table_pruned(spark: SparkSession, name: str) -> DataFrame:
     return pruned(spark.table(name))
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> bool:
-    """Make sure a table exists; tells whether it did before."""
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> bool:
+    """Make sure a table exists (at `path`, else in the warehouse); tells whether it did before."""
     existed = spark.catalog.tableExists(name)
     if not existed:
-        spark.catalog.createTable(name, source="parquet", schema=schema)
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
     return existed
 
 

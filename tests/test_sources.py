@@ -10,7 +10,6 @@ from newsdesk.functions import payloads as pl
 from newsdesk.functions import text as tx
 from newsdesk.operators import corpus, joins
 from newsdesk.plans import jobs
-from newsdesk.session import ship_package
 from newsdesk.sources import files, landed, sinks, tables
 
 
@@ -122,9 +121,3 @@ def test_publishing(spark, tmp_path):
     assert sorted((r.id, r.block_pos) for r in linked.collect()) == [("a", 0), ("a", 1), ("b", 0)]
     sinks.write_targets(tables.with_target(docs, "db", "id"), str(tmp_path / "targets"))
     assert sorted(p.name for p in (tmp_path / "targets").glob("target=*")) == ["target=db1_a", "target=db2_b"]
-
-
-def test_shipping_is_done_once(spark):
-    before = spark.sparkContext.listFiles
-    ship_package(spark)
-    assert spark.sparkContext.listFiles == before

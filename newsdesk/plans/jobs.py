@@ -144,7 +144,8 @@ def news_by_rules(
     read = joins.join_unique(readers, details, "url").select(
         "url", pg.extract_body(F.col("html"), F.col("body_rules")).alias("a")
     )
-    full = joins.join_detail(topics.drop("body_rules"), read.select("url", "a.date", "a.body"), "url")
+    read = store(read.select("url", "a.date", "a.body"))
+    full = joins.join_detail(topics.drop("body_rules"), read, "url")
     full = store(tables.with_target(full, "site", "category"))
     fresh = store(novelty.novelty_sequential(full, history, "seq", ["target"], ["body"]))
     return {"topics": full.drop("body"), "new": fresh.drop("body"), "refused": refused, **_news_documents(fresh)}
@@ -175,7 +176,7 @@ def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: s
         tm.iso_to_jst(pg.extract_meta(F.col("html"), published)).alias("date"),
         body.alias("body"),
     )
-    full = store(joins.join_detail(topics, read, "url"))
+    full = store(joins.join_detail(topics, store(read), "url"))
     fresh = store(novelty.novelty_cells(full.drop("body"), history, "row_id"))
     shown = store(joins.semi_join_new_dates(full, fresh))
     documents = _news_documents(shown.withColumn("category", F.lit(None).cast("string")))

@@ -3,16 +3,16 @@
 A shingle is placed in a circle of UNIVERSE positions by one permutation; a second permutation, fixed
 as a table, is read at that position and at the next HASHES - 1 ones: coordinate k of a signature is
 the least value of the table shifted by k. Bands of the signature name buckets. Documents with equal
-shingle sets are one class from the start. Within a bucket classes are tested against a few centres at
-a time, and only across components, until every pair that could still join two components is tested:
-copies never make all pairs, and no link between components is lost.
+shingle sets are one class from the start. The classes of a bucket are compared with its centre, and
+with each other only where exact bounds from the centre leave a link possible: copies never make all
+pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsdesk.llm import textbatch as tb
@@ -24,7 +24,6 @@ from newsdesk.session import store
 BANDS, ROWS = 42, 6
 HASHES = BANDS * ROWS
 UNIVERSE = 1 << 20
-CENTRES = 16
 
 
 def _shifted_permutation() -> np.ndarray:
@@ -98,26 +97,36 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_batches(source, step, f"doc_id {kind}, key bigint, n_shingles bigint, set_id bigint, check bigint, buckets array<bigint>")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """The pairs (u, v) of set ids whose full sets have 100 * common >= percent * all."""
+def _compared(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """The pairs (u, v) of set ids with the sizes of both full sets, `common`, and what v has beyond u.
+
+    `beyond` are the shingles of v outside u in the order of their hashes: all of them (`whole`), or
+    as many as any set that v could be linked with must share one of.
+    """
     left = texts.select(F.col("set_id").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("set_id").alias("v"), F.col("text").alias("text_v"))
 
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for _, words in tb.pieces(column, lower=True):
+            h, offsets = shingle_sets(words, shingle_words)
+            out += [h[offsets[d] : offsets[d + 1]] for d in range(len(offsets) - 1)]
+        return out
+
     def step(batch: pa.RecordBatch):
-        sides = []
-        for name in ("text_u", "text_v"):
-            sets: list[np.ndarray] = []
-            for _, words in tb.pieces(batch.column(name), lower=True):
-                h, offsets = shingle_sets(words, shingle_words)
-                sets += [h[offsets[d] : offsets[d + 1]] for d in range(len(offsets) - 1)]
-            sides.append(sets)
-        good = []
-        for a, b in zip(*sides):
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            good.append(100 * common >= percent * (len(a) + len(b) - common))
-        yield record_batch(u=batch.column("u"), v=batch.column("v")).filter(pa.array(good, pa.bool_()))
-
-    return map_batches(pairs.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v"), step, "u bigint, v bigint")
+        out: dict[str, list] = {"n_u": [], "n_v": [], "common": [], "whole": [], "beyond": []}
+        for a, b in zip(sets_of(batch.column("text_u")), sets_of(batch.column("text_v"))):
+            more = np.setdiff1d(b, a, assume_unique=True)
+            common = len(b) - len(more)
+            surplus = -(-percent * len(b) // 100) - common  # a set linked with v shares so many of them
+            values = (len(a), len(b), common, surplus <= 1, more[: len(more) - max(surplus, 1) + 1].view(np.int64))
+            for name, value in zip(out, values):
+                out[name].append(value)
+        kinds = {"whole": pa.bool_(), "beyond": pa.list_(pa.int64())}
+        yield record_batch(u=batch.column("u"), v=batch.column("v"), **{n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()})
+
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
+    return map_batches(both, step, "u bigint, v bigint, n_u bigint, n_v bigint, common bigint, whole boolean, beyond array<bigint>")
 
 
 def classes(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -136,55 +145,48 @@ def classes(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataF
     members = store(spread.join(shared, "bucket"))
     wanted = members.select("set_id").distinct().join(groups.select("set_id", "key"), "set_id")
     texts = docs.select(row_key(docs).alias("key"), text_of(docs).alias("text")).join(wanted, "key").groupBy("set_id").agg(F.min("text").alias("text"))
-    labels = _linked(members, store(texts), shingle_words, percent)
-
-    if labels is None:
-        best = groups.select("set_id", F.col("least").alias("component_id"))
-    else:
-        named = groups.select("set_id", "least").join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))
-        named = store(named)
-        smallest = store(named.groupBy("component").agg(F.min("least").alias("component_id")))
-        best = named.join(smallest, "component").select("set_id", "component_id")
+    labels = components(_links(members, store(texts), shingle_words, percent))
+    named = store(groups.select("set_id", "least").join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component")))
+    smallest = store(named.groupBy("component").agg(F.min("least").alias("component_id")))
+    best = named.join(smallest, "component").select("set_id", "component_id")
     best = store(best)
     result = signed.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")).join(best, "set_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _linked(members: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame | None:
-    """(id, component) of all linked set ids; None where nothing is linked.
+def _links(members: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """Edges (u, v) that connect all classes of `members` (bucket, set_id, size) that are linked.
 
-    `members` has bucket, set_id and the bucket's size. In each round the next centres of a bucket,
-    by set id, are tested against its larger members of other components; a bucket is done when it
-    is one component or all its members were centres.
+    Each bucket has a centre, the class that shares most buckets with others, and every other class
+    is compared with it. Classes linked with the centre are connected. Any other link (f, m) of the
+    bucket needs common shingles: those of the centre, at most as many as either has in common with
+    it, and shared ones beyond it. Pairs that the first alone cannot rule out, and pairs that share
+    one beyond the centre and that its count cannot rule out, are compared in full.
     """
-    edges, labels, failed, done = None, None, None, 0
-    open_rows = members.select("bucket", "set_id", "size", F.col("set_id").alias("component"))
-    while True:
-        upto = done + (CENTRES if done else 1)
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("set_id"))
-        centres = store(open_rows.withColumn("place", place).filter(F.col("place") <= upto).filter(F.col("place") > done)
-                        .select("bucket", F.col("set_id").alias("u"), F.col("component").alias("cu")))
-        pairs = open_rows.join(centres, "bucket").filter("set_id > u AND component <> cu").select("u", F.col("set_id").alias("v")).distinct()
-        if failed is not None:
-            pairs = pairs.join(failed, ["u", "v"], "left_anti")
-        pairs = store(pairs)
-        found = store(_similar(pairs, texts, shingle_words, percent))
-        edges = found if edges is None else edges.union(found)
-        failed = pairs if failed is None else failed.union(pairs)
-        if not found.isEmpty():
-            labels = store(components(edges))
-        done = upto
-        rows = members.filter(F.col("size") > done + 1).select("bucket", "set_id", "size")
-        if labels is not None:
-            rows = rows.join(labels, F.col("set_id") == F.col("id"), "left").select("bucket", "set_id", "size", F.coalesce("component", "set_id").alias("component"))
-        else:
-            rows = rows.withColumn("component", F.col("set_id"))
-        rows = store(rows)
-        mixed = store(rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("bucket"))
-        if mixed.isEmpty():
-            return labels
-        open_rows = store(rows.join(mixed, "bucket"))
+    mates = members.groupBy("set_id").agg(F.sum("size").alias("mates"))
+    ranked = members.select("bucket", "set_id").join(store(mates), "set_id")
+    centres = store(ranked.groupBy("bucket").agg(F.max(F.struct("mates", "set_id"))["set_id"].alias("u")))
+    first = members.select("bucket", F.col("set_id").alias("v")).join(centres, "bucket").filter("u <> v").select("u", "v").distinct()
+    compared = store(_compared(first, texts, shingle_words, percent))
+    linked = f"100 * common >= {percent} * (n_u + n_v - common)"
+
+    rows = compared.withColumn("linked", F.expr(linked))
+    mixed = store(rows.filter("NOT linked").select("u").distinct())
+    around = store(rows.join(mixed, "u").select("u", F.col("v").alias("m"), F.col("n_v").alias("n_m"), F.col("common").alias("i_m"), "linked", "whole", "beyond"))
+    apart = around.filter("NOT linked").select("u", *[F.col(c).alias(n) for c, n in (("m", "f"), ("n_m", "n_f"), ("i_m", "i_f"), ("whole", "whole_f"), ("beyond", "beyond_f"))])
+    once = (F.col("f") != F.col("m")) & (F.col("linked") | (F.col("f") < F.col("m")))
+    enough = lambda common: (100 + percent) * common >= percent * (F.col("n_f") + F.col("n_m"))
+    near = apart.drop("beyond_f").join(around.drop("beyond"), (apart["u"] == around["u"]) & once & enough(F.least("i_f", "i_m"))).select("f", "m")
+    # A set beyond the centre by more than it may be is named by a part of what it has beyond.
+    e_f = apart.select("u", "f", "n_f", "i_f", "whole_f", F.explode("beyond_f").alias("e"))
+    e_m = around.select("u", "m", "n_m", "i_m", "linked", "whole", F.explode("beyond").alias("e"))
+    shared = e_f.join(e_m, ["u", "e"]).filter(once).groupBy("u", "f", "m", "n_f", "i_f", "n_m", "i_m", "whole", "whole_f").agg(F.count("*").alias("shared"))
+    counted = F.when(F.col("whole") & F.col("whole_f"), F.col("shared")).otherwise(F.least(F.col("n_f") - F.col("i_f"), F.col("n_m") - F.col("i_m")))
+    far = shared.filter(enough(F.least("i_f", "i_m") + counted)).select("f", "m")
+    second = near.union(far).select(F.least("f", "m").alias("u"), F.greatest("f", "m").alias("v")).distinct()
+    again = _compared(store(second), texts, shingle_words, percent)
+    return compared.filter(linked).select("u", "v").union(store(again).filter(linked).select("u", "v"))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:

@@ -19,7 +19,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

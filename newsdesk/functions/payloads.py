@@ -181,11 +181,11 @@ def body_blocks(page_id: Column, body: Column) -> Column:
     return F.transform(F.filter(body, lambda e: e["value"].isNotNull() & (e["value"] != "")), block)
 
 
-def trend_blocks(page_id: Column, rank_list: Column) -> Column:
+def trend_blocks(page_id: Column, rank_list: Column, shown: str = "rank") -> Column:
     """One blue heading per ranked word with one linked paragraph per article.
 
     `rank_list` is array<struct<rank, word, label, articles array<struct<title, url>>>>; the heading
-    shows the label.
+    shows the field `shown` and the label.
     """
     def children(entry: Column) -> Column:
         return F.transform(
@@ -195,5 +195,5 @@ def trend_blocks(page_id: Column, rank_list: Column) -> Column:
 
     return F.transform(
         rank_list,
-        lambda e: heading_block(page_id, tx.heading(e["rank"], e["label"]), children(e)),
+        lambda e: heading_block(page_id, tx.heading(e[shown], e["label"]), children(e)),
     )

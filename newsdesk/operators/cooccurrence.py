@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from newsdesk.functions import arrays as ar
 from newsdesk.operators.joins import accepted_rows
-from newsdesk.session import cut_lineage
+from newsdesk.session import cut_lineage, store
 
 MIN_EDGE = 100
 # Vocabularies up to this size are counted as a matrix per task, larger ones as rows.
@@ -28,9 +28,9 @@ def cooccurrence_edges(
     stopwords: DataFrame | None = None,
     matrix_tokens: int = MATRIX_TOKENS,
 ) -> DataFrame:
-    """Unordered token pairs (a < b) that share at least `min_edge` documents.
+    """Unordered token pairs (a < b) that share at least `min_edge` rows (a document or a line of one).
 
-    An edge needs both tokens in `min_edge` documents, so rarer tokens leave before any pair is
+    An edge needs both tokens in `min_edge` rows, so rarer tokens leave before any pair is
     counted (exact).  What is left is usually a short vocabulary: its size is checked, and each task
     then sums one matrix over its documents instead of making pairs.  A longer vocabulary is
     counted by `_pairs_by_tiles`.
@@ -45,7 +45,9 @@ def cooccurrence_edges(
     if len(listed) <= matrix_tokens:
         pairs = _pairs_by_matrix(docs, words, sorted(r[0] for r in listed))
     else:
-        pairs = _pairs_by_tiles(tokens, doc, judged)
+        # Rows are numbered once and stored, so that a repeated `doc` does not merge its rows.
+        numbered = store(docs.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(words).alias("t")))
+        pairs = _pairs_by_tiles(ar.item_rows(numbered, "t", "row", item="token"), "row", judged)
     return pairs.filter(F.col("n") >= min_edge)
 
 

@@ -75,19 +75,24 @@ def token_counts(docs: DataFrame, words: str = "words", group: Iterable[str] = (
     return tokens.groupBy(*group, "token").agg(F.count("*").alias("n"))
 
 
-def without_stopwords(docs: DataFrame, doc: str, words: str, stopwords: DataFrame) -> DataFrame:
+def without_stopwords(
+    docs: DataFrame, doc: str, words: str, stopwords: DataFrame, literals: int = STOP_LITERALS
+) -> DataFrame:
     """(doc, words) with the stopwords taken out and the order kept.
 
-    A list of at most `STOP_LITERALS` words is put into the expression and nothing moves; a longer
+    A list of at most `literals` words is put into the expression and nothing moves; a longer
     one is joined to the tokens, which then go back into order per document.
     """
-    listed = [r[0] for r in stopwords.toDF("token").distinct().limit(STOP_LITERALS + 1).collect()]
-    if len(listed) <= STOP_LITERALS:
+    listed = [r[0] for r in stopwords.toDF("token").distinct().limit(literals + 1).collect()]
+    if len(listed) <= literals:
         return docs.select(doc, F.filter(words, lambda t: ~t.isin(listed)).alias(words))
     long = ar.item_rows(docs, words, doc, item="token", pos="pos")
     kept = join_unique(long, stopwords.toDF("token").distinct(), "token", "left_anti", narrow=True)
     ordered = kept.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("t"))
-    return ordered.select(doc, F.col("t.token").alias(words))
+    # A document left without words stays, as an empty list.
+    both = docs.select(doc, F.col(words).isNotNull().alias("_given")).join(ordered, doc, "left")
+    empty = F.when(F.col("_given"), F.array().cast("array<string>"))
+    return both.select(doc, F.coalesce("t.token", empty).alias(words))
 
 
 def ngram_count(

@@ -159,10 +159,8 @@ def merge_newest_first(
     frames.  `fill` replaces missing values afterwards, as in an export.
     """
     excluded = list(excluded)
-    age = F.col(seq).cast("long")
-    both = batch.withColumn("_age", age).unionByName(
-        history.withColumn("_age", age + F.lit(1 << 62)), allowMissingColumns=True
-    )
+    both = batch.withColumn("_side", F.lit(0)).unionByName(history.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    both = both.withColumn("_age", F.struct("_side", seq)).drop("_side")
     columns = [c for c in both.columns if c not in {seq, "_age", *excluded}]
     kept = both.groupBy(*columns).agg(*[F.min_by(c, "_age").alias(c) for c in [seq, *excluded]])
     kept = kept.select(*[c for c in both.columns if c != "_age"])

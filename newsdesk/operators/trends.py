@@ -90,25 +90,27 @@ def unpivot_matrix(matrix: DataFrame, words: list[str], ts: str = "ts") -> DataF
     return matrix.unpivot([ts], words, "word", "rank").filter("rank <> 0")
 
 
-def nest_snapshot(ranked: DataFrame, articles: DataFrame, keys: list[str], top: int = TOP_RANKS,
-                  per_word: int = ARTICLES_SEARCH, label: str = "word", on: str = "word") -> DataFrame:
+def nest_snapshot(ranked: DataFrame, articles: DataFrame, keys: list[str], top: int | None = TOP_RANKS,
+                  per_word: int = ARTICLES_SEARCH, label: str = "word", on: str = "word", shown: str = "rank") -> DataFrame:
     """Snapshots as nested documents: words in rank order, each with its first articles.
 
     `ranked` holds the keys, `rank`, `word` and the shown `label`; `articles` the keys, the column
-    `on` (`word`, or `rank` where a word may appear twice), `pos`, `title`, `url`.  Both lists are cut to their fixed lengths before they are gathered, so
-    no group grows with the data.
+    `on` (`word`, or `rank` where a word may appear twice), `pos`, `title`, `url`.  Both lists are cut to their fixed lengths before they are gathered; with
+    `top` None all words of a snapshot stay, as many as its page listed.  `shown` names another
+    column of `ranked` to carry along.
     """
     capped = cap_per_group(articles, [*keys, on], ["pos", "url"], per_word)
     per = capped.groupBy(*keys, on).agg(
         F.sort_array(F.collect_list(F.struct("pos", "title", "url"))).alias("found")
     )
-    words = cap_per_group(
-        ranked.select(*keys, "rank", "word", F.col(label).alias("label")), keys, ["rank", "word"], top
-    )
+    more = [] if shown == "rank" else [shown]
+    words = ranked.select(*keys, "rank", "word", F.col(label).alias("label"), *more)
+    if top is not None:
+        words = cap_per_group(words, keys, ["rank", "word"], top)
     joined = words.join(per, [*keys, on], "left")
     none = F.array().cast("array<struct<title:string,url:string>>")
     listed = F.transform("found", lambda a: F.struct(a["title"].alias("title"), a["url"].alias("url")))
-    entry = F.struct("rank", "word", "label", F.coalesce(listed, none).alias("articles"))
+    entry = F.struct("rank", "word", "label", F.coalesce(listed, none).alias("articles"), *more)
     return joined.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("rank_list"))
 
 

@@ -20,18 +20,19 @@ from newsdesk.operators import corpus, joins, novelty, ranking, trends
 from newsdesk.session import store
 from newsdesk.sources import sinks, tables
 
-SEQ_PER_PAGE = 1 << 20
 
-
-def _trend_documents(ranked: DataFrame, articles: DataFrame, per_word: int) -> dict[str, DataFrame]:
+def _trend_documents(
+    ranked: DataFrame, articles: DataFrame, per_word: int, top: int | None = trends.TOP_RANKS, shown: str = "rank"
+) -> dict[str, DataFrame]:
     """Pages and blocks of ranked snapshots.
 
-    `ranked`: name, ts, rank, word, label, engine; `articles`: name, ts, rank, pos, title, url.
+    `ranked`: name, ts, rank, word, label, engine and `shown`, the rank of the heading; `articles`:
+    name, ts, rank, pos, title, url.
     """
     keys = ["name", "engine", "ts"]
     nested = trends.nest_snapshot(
         ranked, articles.join(ranked.select(*keys).distinct(), ["name", "ts"]), keys,
-        per_word=per_word, label="label", on="rank",
+        top=top, per_word=per_word, label="label", on="rank", shown=shown,
     )
     nested = store(nested)
     key = pl.page_key(F.col("name"), F.col("ts"))
@@ -40,7 +41,7 @@ def _trend_documents(ranked: DataFrame, articles: DataFrame, per_word: int) -> d
     payload = pl.trend_page(pl.trend_page_tags(words, F.col("ts")), F.col("engine"), F.col("name"), stamp)
     return {
         "pages": sinks.page_rows(nested, key, F.lit("trend"), payload, "name", "ts"),
-        "blocks": sinks.block_rows(nested, key, pl.trend_blocks(key, F.col("rank_list"))),
+        "blocks": sinks.block_rows(nested, key, pl.trend_blocks(key, F.col("rank_list"), shown)),
     }
 
 
@@ -79,6 +80,7 @@ def trend_realtime(
 ) -> dict[str, DataFrame]:
     """Ranked words of rendered pages, each followed to its result page and that one's news feed.
 
+    Every listed word is kept; headings show the rank printed on the page, the matrix counts places.
     `ranking_pages`: name, ts, url, html; the other two: url, html, one row per url.
     """
     seen = ranking_pages.select("name", "ts", "url", pg.extract_region_text(F.col("html"), F.lit(rules)).alias("r"))
@@ -86,10 +88,10 @@ def trend_realtime(
         "name", "ts", "url", "r.links", F.posexplode(ar.rank_word_lines(F.col("r.block"))).alias("pos", "e")
     )
     words = listed.filter(F.col("pos") < F.size("links")).select(
-        "name", "ts", (F.col("pos") + 1).alias("rank"), F.col("e.word").alias("word"),
+        "name", "ts", (F.col("pos") + 1).alias("rank"), F.col("e.rank").alias("printed"), F.col("e.word").alias("word"),
         ln.resolve_url(F.col("url"), F.get("links", F.col("pos"))).alias("link"),
     )
-    words = store(ranking.limit_rank(words))
+    words = store(words)
     results = joins.join_unique(words.select(F.col("link").alias("url")).distinct(), result_pages, "url")
     feeds = results.select(
         F.col("url").alias("link"),
@@ -102,7 +104,7 @@ def trend_realtime(
     )
     articles = words.join(store(items), "link").select("name", "ts", "rank", "pos", "a.title", "a.url")
     shown = words.withColumns({"label": F.col("word"), "engine": F.lit("off")})
-    out = _trend_documents(shown, articles, trends.ARTICLES_FEED)
+    out = _trend_documents(shown, articles, trends.ARTICLES_FEED, None, "printed")
     out["matrix"] = trends.matrix_cells(words.select(F.col("name").alias("source"), "ts", "rank", "word"))
     return out
 
@@ -133,7 +135,7 @@ def news_by_rules(
     )
     topics = blocks.select(
         "site", "category", "body_rules",
-        (F.col("page_no") * SEQ_PER_PAGE + F.col("pos")).alias("seq"),
+        F.struct("page_no", "pos").alias("seq"),
         F.col("fields")["headline"].alias("headline"),
         F.col("fields")["summary"].alias("summary"),
         F.col("fields")["author"].alias("author"),

@@ -15,7 +15,7 @@ from newsdesk.sources import sinks
 NEWS_SQL = {
     "カテゴリ": st.j_choice("coalesce(lang, ' ')"),
     "ヘッドライン": st.j_text("source", "'https://site.example/' || d.doc_id", "title"),
-    "サマリ": st.j_text("left(text, 60)"),
+    "サマリ": st.j_text("text"),
     "記者": st.j_text("' '"),
     "ニュースサイト": st.j_text("'site'"),
 }
@@ -28,7 +28,7 @@ def payload_news(spark, sf):
     labels = st.table(spark, sf, "labels").select("doc_id", F.lit("2024-01-01T00:00:00+09:00").alias("date"))
     docs = st.table(spark, sf, "documents").join(labels, "doc_id", "left")
     url = F.concat(F.lit("https://site.example/"), "doc_id")
-    payload = pl.news_page(F.col("lang"), F.col("source"), url, F.substring("text", 1, 60),
+    payload = pl.news_page(F.col("lang"), F.col("source"), url, F.col("text"),
                            F.lit(None).cast("string"), F.lit("site"), F.col("date"))
     return docs.select("doc_id", F.to_json(payload).alias("payload"))
 

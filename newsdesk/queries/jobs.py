@@ -76,9 +76,9 @@ anchors AS (SELECT page_id, arg_min(href, pos) AS feed FROM resolved WHERE word
 feeds AS (SELECT r.link, f.page_id AS feed_page FROM reached r JOIN anchors USING (page_id)
   JOIN reached f ON f.link = regexp_extract(r.link, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || feed),
 sizes AS (SELECT page_id AS feed_page, least(count(*), 7) AS n FROM links GROUP BY page_id)
-SELECT sha256(url || chr(1) || '2024-01-01 12:30:00') AS page_key, pos AS block_pos, (pos + 1) || ' : ' || word AS heading,
+SELECT sha256(url || chr(1) || '2024-01-01 12:30:00') AS page_key, pos AS block_pos, '#' || ' : ' || word AS heading,
   coalesce(n, 0)::BIGINT AS children
-FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN sizes USING (feed_page) WHERE pos < 20""")
+FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN sizes USING (feed_page)""")
 def job_trend_realtime(spark, sf):
     """Every page is a ranking page; a link leads to the first page that lists it, which is also its feed."""
     pages = st.table(spark, sf, "pages")

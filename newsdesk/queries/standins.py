@@ -81,10 +81,10 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
     return cut_lineage(corpus.token_counts(words(spark, sf)))
 
 
-TOK = r"""tok AS (
+TOK = r"""tok AS MATERIALIZED (
   SELECT doc_id, source, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents)"""
 
-TOP = """counts AS (SELECT token, count(*) AS n FROM tok GROUP BY token),
+TOP = """counts AS MATERIALIZED (SELECT token, count(*) AS n FROM tok GROUP BY token),
 stop AS (SELECT token FROM counts ORDER BY n DESC, token LIMIT 20)"""
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of an Arrow batch: bounds a Python worker's memory where pages are long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -42,7 +43,8 @@ def build_session(app: str = "newsdesk", master: str | None = None, **settings:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as named by `spark.checkpoint.dir`.
 
-    Only a local session may go without the setting; it then gets a scratch folder.
+    Only a session with one local JVM may go without the setting; it then gets a folder below the
+    warehouse.
     """
     context = spark.sparkContext
     named = context.getCheckpointDir()
@@ -50,9 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="newsdesk-shared-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

@@ -71,9 +71,10 @@ def csv_accumulate(batch: DataFrame, old: str, new: str, key: str) -> DataFrame:
     spark = batch.sparkSession
     frames = [batch]
     if _exists(spark, old):
-        header = spark.read.option("header", True).csv(old).columns
+        # Columns the batch lacks are read as they were written: whole numbers or decimals.
+        found = spark.read.options(header=True, inferSchema=True).csv(old).schema
         known = {f.name: f.dataType.simpleString() for f in batch.schema}
-        schema = ", ".join(f"`{c}` {known.get(c, 'bigint')}" for c in header)
+        schema = ", ".join(f"`{f.name}` {known.get(f.name) or ('bigint' if f.dataType.simpleString() in ('int', 'bigint') else 'double')}" for f in found)
         frames.insert(0, read_history_csv(spark, old, schema))
     total = accumulate_sum(frames, key)
     total.write.mode("overwrite").csv(new, header=True)

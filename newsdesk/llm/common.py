@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch: bounds the memory of a Python worker also where texts are long.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

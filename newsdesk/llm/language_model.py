@@ -24,7 +24,7 @@ from newsdesk.session import store
 
 FOLDS, TEST_FOLD = 5, 1
 #: Bytes of text in a block, and of text whose keys a shard holds.
-BLOCK_BYTES, SHARD_BYTES = 5_000_000, 5_000_000
+BLOCK_BYTES, SHARD_BYTES = 2_500_000, 2_500_000
 #: Bytes of training text held out for the weights; the counts cover all the other training text.
 HELD_BYTES = 6_000_000
 BUCKETS, ROUNDS = 40, 50

@@ -181,7 +181,8 @@ def _links(members: DataFrame, texts: DataFrame, shingle_words: int, percent: in
     # A set beyond the centre by more than it may be is named by a part of what it has beyond.
     e_f = apart.select("u", "f", "n_f", "i_f", "whole_f", F.explode("beyond_f").alias("e"))
     e_m = around.select("u", "m", "n_m", "i_m", "linked", "whole", F.explode("beyond").alias("e"))
-    shared = e_f.join(e_m, ["u", "e"]).filter(once).groupBy("u", "f", "m", "n_f", "i_f", "n_m", "i_m", "whole", "whole_f").agg(F.count("*").alias("shared"))
+    possible = enough(F.least("i_f", "i_m") + F.least(F.col("n_f") - F.col("i_f"), F.col("n_m") - F.col("i_m")))
+    shared = e_f.join(e_m, ["u", "e"]).filter(once & possible).groupBy("u", "f", "m", "n_f", "i_f", "n_m", "i_m", "whole", "whole_f").agg(F.count("*").alias("shared"))
     counted = F.when(F.col("whole") & F.col("whole_f"), F.col("shared")).otherwise(F.least(F.col("n_f") - F.col("i_f"), F.col("n_m") - F.col("i_m")))
     far = shared.filter(enough(F.least("i_f", "i_m") + counted)).select("f", "m")
     second = near.union(far).select(F.least("f", "m").alias("u"), F.greatest("f", "m").alias("v")).distinct()

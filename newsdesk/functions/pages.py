@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,7 +20,10 @@ from pyspark.sql import types as T
 # Elements without content, and elements whose content is no text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 OPAQUE = frozenset(("script", "style"))
-ANCHOR = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
+# What may stand between the name of a tag and an attribute, and after it: a quoted value is one unit.
+BEFORE = r"""(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*?"""
+AFTER = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 # ---------------------------------------------------------------- built-in expressions
 
@@ -29,33 +33,63 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
 
 
+def _opening(tag: str, attribute: str) -> str:
+    """Pattern of an opening tag up to an attribute; its value is group 1, 2 or 3 by its quoting.
+
+    The name stands alone: `data-href` and `xlink:href` are other attributes than `href`.
+    """
+    return rf"""<{tag}{BEFORE}(?<=[\s"'/]){re.escape(attribute)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+
+
+def _value(markup: Column, pattern: str) -> Column:
+    """Decoded value of the attribute that `_opening` finds; empty where there is none."""
+    return decode_references(F.concat(*[F.regexp_extract(markup, pattern, n) for n in (1, 2, 3)]))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for what is none."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
+
+
+def decode_references(text: Column) -> Column:
+    """Text with its named (HTML 4 and `&apos;`) and numeric character references decoded, each once."""
+    names = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, chr(code))])
+
+    def decoded(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "([0-9a-fA-F]+);", 1)
+        return (F.when(ref.rlike("^&#[xX]"), _character(F.conv(digits, 16, 10).try_cast("bigint")))
+                .when(ref.startswith("&#"), _character(digits.try_cast("bigint")))
+                .otherwise(F.coalesce(F.try_element_at(names, F.regexp_extract(ref, "&(.*);", 1)), ref)))
+
+    def whole(s: Column) -> Column:
+        refs = F.transform(F.regexp_extract_all(s, F.lit(REFERENCE), F.lit(0)), decoded)
+        between = F.split(s, REFERENCE, -1)
+        return F.when(s.contains("&"), F.array_join(F.transform(F.arrays_zip(between.alias("t"), refs.alias("r")), lambda x: F.concat(x["t"], F.coalesce(x["r"], F.lit("")))), "")).otherwise(s)
+
+    # One-element arrays: the text is computed once, also inside a lambda.
+    return F.get(F.transform(F.array(text), whole), F.lit(0))
+
+
 def inner_text(markup: Column) -> Column:
-    """Text of a piece of markup: tags dropped, the basic entities decoded."""
-    out = F.regexp_replace(markup, "<[^>]*>", "")
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Text of a piece of markup: tags dropped, character references decoded."""
+    return decode_references(F.regexp_replace(markup, "<[^>]*>", ""))
 
 
 def extract_meta(html: Column, name: str) -> Column:
-    """Content of a named meta element, NULL where it is missing."""
-    name = re.escape(name)
-    found = F.coalesce(
-        *[
-            F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
-            for pattern in (
-                rf'(?i)<meta\b[^>]*\bname="{name}"[^>]*\bcontent="([^"]*)"',
-                rf'(?i)<meta\b[^>]*\bcontent="([^"]*)"[^>]*\bname="{name}"',
-            )
-        ]
-    )
-    return inner_text(found)
+    """Content of a named meta element, NULL where it is missing or empty."""
+    metas = F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/>]){AFTER}"), F.lit(0))
+    named = F.filter(metas, lambda m: F.lower(_value(m, "(?is)" + _opening("meta", "name"))) == name.lower())
+    contents = F.transform(named, lambda m: _value(m, "(?is)" + _opening("meta", "content")))
+    return F.get(F.filter(contents, lambda c: c != ""), F.lit(0))
 
 
 def extract_attribute(html: Column, tag: str, attribute: str) -> Column:
-    """An attribute of the first element of a kind, NULL where it is missing."""
-    found = F.regexp_extract(html, rf'(?i)<{tag}\b[^>]*\b{attribute}="([^"]*)"', 1)
-    return F.nullif(found, F.lit(""))
+    """An attribute of the first element of a kind that has it, NULL where it is missing."""
+    return F.nullif(_value(html, "(?is)" + _opening(tag, attribute)), F.lit(""))
+
+
+ANCHOR = rf"(?is){_opening('a', 'href')}{AFTER}(.*?)</a>"
 
 
 def extract_links(html: Column) -> Column:
@@ -64,8 +98,8 @@ def extract_links(html: Column) -> Column:
     return F.transform(
         anchors,
         lambda m: F.struct(
-            inner_text(F.regexp_extract(m, ANCHOR, 2)).alias("title"),
-            F.regexp_extract(m, ANCHOR, 1).alias("url"),
+            inner_text(F.regexp_extract(m, ANCHOR, 4)).alias("title"),
+            _value(m, ANCHOR).alias("url"),
         ),
     )
 
@@ -81,26 +115,31 @@ def element_markup(html: Column, tag: str) -> Column:
 
 
 def element_links(html: Column, tag: str) -> Column:
-    """First link inside every element of a kind, as array<struct<title, url>>."""
+    """First link of every element of a kind that has one, as array<struct<title, url>>.
+
+    The part of an element before one nested in it is its own: no item of a nested list is lost.
+    """
+    own = rf"(?is)<{tag}(?=[\s/>]){AFTER}(.*?)(?=<{tag}[\s/>]|</{tag}[\s>])"
     links = F.transform(
-        element_markup(html, tag),
+        F.regexp_extract_all(visible(html), F.lit(own), F.lit(1)),
         lambda m: F.struct(
-            inner_text(F.regexp_extract(m, ANCHOR, 2)).alias("title"),
-            F.nullif(F.regexp_extract(m, ANCHOR, 1), F.lit("")).alias("url"),
+            inner_text(F.regexp_extract(m, ANCHOR, 4)).alias("title"),
+            F.nullif(_value(m, ANCHOR), F.lit("")).alias("url"),
         ),
     )
     return F.filter(links, lambda a: a["url"].isNotNull())
 
 
 def extract_cards(html: Column, card: str = "article", link_in: str = "h3") -> Column:
-    """Text and heading link of every card element as array<struct<text, url>>."""
-    link = rf'(?is)<{link_in}\b[^>]*>.*?<a\b[^>]*?\bhref="([^"]*)"'
+    """Text of every card element and the first link inside its headings, as array<struct<text, url>>."""
+    def link(markup: Column) -> Column:
+        headings = F.regexp_extract_all(markup, F.lit(rf"(?is)<{link_in}(?=[\s/>]){AFTER}(.*?)</{link_in}>"), F.lit(1))
+        urls = F.transform(headings, lambda h: _value(h, "(?is)" + _opening("a", "href")))
+        return F.get(F.filter(urls, lambda u: u != ""), F.lit(0))
+
     return F.transform(
         element_markup(html, card),
-        lambda m: F.struct(
-            inner_text(m).alias("text"),
-            F.nullif(F.regexp_extract(m, link, 1), F.lit("")).alias("url"),
-        ),
+        lambda m: F.struct(inner_text(m).alias("text"), link(m).alias("url")),
     )
 
 

@@ -149,3 +149,29 @@ def test_realtime_job(spark):
     out = jobs.trend_realtime(ranking, results, feeds, rules, "ニュース")
     heads = [json.loads(r.payload)["heading_1"] for r in out["blocks"].orderBy("block_pos").collect()]
     assert [(h["rich_text"][0]["plain_text"], len(h["children"])) for h in heads] == [("1 : cat", 7), ("2 : dog", 0)]
+
+
+def test_links_of_every_quoting(spark):
+    html = """<a href="/q?a=1&amp;b=2">x&nbsp;y</a><a class=c href='/single'>s</a><A HREF=/bare>b</A>
+    <a data-href="/no" href="/yes">d</a><a title="a > b href='/t'" href="/u">u</a><a name="n">none</a><a href="/v">&#x65E5;&#26412; &amp;lt; &zz;</a>"""
+    links = frame(spark, html).select(pg.extract_links(F.col("html")).alias("l")).first()["l"]
+    assert [(a["title"], a["url"]) for a in links] == [
+        ("x\u00a0y", "/q?a=1&b=2"), ("s", "/single"), ("b", "/bare"), ("d", "/yes"), ("u", "/u"), ("日本 &lt; &zz;", "/v")]
+
+
+def test_references_of_no_character(spark):
+    rows = spark.createDataFrame([("&#0;",), ("&#xD800;",), ("&#x110000;",), ("&#99999999999999999999;",), ("&#x1F600;",), (None,), ("",)], "t string")
+    got = [r[0] for r in rows.select(pg.decode_references(F.col("t"))).collect()]
+    assert got == ["�"] * 4 + ["\U0001f600", None, ""]
+
+
+def test_meta_attributes_and_cards_of_every_form(spark):
+    html = """<html data-lang='xx' lang='de'><meta content='A &amp; B' name=author>
+    <article><h3>T</h3><p><a href="/other">o</a></p></article><article><h3>T</h3><h3><a href='/in'>i</a></h3></article>
+    <ul><li><a href="/1">1</a><ul><li><a href="/2">2</a></li></ul></li><li><a href="/3">3</a></li></ul>"""
+    row = frame(spark, html).select(
+        pg.extract_attribute(F.col("html"), "html", "lang").alias("lang"), pg.extract_meta(F.col("html"), "Author").alias("author"),
+        pg.extract_cards(F.col("html")).alias("cards"), pg.element_links(F.col("html"), "li").alias("items")).first()
+    assert (row["lang"], row["author"]) == ("de", "A & B")
+    assert [c["url"] for c in row["cards"]] == [None, "/in"]
+    assert [i["url"] for i in row["items"]] == ["/1", "/2", "/3"]

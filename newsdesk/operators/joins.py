@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from newsdesk.functions import text as tx
 
 HOT_KEYS = 256
-NARROW_ROWS = 200_000
+#: What is broadcast as narrow: at most so many rows and so many characters of them as JSON.
+NARROW_ROWS, NARROW_CHARS = 200_000, 64_000_000
 
 
 def heavy_keys(df: DataFrame, keys: list[str], n: int = HOT_KEYS) -> DataFrame:
@@ -25,14 +26,21 @@ def heavy_keys(df: DataFrame, keys: list[str], n: int = HOT_KEYS) -> DataFrame:
     )
 
 
+def is_narrow(df: DataFrame) -> bool:
+    """Whether rows and size of `df` are within the limits; each task sends one row of sums."""
+    size = F.sum(F.length(F.to_json(F.struct("*"))).cast("bigint"))
+    rows, chars = df.agg(F.count("*"), size).first()
+    return rows <= NARROW_ROWS and (chars or 0) <= NARROW_CHARS
+
+
 def join_unique(
     left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", hot: int = HOT_KEYS,
     narrow: bool = False,
 ) -> DataFrame:
     """Join `left` with `right`, which holds at most one row per key.
 
-    `narrow` says that the rows of `right` are short (keys and a few labels): it is then counted,
-    and broadcast if it has at most `NARROW_ROWS` rows.  Otherwise:
+    `narrow` says that the rows of `right` are short (keys and a few labels): it is then counted
+    and measured, and broadcast if it is within `NARROW_ROWS` and `NARROW_CHARS`.  Otherwise:
 
     The rows of the `hot` most frequent keys stay where they are and meet a broadcast of at most
     `hot` rows; every other key holds less than 1/hot of the rows and takes the ordinary join.
@@ -41,7 +49,7 @@ def join_unique(
     `left` is read three times: give it a scan, or cut the lineage of a costly frame before.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if narrow and right.limit(NARROW_ROWS + 1).count() <= NARROW_ROWS:
+    if narrow and is_narrow(right):
         return left.join(F.broadcast(right), keys, how)
     if not hot:
         return left.join(right, keys, how)

@@ -109,6 +109,16 @@ def test_join_unique_with_a_hot_key(spark, how):
     assert shape(plain) == shape(split) == shape(narrow)
 
 
+def test_wide_rows_are_not_narrow(spark, monkeypatch):
+    right = spark.createDataFrame([("a", "x" * 100), ("b", None)], "k string, v string")
+    left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert joins.is_narrow(right) and joins.is_narrow(right.limit(0))
+    near = sorted(map(str, joins.join_unique(left, right, "k", "left", narrow=True).collect()))
+    monkeypatch.setattr(joins, "NARROW_CHARS", 100)
+    assert not joins.is_narrow(right)
+    assert near == sorted(map(str, joins.join_unique(left, right, "k", "left", narrow=True).collect()))
+
+
 def test_join_detail_and_config(spark):
     topics = spark.createDataFrame([("u1", "t1", "old"), ("u2", "t2", "kept"), (None, "t3", "kept")], "url string, title string, date string")
     details = spark.createDataFrame([("u1", "new", "A")], "url string, date string, author string")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from newsdesk.llm import textbatch as tb
 from newsdesk.llm.common import map_batches, record_batch, remainder, text_of
+from newsdesk.operators.joins import join_unique
+from newsdesk.session import cut_lineage
 
 FOLDS, TEST_FOLD = 3, 1
 THRESHOLD = 0.7
@@ -122,13 +124,17 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, test_fold: int
     A bounded sample of them is fitted: by a hash of the id, about TRAIN_BYTES of each class. Labels
     that repeat an id count as toxic if any of them is; NULL ids and labels are no labels.
     """
-    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    kind = docs.schema["doc_id"].dataType
+    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
     known = known.filter(remainder(F.col("doc_id"), folds) != test_fold)
     sizes = docs.select("doc_id", F.octet_length(text_of(docs)).alias("size"))
     total = {r["label"]: r["size"] or 0 for r in sizes.join(known, "doc_id").groupBy("label").agg(F.sum("size").alias("size")).collect()}
-    share = F.when(F.col("label") == 1, TRAIN_BYTES[1] / max(total.get(1, 0), 1)).otherwise(TRAIN_BYTES[0] / max(total.get(0, 0), 1))
+    share = {label: TRAIN_BYTES[label] / max(total.get(label, 0), 1) for label in TRAIN_BYTES}
     place = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    chosen = docs.select("doc_id", text_of(docs).alias("text")).join(known.filter(place < share), "doc_id")
+    picked = cut_lineage(known.filter(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0])))
+    texts = docs.select("doc_id", text_of(docs).alias("text")).filter(place < max(share.values()))
+    # Picked ids are few: texts stay where they are unless the ids are measured to be too many to send.
+    chosen = join_unique(texts, picked, "doc_id", hot=0, narrow=True)
 
     def step(batch: pa.RecordBatch):
         out: dict[str, list] = {"label": [], "features": [], "sizes": []}

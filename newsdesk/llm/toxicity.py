@@ -25,6 +25,8 @@ PREFIXES = (4, 5, 6)
 TRAIN_BYTES = {1: 5_000_000, 0: 9_000_000}
 #: A feature is evidence if toxic documents hold it LIFT times as often as others, by EVIDENCE standard errors.
 EVIDENCE, LIFT = 6.0, 2.0
+#: Features the driver sorts at once.
+BLOCK = 1 << 20
 ROUNDS, RATE, RIDGE = 200, 0.1, 1e-4
 CORE = np.zeros(256, bool)
 CORE[48:58] = CORE[65:91] = CORE[97:123] = CORE[128:] = True
@@ -75,14 +77,24 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return np.exp(-softplus(-z))
 
 
-def evidence(features: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Features that toxic documents hold more often than chance explains, by presence in documents."""
-    held = np.unique(features.astype(np.int64) * len(labels) + owner)
-    feature, doc = held // len(labels), held % len(labels)
+def evidence(features: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Features that toxic documents hold more often than chance explains, by presence in documents.
+
+    offsets: where each document's features begin, and their number. Documents are counted in blocks of
+    about BLOCK features, so that the driver holds no sorted copy of all of them.
+    """
+    toxic, other = np.zeros(DIMENSION), np.zeros(DIMENSION)
+    cuts = np.searchsorted(offsets, np.arange(0, offsets[-1], BLOCK))
+    cuts = np.unique(np.append(cuts, [0, len(labels)]))
+    for a, b in zip(cuts, cuts[1:]):
+        owner = np.repeat(np.arange(a, b), np.diff(offsets[a : b + 1]))
+        held = np.unique(owner * DIMENSION + features[offsets[a] : offsets[b]])
+        feature, label = held % DIMENSION, labels[held // DIMENSION]
+        toxic += np.bincount(feature, label, DIMENSION)
+        other += np.bincount(feature, 1 - label, DIMENSION)
     many = np.array([max(labels.sum(), 1), max((1 - labels).sum(), 1)])
-    toxic = np.bincount(feature, labels[doc], DIMENSION) / many[0]
-    other = np.bincount(feature, 1 - labels[doc], DIMENSION) / many[1]
-    both = (toxic * many[0] + other * many[1]) / many.sum()
+    both = (toxic + other) / many.sum()
+    toxic, other = toxic / many[0], other / many[1]
     error = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / many).sum())
     return np.flatnonzero((toxic - other > EVIDENCE * error) & (toxic >= LIFT * other))
 
@@ -96,11 +108,11 @@ def fit(features: np.ndarray, sentence_starts: np.ndarray, doc_starts: np.ndarra
     """
     lengths = np.diff(np.append(sentence_starts, len(features)))
     owner = np.repeat(np.arange(len(doc_starts)), np.diff(np.append(doc_starts, len(sentence_starts))))
-    kept = evidence(features, np.repeat(owner, lengths), labels)
-    number = np.full(DIMENSION, -1)
-    number[kept] = np.arange(len(kept))
-    at = np.flatnonzero(number[features] >= 0)
-    column, sentence = number[features[at]], np.repeat(np.arange(len(lengths)), lengths)[at]
+    kept = evidence(features, np.append(sentence_starts[doc_starts], len(features)), labels)
+    number, held = np.zeros(DIMENSION, np.int64), np.zeros(DIMENSION, bool)
+    number[kept], held[kept] = np.arange(len(kept)), True
+    at = np.flatnonzero(held[features])
+    column, sentence = number[features[at]], np.searchsorted(sentence_starts, at, "right") - 1
     weights, bias = np.ones(len(kept)), -5.0
     first, second = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
@@ -160,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, test_fold: int
     lists = rows.column("sizes").combine_chunks()
     sizes = lists.flatten().to_numpy().astype(np.int64)
     owner = np.repeat(np.arange(len(label)), lists.value_lengths().to_numpy())
+    del rows, lists
     full = sizes > 0  # reduceat needs sentences with a feature
     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
     docs_left, doc_starts = np.unique(owner[full], return_index=True)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from newsdesk.llm import quality_rules
 from newsdesk.llm import textbatch as tb
 from newsdesk.llm.common import map_batches, record_batch, remainder, text_of
+from newsdesk.operators.joins import join_unique
+from newsdesk.session import cut_lineage
 
 FOLDS, TEST_FOLD = 3, 1
 #: About so many labelled documents are learned from and calibrated on, and so many unlabelled ones
@@ -179,6 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, test_fold: int
     both = min((LEARN_ROWS + CALIBRATE_ROWS) / labelled, 1.0)
     role = F.when(F.col("label").isNull(), F.when(F.col("place") < POOL_ROWS / others, 2)).otherwise(F.when(F.col("place") < learn, 0).when(F.col("place") < both, 1))
     chosen = ids.select("doc_id", F.coalesce("label", F.lit(0)).alias("label"), role.alias("role")).filter("role IS NOT NULL")
+    chosen = cut_lineage(chosen.dropDuplicates(["doc_id"]))
+    texts = marked.filter(place < max(both, POOL_ROWS / others))
+    # Chosen ids are few: texts stay where they are unless the ids are measured to be too many to send.
+    sample = join_unique(texts, chosen, "doc_id", hot=0, narrow=True)
 
     def step(batch: pa.RecordBatch):
         content, metadata = _batch_views(batch)
@@ -186,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, test_fold: int
         offsets = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)
         yield record_batch(role=batch.column("role"), label=batch.column("label"), numbers=pa.ListArray.from_arrays(offsets, flat.reshape(-1)))
 
-    rows = map_batches(marked.join(chosen.dropDuplicates(["doc_id"]), "doc_id").select("text", "source", "lang", "n_chars", "role", "label"), step, "role int, label int, numbers array<float>").toArrow()
+    rows = map_batches(sample.select("text", "source", "lang", "n_chars", "role", "label"), step, "role int, label int, numbers array<float>").toArrow()
     role, label = rows.column("role").to_numpy(), rows.column("label").to_numpy().astype(float)
     numbers = rows.column("numbers").combine_chunks().flatten().to_numpy().reshape(-1, CONTENT + METADATA)
     parts = [(numbers[role == r, :CONTENT].astype(float), numbers[role == r, CONTENT:].astype(float), label[role == r]) for r in range(3)]

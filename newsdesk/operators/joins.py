@@ -79,10 +79,19 @@ def accepted_rows(rows: DataFrame, judged: DataFrame, keys: list[str], hot: int
     return hot_part.unionByName(cold_part)
 
 
-def semi_join_new_dates(records: DataFrame, fresh: DataFrame, date: str | list[str] = "date") -> DataFrame:
-    """Every record that shares its date (and further key columns, if named) with a new record."""
+def semi_join_new_dates(
+    records: DataFrame, fresh: DataFrame, date: str | list[str] = "date", row_id: str | None = None
+) -> DataFrame:
+    """Every record that shares its date (and further key columns, if named) with a new record.
+
+    A record without a date shares none; where `row_id` names the rows, it is kept if it is new itself.
+    """
     keys = [date] if isinstance(date, str) else list(date)
-    return join_unique(records, fresh.select(*keys).distinct(), keys, "left_semi", narrow=True)
+    dated = join_unique(records, fresh.select(*keys).distinct(), keys, "left_semi", narrow=True)
+    if row_id is None:
+        return dated
+    undated = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return dated.unionByName(records.filter(undated).join(fresh.filter(undated).select(row_id), row_id, "left_semi"))
 
 
 def join_author(posts: DataFrame, users: DataFrame, author: str = "author_id", user: str = "id") -> DataFrame:

@@ -3,8 +3,8 @@
 A row is *new* when at least one of its cells holds a value its column has not seen before.  This
 is weaker than "the row is unseen": history {(1,x),(2,y)} makes (1,y) not new.
 
-Cells are compared as text with a mark for their type class, so NULL is an ordinary value and the
-text "1" differs from the number 1.
+Cells are compared as text with a mark for their type class, so NULL is an ordinary value, the text
+"1" differs from the number 1, and 1 and 1.0 are one number. Long values are compared by digest.
 """
 
 from __future__ import annotations
@@ -18,14 +18,29 @@ from pyspark.sql import types as T
 from newsdesk.operators.joins import HOT_KEYS, accepted_rows
 from newsdesk.session import cut_lineage
 
-# Keys of a batch that are sent to the history instead of shuffling it.
+# Keys of a batch that are sent to the history instead of shuffling it; a cell has at most CELL_CHARS
+# characters, or 65 with its digest.
 BROADCAST_KEYS = 500_000
+CELL_CHARS = 64
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    """A value as text; equal numbers of different types (1, 1.0, 1.00) have one text."""
+    kind, text = df.schema[name].dataType, F.col(name).cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        whole = (F.col(name) == F.floor(name)) & (F.abs(name) < F.lit(float(1 << 53)))
+        return F.when(whole, F.col(name).cast("bigint").cast("string")).otherwise(text)
+    if isinstance(kind, T.DecimalType) and kind.scale > 0:
+        return F.regexp_replace(text, r"\.?0+$", "")
+    return text
 
 
 def _cell(df: DataFrame, name: str) -> Column:
-    is_text = isinstance(df.schema[name].dataType, T.StringType)
-    mark = F.lit("t" if is_text else "v")
-    return F.coalesce(F.concat(mark, F.col(name).cast("string")), F.lit("")).alias(name)
+    """A value as a key of bounded length: the text of long values gives way to its digest."""
+    mark = F.lit("t" if isinstance(df.schema[name].dataType, T.StringType) else "v")
+    text = F.coalesce(F.concat(mark, _plain(df, name)), F.lit(""))
+    digest = F.concat(F.lit("d"), F.sha2(text, 256))
+    return F.when(F.length(text) <= CELL_CHARS, text).otherwise(digest).alias(name)
 
 
 def cells(df: DataFrame, columns: list[str], ids: Iterable[str] = ()) -> DataFrame:
@@ -37,16 +52,6 @@ def cells(df: DataFrame, columns: list[str], ids: Iterable[str] = ()) -> DataFra
     return long.withColumnsRenamed({f"_{i}": i for i in ids})
 
 
-def _aligned(history: DataFrame, batch: DataFrame, columns: list[str]) -> list[Column]:
-    """History columns in the batch's types where both are numbers (1 and 1.0 are one value)."""
-    def column(c):
-        ours, theirs = batch.schema[c].dataType, history.schema[c].dataType
-        numeric = isinstance(ours, T.NumericType) and isinstance(theirs, T.NumericType)
-        return F.col(c).try_cast(ours).alias(c) if numeric and ours != theirs else F.col(c)
-
-    return [column(c) for c in columns]
-
-
 def compared_columns(batch: DataFrame, excluded: Iterable[str]) -> list[str]:
     excluded = set(excluded)
     return [c for c in batch.columns if c not in excluded]
@@ -69,10 +74,10 @@ def unseen(tally: DataFrame, past: DataFrame, key: list[str]) -> DataFrame:
     return cut_lineage(judged.withColumn("ok", F.col("_known").isNull()).drop("_known"))
 
 
-def past_cells(history: DataFrame, batch: DataFrame, columns: list[str], group: Iterable[str] = ()) -> DataFrame:
-    """The cells of history in the batch's types, one row per cell."""
+def past_cells(history: DataFrame, columns: list[str], group: Iterable[str] = ()) -> DataFrame:
+    """The cells of the named columns of history, one row per cell."""
     group = list(group)
-    return cells(history.select(*group, *_aligned(history, batch, columns)), columns, group)
+    return cells(history.select(*group, *columns), columns, group)
 
 
 def rows_with_fresh_cells(
@@ -106,7 +111,7 @@ def novelty_cells(
     columns = compared_columns(batch, [row_id, *group, *excluded])
     if any(c not in history.columns for c in columns):
         return batch
-    past = past_cells(history, batch, columns, group)
+    past = past_cells(history, columns, group)
     return rows_with_fresh_cells(batch, past, row_id, columns, group, hot)
 
 
@@ -119,8 +124,7 @@ def novelty_rows(batch: DataFrame, history: DataFrame, excluded: Iterable[str] =
     columns = compared_columns(batch, excluded)
     keys = [f"_k_{c}" for c in columns]
     ours = batch.withColumns({f"_k_{c}": _cell(batch, c) for c in columns})
-    past = history.select(*_aligned(history, batch, columns))
-    theirs = past.select(*[_cell(past, c).alias(f"_k_{c}") for c in columns])
+    theirs = history.select(*[_cell(history, c).alias(f"_k_{c}") for c in columns])
     judged = unseen(ours.groupBy(*keys).agg(F.count("*").alias("n")), theirs, keys)
     return accepted_rows(ours, judged, keys).select(*batch.columns)
 
@@ -140,7 +144,7 @@ def novelty_sequential(
         return batch
     key = [*group, "col", "val"]
     first = cells(batch, columns, [*group, seq]).groupBy(*key).agg(F.min(seq).alias(seq))
-    judged = unseen(first, past_cells(history, batch, columns, group), key)
+    judged = unseen(first, past_cells(history, columns, group), key)
     fresh = judged.filter("ok").select(*group, seq).distinct()
     return batch.join(fresh, [*group, seq], "left_semi")
 

@@ -180,7 +180,7 @@ def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: s
     )
     full = store(joins.join_detail(topics, store(read), "url"))
     fresh = store(novelty.novelty_cells(full.drop("body"), history, "row_id"))
-    shown = store(joins.semi_join_new_dates(full, fresh))
+    shown = store(joins.semi_join_new_dates(full, fresh, row_id="row_id"))
     documents = _news_documents(shown.withColumn("category", F.lit(None).cast("string")))
     return {"cards": full.drop("body"), "new": fresh, **documents}
 
@@ -203,7 +203,7 @@ def tech_articles(conf: DataFrame, pages: DataFrame, history: DataFrame, rules:
     )
     rows = store(rows)
     fresh = store(novelty.novelty_cells(rows.drop("tags"), history, "row_id", group=["word"]))
-    shown = joins.semi_join_new_dates(rows, fresh, ["word", "date"])
+    shown = joins.semi_join_new_dates(rows, fresh, ["word", "date"], "row_id")
     key = pl.page_key(F.col("site"), F.col("word"), F.col("url"), F.col("pick_up"))
     payload = pl.article_page(*[F.col(c) for c in (
         "tags", "title", "url", "writer", "summary", "site", "site_url", "date", "pick_up")])

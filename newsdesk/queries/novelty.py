@@ -94,7 +94,7 @@ def _polls(spark, sf):
     for high_text in POLLS:
         high = F.lit(high_text).cast("timestamp_ntz")
         arrived = events.filter((F.col("ts") >= low) & (F.col("ts") < high)).select(*st.COMPARED)
-        arrived.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        arrived.write.mode("append").parquet(f"{folder}/landing")
         stream = ing.landing(spark, f"{folder}/landing", arrived.schema)
 
         def publish(fresh, batch_id):

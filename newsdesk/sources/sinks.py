@@ -39,6 +39,9 @@ def publish_blocks(blocks: DataFrame, folder: str, run: str | int | None = None)
 
 
 def write_targets(df: DataFrame, folder: str, run: str | int | None = None, target: str = "target") -> None:
-    """One table per target value inside one partitioned folder."""
-    writer, place = _writer(df, run)
+    """One table per target value inside one partitioned folder.
+
+    Rows are rebalanced by target: small targets are written by one task each, a large one is split.
+    """
+    writer, place = _writer(df.hint("rebalance", F.col(target)), run)
     writer.partitionBy(target).parquet(folder + place)

@@ -72,6 +72,10 @@ def test_novelty_edge_cases(spark):
     assert novelty.novelty_cells(batch.filter("id = 0"), as_text, "id").count() == 1
     as_double = past.withColumn("a", F.col("a").cast("double"))
     assert novelty.novelty_cells(batch.filter("id = 0"), as_double, "id").count() == 0
+    with_half = past.withColumn("a", F.col("a") + 0.5)
+    assert novelty.novelty_cells(batch.filter("id = 0"), with_half, "id").count() == 1
+    long_text = spark.createDataFrame([(0, 1, "x" * 500), (1, 1, "x" * 499 + "y")], SCHEMA)
+    assert [r.id for r in novelty.novelty_cells(long_text, long_text.filter("id = 0"), "id").collect()] == [1]
     long_id = 1512345678901234567
     ids = spark.createDataFrame([(0, long_id, "x")], SCHEMA)
     near = spark.createDataFrame([(0, long_id + 1, "x")], SCHEMA)
@@ -141,6 +145,22 @@ def test_history_replay_changes_nothing(spark, tmp_path):
     assert sorted(map(tuple, history.current().select("id", "a", "b").collect()), key=str) == table
 
 
+def test_history_with_other_number_types(spark, tmp_path):
+    history = History(spark, str(tmp_path / "h"), "id")
+    history.merge(spark.createDataFrame([(0, 1), (1, 2)], "id bigint, a bigint"), 0)
+    drifted = spark.createDataFrame([(2, 1.0), (3, 1.5)], "id bigint, a double")
+    assert [r.id for r in history.merge(drifted, 1).collect()] == [3]
+    exact = drifted.select("id", F.col("a").cast("decimal(10,2)").alias("a"))
+    assert history.merge(exact, 2).count() == 0
+
+
+def test_undated_records(spark):
+    records = spark.createDataFrame([(0, "d1"), (1, "d1"), (2, None), (3, None)], "row_id bigint, date string")
+    fresh = records.filter("row_id IN (1, 2)")
+    assert sorted(r.row_id for r in joins.semi_join_new_dates(records, fresh, row_id="row_id").collect()) == [0, 1, 2]
+    assert sorted(r.row_id for r in joins.semi_join_new_dates(records, fresh).collect()) == [0, 1]
+
+
 def test_stream_equals_batches(spark, tmp_path):
     batches = [frames(s)[0] for s in (1, 2, 3)]
     batches = [[(100 * n + r[0], *r[1:]) for r in rows] for n, rows in enumerate(batches)]

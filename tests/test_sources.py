@@ -70,6 +70,10 @@ def test_csv_merge_and_accumulate(spark, tmp_path):
     files.csv_accumulate(one, at(10), at(11), "day")
     total = {r.day: (r.x, r.y, r.z) for r in files.csv_accumulate(two, at(11), at(12), "day").collect()}
     assert total == {"2022-05-01": (6, 2, 7), "2022-05-02": (1, 0, 1)}
+    half = spark.createDataFrame([("2022-05-01", 1.5)], "day string, y double")
+    files.csv_accumulate(half, at(20), at(21), "day")
+    kept = files.csv_accumulate(two, at(21), at(22), "day")  # a batch without y leaves its decimals
+    assert {r.day: r.y for r in kept.collect()} == {"2022-05-01": 1.5, "2022-05-02": 0}
     twice = {r.day: r.x for r in files.csv_accumulate(two, at(12), at(13), "day").collect()}
     assert twice == {"2022-05-01": 11, "2022-05-02": 2}  # a rerun counts twice
 
@@ -121,3 +125,6 @@ def test_publishing(spark, tmp_path):
     assert sorted((r.id, r.block_pos) for r in linked.collect()) == [("a", 0), ("a", 1), ("b", 0)]
     sinks.write_targets(tables.with_target(docs, "db", "id"), str(tmp_path / "targets"))
     assert sorted(p.name for p in (tmp_path / "targets").glob("target=*")) == ["target=db1_a", "target=db2_b"]
+    many = spark.range(4000).repartition(8).select("id", F.concat(F.lit("t"), F.col("id") % 20).alias("target"))
+    sinks.write_targets(many, str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").glob("target=*/*.parquet"))) == 20

@@ -151,6 +151,37 @@ def test_passages(docs, rows):
     assert {d for ds in runs.values() if len(ds) > 1 for d in ds} <= linked
 
 
+def test_passages_of_partial_references(spark):
+    """Documents that hold only a part of a passage, under MIN_WORDS, do not hide it from the others."""
+    rng = random.Random(11)
+    texts, wanted = [], set()
+    for n in range(60):
+        words = prose(rng, 100 if n % 3 == 2 else 60).split()
+        parts = ([(6, 54)], [(0, 40), (20, 60)], [(0, 40), (30, 70), (60, 100)])[n % 3]
+        for a, b in parts:
+            texts.append(f"{prose(rng, 30)} {' '.join(words[a:b])} {prose(rng, 30)}")
+        for _ in range(2):
+            wanted.add(len(texts))
+            texts.append(f"{prose(rng, 30)} {' '.join(words)} {prose(rng, 30)}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    linked = {d for r in chaining.passages(docs).collect() for d in (r.doc_id, r.ref_doc_id)}
+    assert wanted <= linked, f"{len(wanted - linked)} of {len(wanted)} lost"
+
+
+def test_passages_in_crowds(spark, monkeypatch):
+    """Places of a frequent seed that share more than it are found by their runs of seeds."""
+    monkeypatch.setattr(chaining, "CROWD", 2)
+    rng = random.Random(12)
+    line = prose(rng, 30)
+    texts = [f"{prose(rng, 20)} {line} {prose(rng, 40)}" for _ in range(40)]
+    for _ in range(5):
+        tail = prose(rng, 60)
+        texts += [f"{prose(rng, 20)} {line} {tail}" for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    linked = {d for r in chaining.passages(docs).collect() for d in (r.doc_id, r.ref_doc_id)}
+    assert set(range(40, 50)) <= linked
+
+
 def test_chains_and_alignment():
     assert chaining.chains([(0, 10, 5), (20, 30, 5), (40, 20, 5)])[0][:4] == (0, 25, 10, 35)
     assert chaining.common_words([1, 2, 3, 4, 5], [1, 9, 3, 4, 7, 5]) == 4

@@ -2,7 +2,7 @@
 
 P(word | previous) = a * c(previous, word) / c(previous) + b * c(word) / N + c / (V + 1). The weights
 depend on the bucket of c(previous) (its power of two) and are learned by expectation-maximisation on
-held-out counts: a set of training documents is left out of the counts it is predicted with.
+held-out counts: a share of the training text is left out of the counts it is predicted with.
 
 Counts never pass through a table of tokens. Documents are dealt to blocks of bounded size; a block
 sends its distinct n-gram keys, sorted and packed, to the shards of the key space. A shard adds up the
@@ -25,8 +25,8 @@ from newsdesk.session import store
 FOLDS, TEST_FOLD = 5, 1
 #: Bytes of text in a block, and of text whose keys a shard holds.
 BLOCK_BYTES, SHARD_BYTES = 2_500_000, 2_500_000
-#: Bytes of training text held out for the weights; the counts cover all the other training text.
-HELD_BYTES = 6_000_000
+#: Share of the training text held out for the weights, at every size, and the tokens of a run drawn as one.
+HELD, RUN = 0.2, 1000
 BUCKETS, ROUNDS = 40, 50
 END, START = (tb.mix(np.array([n], np.uint64))[0] for n in (0xE4D, 0x57A27))
 
@@ -94,29 +94,56 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64), BUCKETS - 1)
 
 
-def learn_weights(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: int, vocabulary: int, times: np.ndarray) -> np.ndarray:
-    """Weights (bigram, unigram, uniform) per bucket, from held-out tokens with their counts.
+def learn_weights(seen: DataFrame, total: int, vocabulary: int) -> np.ndarray:
+    """Weights (bigram, unigram, uniform) per bucket, from the counts (pair, context, single, times) of held-out tokens.
 
     Expectation-maximisation from equal weights; a bucket starts from the weights of all tokens
     together, and one without held-out tokens keeps them. A context that was never seen has no bigram
-    estimate and gives its share to the others.
+    estimate and gives its share to the others. A round is one aggregation to three sums per bucket.
     """
-    parts = np.stack([np.where(context > 0, pair / np.maximum(context, 1), 0.0), single / max(total, 1), np.full(len(pair), 1.0 / (vocabulary + 1))], 1)
-
-    def fit(rows: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        for _ in range(ROUNDS):
-            share = rows * weights
-            weights = (share / share.sum(1, keepdims=True) * counts[:, None]).sum(0) / counts.sum()
-        return np.maximum(weights, 1e-9) / np.maximum(weights, 1e-9).sum()
-
-    even = np.full(3, 1 / 3)
-    everywhere = fit(parts, times, even) if len(parts) else even
-    out = np.tile(everywhere, (BUCKETS, 1))
-    bucket = bucket_of(context)
-    for b in np.unique(bucket):
-        mine = bucket == b
-        out[b] = fit(parts[mine], times[mine], everywhere)
-    return out
+    context = F.greatest("context", F.lit(1)).cast("double")
+    # Powers of two are exact as doubles, log2 is not: the edge below or at the count names the bucket.
+    bucket = F.size(F.filter(F.lit([float(1 << b) for b in range(1, BUCKETS)]), lambda edge: edge <= context))
+    rows = seen.select(F.when(F.col("context") > 0, F.col("pair") / context).otherwise(0.0).alias("p0"), (F.col("single") / F.lit(float(max(total, 1)))).alias("p1"), "times", bucket.alias("bucket"))
+    uniform = 1.0 / (vocabulary + 1)
+
+    def pack_step(batch: pa.RecordBatch):
+        yield record_batch(**{n: pa.ListArray.from_arrays([0, batch.num_rows], batch.column(n)) for n in ("p0", "p1", "times", "bucket")})
+
+    # A batch in a row: a round moves few rows, and its tasks return their sums without a shuffle.
+    packed = store(map_batches(rows, pack_step, "p0 array<double>, p1 array<double>, times array<bigint>, bucket array<int>"))
+
+    def sums(weights: np.ndarray) -> np.ndarray:
+        """Shares of the three parts and tokens, a row per bucket."""
+
+        def step(batches):
+            out = np.zeros((4, BUCKETS))
+            for batch in batches:
+                p0, p1, times, at = (batch.column(n).flatten().to_numpy() for n in ("p0", "p1", "times", "bucket"))
+                shares = weights[at] * np.stack([p0, p1, np.full(len(p0), uniform)], 1)
+                shares *= (times / shares.sum(1))[:, None]
+                out += np.stack([np.bincount(at, x, BUCKETS) for x in (*shares.T, times)])
+            yield record_batch(**{f"s{i}": pa.array([out[i]], pa.list_(pa.float64())) for i in range(4)})
+
+        found = packed.mapInArrow(step, ", ".join(f"s{i} array<double>" for i in range(4))).collect()
+        return np.sum([np.array(list(r)).T for r in found], axis=0) if found else np.zeros((BUCKETS, 4))
+
+    def kept(weights: np.ndarray) -> np.ndarray:
+        weights = np.maximum(weights, 1e-9)
+        return weights / weights.sum(1, keepdims=True)
+
+    weights = np.full((BUCKETS, 3), 1 / 3)
+    for _ in range(ROUNDS):
+        found = sums(weights).sum(0)
+        if not found[3]:
+            return weights
+        weights = np.tile(found[:3] / found[3], (BUCKETS, 1))
+    weights = kept(weights)
+    for _ in range(ROUNDS):
+        found = sums(weights)
+        some = found[:, 3] > 0
+        weights[some] = found[some, :3] / found[some, 3:]
+    return kept(weights)
 
 
 def log10_probabilities(pair, context, single, total, vocabulary, weights) -> np.ndarray:
@@ -126,77 +153,57 @@ def log10_probabilities(pair, context, single, total, vocabulary, weights) -> np
     return np.log10(p / lost)
 
 
-def _held(train: DataFrame, share: float) -> DataFrame:
-    limit = int(share * (1 << 32))
-    return train.withColumn("held", F.pmod(F.xxhash64(F.lit("held out"), "key"), F.lit(1 << 32)) < limit)
+def held_out(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether each token is held out: HELD of the runs of RUN tokens, drawn by document key and run."""
+    sizes = counts + 1
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    drawn = tb.mix(np.repeat(tb.mix(keys), sizes) + (place // RUN).astype(np.uint64))
+    return (drawn >> np.uint64(32)) < np.uint64(int(HELD * (1 << 32)))
 
 
-def _statistics(docs: DataFrame, share: float) -> tuple[int, int, np.ndarray]:
+def _statistics(docs: DataFrame) -> tuple[int, int, np.ndarray]:
     """Tokens and distinct tokens of the training documents, and the weights.
 
-    One pass adds up, per distinct token, its count; and, for the bigrams and tokens of the held-out
-    documents (bounded by HELD_BYTES), their counts in the other training documents.
+    One pass adds up the count of each distinct token; of the tokens, contexts and bigrams outside the
+    held-out runs; and of the held-out bigrams. Nothing but sums comes to the driver.
     """
-    train = _held(docs.filter("train"), share)
-    held = train.filter("held").select("text")
 
-    def held_step(batch: pa.RecordBatch):
-        for _, words in tb.pieces(batch.column("text"), lower=True):
+    def step(batch: pa.RecordBatch):
+        names = batch.column("key").to_numpy().view(np.uint64)
+        for row, words in tb.pieces(batch.column("text"), lower=True):
             _, token, bigram = tokens_of(words)
+            if not len(token):
+                continue
             before = np.concatenate([[START], token[:-1]]).astype(np.uint64)
             before[1:][token[:-1] == END] = START
-            yield record_batch(token=token.view(np.int64), before=before.view(np.int64), bigram=bigram.view(np.int64))
-
-    seen = map_batches(held, held_step, "token bigint, before bigint, bigram bigint").groupBy("token", "before", "bigram").agg(F.count("*").alias("times")).toArrow()
-    columns = {n: seen.column(n).to_numpy().view(np.uint64) for n in ("token", "before", "bigram")}
-    times = seen.column("times").to_numpy().astype(float)
-    asked = np.unique(columns["bigram"])
-    sent = docs.sparkSession.sparkContext.broadcast(asked)
-
-    def count_step(batch: pa.RecordBatch):
-        out_of_sample = ~batch.column("held").to_numpy(zero_copy_only=False)
-        tokens, pairs = [], []
-        starts = 0
-        for row, words in tb.pieces(batch.column("text"), lower=True):
-            doc, token, bigram = tokens_of(words)
-            rest = out_of_sample[row : row + len(words.counts)]
-            unique, back = np.unique(token, return_inverse=True)
-            tokens.append((unique, np.bincount(back, minlength=len(unique)), np.bincount(back, rest[doc], len(unique))))
-            if len(sent.value):
-                mine = bigram[rest[doc]]
-                spot = np.minimum(np.searchsorted(sent.value, mine), len(sent.value) - 1)
-                hit, number = np.unique(spot[sent.value[spot] == mine], return_counts=True)
-                pairs.append((sent.value[hit], number))
-            starts += int(rest.sum())
-        unique, back = np.unique(np.concatenate([t[0] for t in tokens]), return_inverse=True)
-        whole = np.bincount(back, np.concatenate([t[1] for t in tokens]), len(unique)).astype(np.int64)
-        other = np.bincount(back, np.concatenate([t[2] for t in tokens]), len(unique)).astype(np.int64)
-        yield record_batch(kind=np.zeros(len(unique), np.int32), key=unique.view(np.int64), whole=whole, other=other)
-        if pairs:
-            keys, numbers = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            yield record_batch(kind=np.ones(len(keys), np.int32), key=keys.view(np.int64), whole=np.zeros(len(keys), np.int64), other=numbers.astype(np.int64))
-        yield record_batch(kind=np.full(1, 2, np.int32), key=np.array([START], np.uint64).view(np.int64), whole=np.zeros(1, np.int64), other=np.array([starts]))
-
-    counts = store(map_batches(train.select("text", "held"), count_step, "kind int, key bigint, whole bigint, other bigint")
-                   .groupBy("kind", "key").agg(F.sum("whole").alias("whole"), F.sum("other").alias("other")))
+            held = held_out(names[row : row + len(words.counts)], words.counts)
+
+            def rows(kind: int, key: np.ndarray, chosen: np.ndarray, with_parts: bool = False):
+                """Distinct keys with their tokens, and with those of `chosen`; a bigram with its parts."""
+                unique, first, back = np.unique(key, return_index=True, return_inverse=True)
+                n = len(unique)
+                whole, other = np.bincount(back, minlength=n).astype(np.int64), np.bincount(back, chosen, n).astype(np.int64)
+                parts = {"before": before[held][first].view(np.int64), "token": token[held][first].view(np.int64)} if with_parts else {"before": pa.nulls(n, pa.int64()), "token": pa.nulls(n, pa.int64())}
+                return record_batch(kind=np.full(n, kind, np.int32), key=unique.view(np.int64), **parts, whole=whole, other=other)
+
+            yield rows(0, token, ~held)
+            yield rows(2, before[~held], np.ones(int((~held).sum()), bool))
+            if held.any():
+                yield rows(1, bigram[held], np.zeros(int(held.sum()), bool), True)
+            if not held.all():
+                batch_rows = rows(1, bigram[~held], np.ones(int((~held).sum()), bool))
+                yield batch_rows.set_column(4, "whole", pa.array(np.zeros(batch_rows.num_rows, np.int64)))
+
+    found = map_batches(docs.filter("train").select("key", "text"), step, "kind int, key bigint, before bigint, token bigint, whole bigint, other bigint")
+    counts = found.groupBy("kind", "key").agg(*[F.max(c).alias(c) for c in ("before", "token")], *[F.sum(c).alias(c) for c in ("whole", "other")])
+    counts = store(counts.filter("kind <> 1 OR whole > 0"))
     row = counts.filter("kind = 0").agg(F.sum("whole").alias("n"), F.count("*").alias("v"), F.sum("other").alias("rest")).first()
     total, vocabulary, rest = row["n"] or 0, row["v"], row["rest"] or 0
-    # The counts asked for: bounded by the held-out sample.
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame(pa.table({"key": np.unique(np.concatenate([columns["token"], columns["before"], asked])).view(np.int64)}))
-    found = counts.join(wanted, "key").select("key", "other").toArrow()
-    keys, values = found.column("key").to_numpy().view(np.uint64), found.column("other").to_numpy()
-    order = np.argsort(keys)
-    keys, values = keys[order], values[order]
-
-    def look(k: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(k))
-        spot = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-        return np.where(keys[spot] == k, values[spot], 0).astype(float)
-
-    weights = learn_weights(look(columns["bigram"]), look(columns["before"]), look(columns["token"]), rest, vocabulary, times)
-    return total, vocabulary, weights
+    bigrams = counts.filter("kind = 1").select("before", "token", F.col("whole").alias("times"), F.col("other").alias("pair"))
+    contexts = counts.filter("kind = 2").select(F.col("key").alias("before"), F.col("other").alias("context"))
+    singles = counts.filter("kind = 0").select(F.col("key").alias("token"), F.col("other").alias("single"))
+    seen = bigrams.join(contexts, "before", "left").join(singles, "token", "left").fillna(0, ["context", "single"])
+    return total, vocabulary, learn_weights(seen.groupBy("pair", "context", "single").agg(F.sum("times").alias("times")), rest, vocabulary)
 
 
 def score(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), folds: int = FOLDS, test_fold: int = TEST_FOLD) -> DataFrame:
@@ -211,8 +218,8 @@ def score(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), folds: int = FOL
     texts = docs.select(*[F.col(c).alias(k) for c, k in kept.items()], text_of(docs).alias("text"), F.xxhash64("doc_id", "text").alias("key"),
                         (remainder(docs["doc_id"], folds) == test_fold).alias("held_out"))
     texts = texts.withColumn("train", ~F.col("held_out"))
-    sizes = texts.agg(F.sum(F.octet_length("text")).alias("all"), F.sum(F.when(F.col("train"), F.octet_length("text"))).alias("train")).first()
-    total, vocabulary, weights = _statistics(texts.select("key", "text", "train"), min(0.2, HELD_BYTES / max(sizes["train"] or 0, 1)))
+    sizes = texts.agg(F.sum(F.octet_length("text")).alias("all")).first()
+    total, vocabulary, weights = _statistics(texts.select("key", "text", "train"))
 
     blocks = max(1, math.ceil((sizes["all"] or 0) / BLOCK_BYTES))
     shards = max(1, math.ceil((sizes["all"] or 0) / SHARD_BYTES))

@@ -129,6 +129,38 @@ def test_language_model(docs, rows, monkeypatch):
     assert len(got) == len(rows)
 
 
+def test_weights_learn_from_a_share(spark, monkeypatch):
+    """A fixed share of the training text is held out, also of one long document, and EM equals a plain one."""
+    rng = random.Random(13)
+    got = {}
+    learn = language_model.learn_weights
+
+    def learned(seen, total, vocabulary):
+        got["seen"], got["fixed"] = [tuple(map(int, r)) for r in seen.select("pair", "context", "single", "times").collect()], (total, vocabulary)
+        got["weights"] = learn(seen, total, vocabulary)
+        return got["weights"]
+
+    monkeypatch.setattr(language_model, "learn_weights", learned)
+    docs = spark.createDataFrame([(0, prose(rng, 1_300_000))], "doc_id bigint, text string")
+    row = language_model.score(docs, test_fold=9).first()
+    seen, (total, vocabulary) = got["seen"], got["fixed"]
+    held = sum(r[3] for r in seen)
+    assert 0.15 < held / row.train_tokens < 0.25 and total + held == row.train_tokens and all(r[0] <= r[1] for r in seen)
+    pair, context, single, times = np.array(seen, float).T
+    parts = np.stack([np.where(context > 0, pair / np.maximum(context, 1), 0), single / total, np.full(len(pair), 1 / (vocabulary + 1))], 1)
+
+    def fit(mine, weights):
+        for _ in range(language_model.ROUNDS):
+            share = parts[mine] * weights
+            weights = (share / share.sum(1, keepdims=True) * times[mine, None]).sum(0) / times[mine].sum()
+        return np.maximum(weights, 1e-9) / np.maximum(weights, 1e-9).sum()
+
+    everywhere = fit(np.ones(len(pair), bool), np.full(3, 1 / 3))
+    bucket = language_model.bucket_of(context)
+    for b in range(language_model.BUCKETS):
+        assert got["weights"][b] == pytest.approx(fit(bucket == b, everywhere) if (bucket == b).any() else everywhere, rel=1e-6, abs=1e-9)
+
+
 def test_line_windows(docs, rows):
     out = line_dedup.dedup_lines(docs)
     assert out.columns == [*docs.columns, "n_removed_lines"]

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsdesk.llm import (
-    chaining, cotraining, decontaminate, language_model, line_dedup, maximal_repeats, mixing, near_dedup, quality_rules, sql, toxicity,
+    chaining, cotraining, decontaminate, language_id, language_model, line_dedup, maximal_repeats, merkle, mixing, near_dedup, quality_rules, sql, toxicity,
+    whitening,
 )
 from newsdesk.llm.common import remainder
 from newsdesk.session import tune
@@ -104,6 +105,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        quality_rules.passes().alias("kept"), "n_lines", "n_letter_words", "fail_mask")
 
 
+@query("op11_merkle_witnesses", sql.MANIFEST)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Witness digest of every document, folded after a third of the documents was tampered with."""
+    return merkle.verified(merkle.tampered(_table(spark, sf_dir)))
+
+
+@query("op12_bit_sliced_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First whitened coordinates of every embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_hyperdimensional_langid")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = _table(spark, sf_dir)
+    held_out = remainder(F.col("doc_id"), language_id.FOLDS) == language_id.TEST_FOLD
+    return language_id.identify(docs, *language_id.learn(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("rule_ablations", sql.RULE_ABLATIONS)
 def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per policy and rule: what fails, and what only this rule rejects."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from newsdesk.llm import mixing, quality_rules
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -116,3 +118,46 @@ FROM docs d LEFT JOIN final f ON d.source = f.source AND d.lang = f.lang AND d.t
 
 
 MIXTURE = _mixture()
+
+
+def _manifest(levels: int = 9, arity: int = 8) -> str:
+    """`levels` levels of the trees of the languages and of the tree of their roots; a level with one node stays."""
+    # The crc32 is linear but for its start and end: entry b of the byte-wise table comes from the crc32 of the byte b ^ 255.
+    table = [zlib.crc32(bytes([b ^ 255])) ^ 0xFFFFFFFF ^ 0x00FFFFFF for b in range(256)]
+    said = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    fields = lambda text: "sha256(" + " || ".join(said(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    parts = [f"""
+WITH docs AS MATERIALIZED (SELECT *, translate(text, {CAPITALS}) AS lowered, [{", ".join(map(str, table))}] AS crc FROM documents),
+leaves AS MATERIALIZED (
+  SELECT doc_id, lang, {fields("text")} AS leaf,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                     lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]::BIGINT)) AS crc32, {fields("lowered")} AS other
+  FROM docs),
+n0 AS MATERIALIZED (
+  SELECT lang AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h, doc_id, leaf,
+         CASE WHEN xor(crc32, 4294967295) % 3 = 0 THEN other END AS other FROM leaves),
+docs_0 AS MATERIALIZED (SELECT doc_id, tree, leaf, pos, '' AS proof, coalesce(other, leaf) AS folded FROM n0)"""]
+
+    def level(nodes: str, docs: str, above: str, docs_above: str) -> None:
+        group = f"(PARTITION BY tree, pos // {arity} ORDER BY pos ROWS BETWEEN"
+        parts.append(f"""{nodes}_s AS MATERIALIZED (SELECT tree, pos, h, count(*) OVER (PARTITION BY tree) AS total,
+  coalesce(string_agg(h, '') OVER {group} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+  coalesce(string_agg(h, '') OVER {group} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {nodes})""")
+        parts.append(f"""{above} AS MATERIALIZED (SELECT tree, CASE WHEN total = 1 THEN 0 ELSE pos // {arity} END AS pos,
+  CASE WHEN any_value(total) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {nodes}_s GROUP BY 1, CASE WHEN total = 1 THEN 0 ELSE pos // {arity} END)""")
+        parts.append(f"""{docs_above} AS MATERIALIZED (SELECT d.* EXCLUDE (pos, proof, folded), d.pos // {arity} AS pos, proof || before || after AS proof,
+  CASE WHEN total = 1 THEN folded ELSE sha256(before || folded || after) END AS folded
+  FROM {docs} d JOIN {nodes}_s s ON d.tree IS NOT DISTINCT FROM s.tree AND d.pos = s.pos)""")
+
+    for k in range(levels):
+        level(f"n{k}", f"docs_{k}", f"n{k + 1}", f"docs_{k + 1}")
+    parts.append(f"m0 AS MATERIALIZED (SELECT 0 AS tree, tree AS lang, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, h FROM n{levels})")
+    parts.append(f"""roots_0 AS MATERIALIZED (SELECT doc_id, leaf, 0 AS tree, h AS subroot, m.pos, proof, folded
+  FROM docs_{levels} d JOIN m0 m ON d.tree IS NOT DISTINCT FROM m.lang)""")
+    for k in range(levels):
+        level(f"m{k}", f"roots_{k}", f"m{k + 1}", f"roots_{k + 1}")
+    return ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified FROM roots_{levels} JOIN m{levels} USING (tree)"""
+
+
+MANIFEST = _manifest()

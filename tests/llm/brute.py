@@ -109,3 +109,76 @@ def line_windows(docs: list[tuple]) -> dict:
                     gone[d] |= {i, i + 1, i + 2}
                 seen.add(w)
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) if t is not None else None for d, t in docs}
+
+
+def digest(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def manifest(docs: list[tuple], arity: int = 8) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, proof digest, folded root) of rows (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(row, text):
+        said = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+        return digest(*[said(v) for v in (*row[:4], text)])
+
+    def climb(nodes):
+        """Root, and per node its siblings before and after, level by level."""
+        paths, below = [[] for _ in nodes], [[i] for i in range(len(nodes))]
+        while len(nodes) > 1:
+            runs = [range(i, min(i + arity, len(nodes))) for i in range(0, len(nodes), arity)]
+            for run in runs:
+                for i in run:
+                    pair = ([nodes[k] for k in run if k < i], [nodes[k] for k in run if k > i])
+                    for n in below[i]:
+                        paths[n].append(pair)
+            below = [[n for i in run for n in below[i]] for run in runs]
+            nodes = [digest(*[nodes[i] for i in run]) for run in runs]
+        return nodes[0], paths
+
+    trees = defaultdict(list)
+    for row in docs:
+        trees[row[2]].append((row, leaf(row, row[4])))
+    order = sorted(trees, key=lambda lang: (lang is not None, (lang or "").encode()))
+    grown = {}
+    for lang, rows in trees.items():
+        rows.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        grown[lang] = climb([h for _, h in rows])
+    root, tops = climb([grown[lang][0] for lang in order]) if order else (None, [])
+    out = []
+    for lang, top in zip(order, tops):
+        subroot, paths = grown[lang]
+        for (row, h), path in zip(trees[lang], paths):
+            whole = path + top
+            changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0
+            now = leaf(row, lower(row[4]) if row[4] is not None else None) if changed else h
+            for before, after in whole:
+                now = digest(*before, now, *after)
+            out.append((row[0], h, subroot, root, digest(*[x for pair in whole for side in pair for x in side]), now))
+    return out
+
+
+def trigrams(text: str | None) -> Counter:
+    """Trigrams of letters with a letter in the middle; "" is a word boundary."""
+    out: Counter = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+        framed = ["", *word, ""]
+        out.update(zip(framed, framed[1:], framed[2:]))
+    return out
+
+
+def language(docs: list[tuple], vector_of) -> dict:
+    """doc_id -> (language, cosine) by prototypes of the texts of (doc_id, lang, text) outside the test fold."""
+    bundle = lambda text: sum((n * vector_of(t) for t, n in trigrams(text).items()), 0)
+    prototypes: dict = {}
+    for d, lang, text in docs:
+        if fold(d, 4) != 2 and lang is not None and trigrams(text):
+            prototypes[lang] = prototypes.get(lang, 0) + bundle(text)
+    length = lambda v: math.sqrt((v * v).sum())
+    out = {}
+    for d, _, text in docs:
+        out[d] = ("und", 0.0)
+        if trigrams(text) and prototypes:
+            mine = bundle(text)
+            out[d] = max(((lang, float((mine * p).sum() / length(mine) / length(p))) for lang, p in sorted(prototypes.items())), key=lambda x: x[1])
+    return out

@@ -104,9 +104,11 @@ def slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield drawn()
 
 
-def bundles(texts: list[str | None]) -> np.ndarray:
-    """The bundle of every text, texts x DIMENSIONS."""
-    out = np.zeros((len(texts), DIMENSIONS))
+def bundles(texts: list[str | None], group: np.ndarray | None = None) -> np.ndarray:
+    """The bundle of every text, texts x DIMENSIONS; or of all texts of a group, groups x DIMENSIONS,
+    where `group` names the row each text is added to."""
+    group = np.arange(len(texts)) if group is None else group
+    out = np.zeros((int(group.max(initial=-1)) + 1, DIMENSIONS))
     for codes, owner in slices(texts):
         middle = np.flatnonzero((codes[1:-1] > 1) & (codes[:-2] != 1) & (codes[2:] != 1)) + 1
         if not len(middle):
@@ -114,7 +116,7 @@ def bundles(texts: list[str | None]) -> np.ndarray:
         alphabet, place = np.unique(codes, return_inverse=True)
         size = len(alphabet)
         keys, trigram = np.unique((place[middle - 1] * size + place[middle]) * size + place[middle + 1], return_inverse=True)
-        rows, row = np.unique(owner[middle], return_inverse=True)
+        rows, row = np.unique(group[owner[middle]], return_inverse=True)
         order = np.argsort(trigram, kind="stable")
         trigram, row = trigram[order], row[order]
         edges = np.searchsorted(trigram, np.arange(0, len(keys) + SLICE_TRIGRAMS, SLICE_TRIGRAMS))
@@ -145,9 +147,8 @@ def learn(docs: DataFrame, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> tu
             if not batch.num_rows:
                 continue
             names, which = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
-            rows = bundles(batch.column("text").to_pylist())
-            for i, name in enumerate(names):
-                held[name] = held.get(name, 0) + rows[which == i].sum(axis=0)
+            for name, bundle in zip(names, bundles(batch.column("text").to_pylist(), which)):
+                held[name] = held.get(name, 0) + bundle
             if len(held) > 1000:  # sent early, added up by Spark all the same
                 yield from sent()
                 held = {}

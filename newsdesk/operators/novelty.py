@@ -9,7 +9,7 @@ Cells are compared as text with a mark for their type class, so NULL is an ordin
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,15 +57,18 @@ def compared_columns(batch: DataFrame, excluded: Iterable[str]) -> list[str]:
     return [c for c in batch.columns if c not in excluded]
 
 
-def unseen(tally: DataFrame, past: DataFrame, key: list[str]) -> DataFrame:
+def unseen(tally: DataFrame, past: DataFrame | Callable[[DataFrame], DataFrame], key: list[str]) -> DataFrame:
     """The tally (one row per key) with the verdict `ok`: the key does not occur in `past`.
 
+    `past` may be a function that gives the past for the stored tally: an index reads only what its keys need.
+
     A batch is usually small against its history.  The tally is stored and counted: up to
     `BROADCAST_KEYS` keys it is sent to the history, which is then filtered where it lies and
     never shuffled; beyond that, history is reduced to distinct keys before the join.  The verdicts
     are stored as well: they are used several times and history must be read only once.
     """
     tally = cut_lineage(tally)
+    past = past(tally) if callable(past) else past
     if tally.count() <= BROADCAST_KEYS:
         known = past.join(F.broadcast(tally.select(*key)), key, "left_semi").distinct()
     else:

@@ -1,4 +1,4 @@
-"""Composed jobs.  Each takes frames and returns named frames; publishing is left to the caller.
+"""Composed jobs.  Each takes frames and returns named frames; `committed` runs them on a stored history.
 
 Extracted records and the records found to be new are written to the shared folder once, because
 several results are made from each of them.
@@ -109,7 +109,7 @@ def trend_realtime(
     return out
 
 
-def _news_documents(news: DataFrame) -> dict[str, DataFrame]:
+def news_documents(news: DataFrame) -> dict[str, DataFrame]:
     key = pl.page_key(F.col("site"), F.col("url"), F.col("headline"))
     payload = pl.news_page(*[F.col(c) for c in ("category", "headline", "url", "summary", "author", "site", "date")])
     return {
@@ -118,13 +118,11 @@ def _news_documents(news: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def news_by_rules(
-    conf: DataFrame, pages: DataFrame, details: DataFrame, history: DataFrame, site: str, marker: str
-) -> dict[str, DataFrame]:
-    """Configured list pages to topics, their article bodies, and the topics that are new.
+def news_topics(conf: DataFrame, pages: DataFrame, details: DataFrame, site: str, marker: str) -> tuple[DataFrame, DataFrame]:
+    """Topics of configured list pages with their target and article body, and the pages refused.
 
     `conf`: site, category, url, base_url, block_rules, body_rules (JSON); `pages`: url, page_no,
-    html; `details`: url, html; `history`: target and the compared topic columns.
+    html; `details`: url, html.
     """
     wanted = tables.filter_contains(conf, "site", site)
     landed = pages.join(wanted, "url")
@@ -148,17 +146,24 @@ def news_by_rules(
     )
     read = store(read.select("url", "a.date", "a.body"))
     full = joins.join_detail(topics.drop("body_rules"), read, "url")
-    full = store(tables.with_target(full, "site", "category"))
-    fresh = store(novelty.novelty_sequential(full, history, "seq", ["target"], ["body"]))
-    return {"topics": full.drop("body"), "new": fresh.drop("body"), "refused": refused, **_news_documents(fresh)}
+    return store(tables.with_target(full, "site", "category")), refused
 
 
-def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: str, link_in: str = "h3",
-               author: str = "author", published: str = "article.published") -> dict[str, DataFrame]:
-    """Article cards of landed front pages, their details, and everything sharing a date with new ones.
+def news_by_rules(
+    conf: DataFrame, pages: DataFrame, details: DataFrame, history: DataFrame, site: str, marker: str
+) -> dict[str, DataFrame]:
+    """Configured list pages to topics, their article bodies, and the topics that are new.
 
-    `pages`: url, html; `details`: url, html; `history`: the compared columns.
+    Frames as for `news_topics`; `history`: target and the compared topic columns.
     """
+    full, refused = news_topics(conf, pages, details, site, marker)
+    fresh = store(novelty.novelty_sequential(full, history, "seq", ["target"], ["body"]))
+    return {"topics": full.drop("body"), "new": fresh.drop("body"), "refused": refused, **news_documents(fresh)}
+
+
+def card_rows(pages: DataFrame, details: DataFrame, site: str, link_in: str = "h3",
+              author: str = "author", published: str = "article.published") -> DataFrame:
+    """Article cards of landed front pages with their details.  `pages`: url, html; `details`: url, html."""
     cards = pages.select("url", F.posexplode(pg.extract_cards(F.col("html"), link_in=link_in)).alias("pos", "c"))
     topics = cards.select(
         pl.page_key(F.col("url"), F.col("pos")).alias("row_id"),
@@ -178,20 +183,27 @@ def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: s
         tm.iso_to_jst(pg.extract_meta(F.col("html"), published)).alias("date"),
         body.alias("body"),
     )
-    full = store(joins.join_detail(topics, store(read), "url"))
-    fresh = store(novelty.novelty_cells(full.drop("body"), history, "row_id"))
+    return store(joins.join_detail(topics, store(read), "url"))
+
+
+def card_documents(full: DataFrame, fresh: DataFrame) -> dict[str, DataFrame]:
+    """Documents of all cards that share their date with a new one."""
     shown = store(joins.semi_join_new_dates(full, fresh, row_id="row_id"))
-    documents = _news_documents(shown.withColumn("category", F.lit(None).cast("string")))
-    return {"cards": full.drop("body"), "new": fresh, **documents}
+    return news_documents(shown.withColumn("category", F.lit(None).cast("string")))
 
 
-def tech_articles(conf: DataFrame, pages: DataFrame, history: DataFrame, rules: str, site: str,
-                  site_url: str, search_url: str, featured: str) -> dict[str, DataFrame]:
-    """Tagged article cards per configured word, and everything sharing a date with new ones.
+def news_cards(pages: DataFrame, details: DataFrame, history: DataFrame, site: str, **found) -> dict[str, DataFrame]:
+    """Article cards, their details, and everything sharing a date with new ones.
 
-    `conf`: word; `pages`: url, html; `history`: word and the compared columns.  Every word has its
-    own history.
+    Frames and further arguments as for `card_rows`; `history`: the compared columns.
     """
+    full = card_rows(pages, details, site, **found)
+    fresh = store(novelty.novelty_cells(full.drop("body"), history, "row_id"))
+    return {"cards": full.drop("body"), "new": fresh, **card_documents(full, fresh)}
+
+
+def article_rows(conf: DataFrame, pages: DataFrame, rules: str, site: str, site_url: str, search_url: str, featured: str) -> DataFrame:
+    """Tagged article cards per configured word.  `conf`: word; `pages`: url, html."""
     wanted = conf.select("word", F.concat(F.lit(search_url), "word").alias("url")).distinct()
     landed = wanted.join(pages, "url")
     cards = landed.select("word", F.inline(pg.extract_tagged_cards(F.col("html"), F.lit(rules))))
@@ -201,17 +213,27 @@ def tech_articles(conf: DataFrame, pages: DataFrame, history: DataFrame, rules:
         F.lit(site).alias("site"), F.lit(site_url).alias("site_url"),
         (F.col("region") == featured).alias("pick_up"), F.lit("none").alias("summary"),
     )
-    rows = store(rows)
-    fresh = store(novelty.novelty_cells(rows.drop("tags"), history, "row_id", group=["word"]))
+    return store(rows)
+
+
+def article_documents(rows: DataFrame, fresh: DataFrame) -> dict[str, DataFrame]:
+    """Documents of all articles that share word and date with a new one."""
     shown = joins.semi_join_new_dates(rows, fresh, ["word", "date"], "row_id")
     key = pl.page_key(F.col("site"), F.col("word"), F.col("url"), F.col("pick_up"))
     payload = pl.article_page(*[F.col(c) for c in (
         "tags", "title", "url", "writer", "summary", "site", "site_url", "date", "pick_up")])
-    return {
-        "articles": rows,
-        "new": fresh,
-        "pages": sinks.page_rows(shown, key, F.lit("tech"), payload, "title", "url", "date"),
-    }
+    return {"pages": sinks.page_rows(shown, key, F.lit("tech"), payload, "title", "url", "date")}
+
+
+def tech_articles(conf: DataFrame, pages: DataFrame, history: DataFrame, rules: str, site: str,
+                  site_url: str, search_url: str, featured: str) -> dict[str, DataFrame]:
+    """Tagged article cards per configured word, and everything sharing a date with new ones.
+
+    `history`: word and the compared columns.  Every word has its own history.
+    """
+    rows = article_rows(conf, pages, rules, site, site_url, search_url, featured)
+    fresh = store(novelty.novelty_cells(rows.drop("tags"), history, "row_id", group=["word"]))
+    return {"articles": rows, "new": fresh, **article_documents(rows, fresh)}
 
 
 POST_LABELS = {
@@ -248,14 +270,14 @@ def posts_by_user(posts: DataFrame, users: DataFrame, history: DataFrame, site:
     """Newest posts of every user, those that are new in the user's own history, and their pages."""
     rows = store(flat_posts(posts, users, site, per_user).withColumn("row_id", F.col("post_id")))
     fresh = store(novelty.novelty_cells(rows, history, "row_id", group=["user_name"]))
+    return {"posts": rows.drop("row_id"), "new": fresh.drop("row_id"),
+            "export": fresh.drop("row_id").withColumnsRenamed(POST_LABELS), **post_documents(fresh)}
+
+
+def post_documents(fresh: DataFrame) -> dict[str, DataFrame]:
     payload = pl.post_page(*[F.col(c) for c in (
         "post_type", "user_id", "post_id", "text", "post_url", "post_time", "user_name", "ref_text", "ref_url")])
-    return {
-        "posts": rows.drop("row_id"),
-        "new": fresh.drop("row_id"),
-        "export": fresh.drop("row_id").withColumnsRenamed(POST_LABELS),
-        "pages": sinks.page_rows(fresh, pl.page_key(F.col("post_id")), F.lit("post"), payload, "post_id"),
-    }
+    return {"pages": sinks.page_rows(fresh, pl.page_key(F.col("post_id")), F.lit("post"), payload, "post_id")}
 
 
 def text_profile(docs: DataFrame, doc: str, text: str, group: str, min_edge: int, top_n: int = 0,

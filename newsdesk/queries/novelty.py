@@ -86,7 +86,7 @@ POLLS = ("2024-01-11", "2024-01-21", "2024-02-01")
 
 
 def _polls(spark, sf):
-    """Three polls over a landing folder; gives the history and the folder of published rows."""
+    """Three polls over a landing folder; gives the history."""
     folder = st.scratch(spark)
     events = st.table(spark, sf, "events")
     history = History(spark, f"{folder}/history", "event_id")
@@ -96,13 +96,9 @@ def _polls(spark, sf):
         arrived = events.filter((F.col("ts") >= low) & (F.col("ts") < high)).select(*st.COMPARED)
         arrived.write.mode("append").parquet(f"{folder}/landing")
         stream = ing.landing(spark, f"{folder}/landing", arrived.schema)
-
-        def publish(fresh, batch_id):
-            fresh.write.mode("overwrite").parquet(f"{folder}/published/poll={batch_id}")
-
-        ing.ingest(stream, history, f"{folder}/checkpoint", publish).awaitTermination()
+        ing.ingest(stream, history, f"{folder}/checkpoint", lambda fresh: {"news": fresh.select("event_id")}).awaitTermination()
         low = high
-    return history, f"{folder}/published"
+    return history
 
 
 _BOUNDS = "\nUNION ALL ".join(
@@ -118,13 +114,11 @@ _BOUNDS = "\nUNION ALL ".join(
   WHEN ts < TIMESTAMP '{POLLS[1]}' THEN 1 ELSE 2 END AS poll_of FROM events)
 {_BOUNDS}""")
 def incremental_ingest(spark, sf):
-    _, published = _polls(spark, sf)
-    rows = spark.read.schema("event_id bigint, poll bigint").parquet(published)
-    return rows.select("event_id", "poll")
+    return _polls(spark, sf).published("news").select("event_id", F.col("batch_id").alias("poll"))
 
 
 @query("incremental_history", f"""SELECT event_id, user_id, event_type, value FROM (
   SELECT *, CASE WHEN ts < TIMESTAMP '{POLLS[0]}' THEN 0 WHEN ts < TIMESTAMP '{POLLS[1]}' THEN 1 ELSE 2 END AS poll FROM events)
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type, value ORDER BY poll DESC, event_id) = 1""")
 def incremental_history(spark, sf):
-    return _polls(spark, sf)[0].current().select(*st.COMPARED)
+    return _polls(spark, sf).current().select(*st.COMPARED)

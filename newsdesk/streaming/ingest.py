@@ -21,19 +21,17 @@ def landing(spark: SparkSession, folder: str, schema: T.StructType | str, files_
 
 
 def ingest(
-    stream: DataFrame, history: History, checkpoint: str, publish: Callable[[DataFrame, int], None] | None = None
+    stream: DataFrame, history: History, checkpoint: str, publish: Callable[[DataFrame], dict[str, DataFrame]] | None = None
 ) -> StreamingQuery:
     """Start a run that handles everything landed so far and stops.
 
-    The checkpoint gives every file to exactly one batch id; history and publishing write under
-    that id, so a batch that is repeated after a failure replaces its own output.
+    The checkpoint gives every file to exactly one batch id. History and the tables that `publish` makes
+    of the new rows change by one commit under that id, so a batch that is repeated after a failure
+    either finds nothing of itself or all of it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        fresh = history.merge(batch, batch_id)
-        if publish is not None:
-            publish(fresh, batch_id)
+        if not batch.isEmpty():
+            history.merge(batch, batch_id, publish)
 
     return (
         stream.writeStream.foreachBatch(handle)

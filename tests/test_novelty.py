@@ -166,18 +166,17 @@ def test_stream_equals_batches(spark, tmp_path):
     batches = [[(100 * n + r[0], *r[1:]) for r in rows] for n, rows in enumerate(batches)]
     streamed = History(spark, str(tmp_path / "s"), "id")
     plain = History(spark, str(tmp_path / "p"), "id")
-    published, expected = [], []
+    expected = []
     for n, rows in enumerate(batches):
         frame = spark.createDataFrame(rows, SCHEMA)
         frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "landing"))
         stream = ing.landing(spark, str(tmp_path / "landing"), frame.schema)
-        ing.ingest(stream, streamed, str(tmp_path / "ckpt"),
-                   lambda fresh, _: published.extend(r.id for r in fresh.collect())).awaitTermination()
+        ing.ingest(stream, streamed, str(tmp_path / "ckpt"), lambda fresh: {"news": fresh.select("id")}).awaitTermination()
         expected.extend(r.id for r in plain.merge(frame, n).collect())
-    assert sorted(published) == sorted(expected)
+    assert sorted(r.id for r in streamed.published("news").collect()) == sorted(expected)
     # A run without new files changes nothing.
-    ing.ingest(ing.landing(spark, str(tmp_path / "landing"), SCHEMA), streamed, str(tmp_path / "ckpt"),
-               lambda fresh, _: published.append(-1)).awaitTermination()
-    assert -1 not in published
+    version = streamed.runs.manifest()["version"]
+    ing.ingest(ing.landing(spark, str(tmp_path / "landing"), SCHEMA), streamed, str(tmp_path / "ckpt"), lambda fresh: {"news": fresh}).awaitTermination()
+    assert streamed.runs.manifest()["version"] == version
     one, two = (sorted(map(str, h.current().select("id", "a", "b").collect())) for h in (streamed, plain))
     assert one == two

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsdesk.functions import text as tx
+from newsdesk.session import store
 
 HOT_KEYS = 256
+#: Copies of a frequent key's row that its many partners are dealt to, where the row is too wide to be broadcast.
+SALTS = 64
 #: What is broadcast as narrow: at most so many rows and so many characters of them as JSON.
 NARROW_ROWS, NARROW_CHARS = 200_000, 64_000_000
 
@@ -43,8 +46,10 @@ def join_unique(
     and measured, and broadcast if it is within `NARROW_ROWS` and `NARROW_CHARS`.  Otherwise:
 
     The rows of the `hot` most frequent keys stay where they are and meet a broadcast of at most
-    `hot` rows; every other key holds less than 1/hot of the rows and takes the ordinary join.
-    Rows with a NULL key match nothing and skip the shuffle.  `hot=0` leaves the choice to Spark.
+    `hot` rows, if these are measured to be within the limits; wider ones (bodies) are copied `SALTS`
+    times and the partners of each dealt to the copies. Every other key holds less than 1/hot of the
+    rows and takes the ordinary join.  Rows with a NULL key match nothing and skip the shuffle.
+    `hot=0` leaves the choice to Spark.
 
     `left` is read three times: give it a scan, or cut the lineage of a costly frame before.
     """
@@ -54,7 +59,8 @@ def join_unique(
     if not hot:
         return left.join(right, keys, how)
     heavy = F.broadcast(heavy_keys(left, keys, hot))
-    heavy_right = F.broadcast(right.join(heavy, keys, "left_semi"))
+    heavy_right = right.join(heavy, keys, "left_semi")
+    small = is_narrow(heavy_right)
     known = left.dropna("any", subset=keys)
     spread = known.join(heavy, keys, "left_anti").join(right, keys, how)
     if how in ("left", "left_outer", "left_anti"):
@@ -63,7 +69,33 @@ def join_unique(
         local = marked.filter(F.col("_hot").isNotNull() | no_key).drop("_hot")
     else:
         local = known.join(heavy, keys, "left_semi")
-    return local.join(heavy_right, keys, how).unionByName(spread)
+    if small:
+        return local.join(F.broadcast(heavy_right), keys, how).unionByName(spread)
+    dealt = local.withColumn("_salt", (F.rand(7) * SALTS).cast("int"))
+    copies = heavy_right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt").unionByName(spread)
+
+
+def _addressed(rows: DataFrame) -> DataFrame:
+    """`rows` with `_at`, the place of each in its file; a frame that is no scan is stored first."""
+    scanned = "_metadata" in rows._jdf.queryExecution().analyzed().metadataOutput().mkString(" ")
+    return (rows if scanned else store(rows)).select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_at"))
+
+
+def newest_copies(landed: DataFrame, keys: str | list[str], time: str, wanted: DataFrame | None = None) -> DataFrame:
+    """The newest row of every key of records that land again and again, or of the `wanted` keys only.
+
+    Keys, times and row addresses are reduced before any body moves; bodies are then fetched by the
+    addresses that won.  Of equally new copies one stays, the same in every run over the same files.
+    Rows with a NULL key drop out.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rows = _addressed(landed)
+    narrow = rows.select(*keys, time, "_at").dropna("any", subset=keys)
+    if wanted is not None:
+        narrow = join_unique(narrow, wanted.select(*keys).distinct(), keys, "left_semi", hot=0, narrow=True)
+    winners = store(narrow.groupBy(*keys).agg(F.max(F.struct(time, "_at"))["_at"].alias("_at")).select("_at"))
+    return join_unique(rows, winners, "_at", "left_semi", hot=0, narrow=True).select(*landed.columns)
 
 
 def accepted_rows(rows: DataFrame, judged: DataFrame, keys: list[str], hot: int = HOT_KEYS) -> DataFrame:
@@ -103,8 +135,13 @@ def join_author(posts: DataFrame, users: DataFrame, author: str = "author_id", u
     return join_unique(posts, named, author, narrow=True)
 
 
-def join_detail(topics: DataFrame, details: DataFrame, on: str = "url") -> DataFrame:
-    """Topic rows with the detail record of their page; a detail value replaces a topic value."""
+def join_detail(topics: DataFrame, details: DataFrame, on: str = "url", newest: str | None = None) -> DataFrame:
+    """Topic rows with the detail record of their page; a detail value replaces a topic value.
+
+    `newest` names the landing time of `details` where a page may have landed more than once.
+    """
+    if newest is not None:
+        details = newest_copies(details, on, newest, topics).drop(newest)
     both = [c for c in details.columns if c in topics.columns and c != on]
     side = details.withColumnsRenamed({c: f"_d_{c}" for c in both}).withColumn("_hit", F.lit(True))
     joined = join_unique(topics, side, on, "left")
@@ -132,11 +169,21 @@ def title_lookup(docs: DataFrame, titles: DataFrame, title: str, pos: str) -> Da
     return docs.join(winners, [title, pos], "left_semi")
 
 
-def link_blocks(blocks: DataFrame, pages: DataFrame, key: str = "page_key") -> DataFrame:
-    """Child blocks with the columns of the page they belong to."""
+def link_blocks(blocks: DataFrame, pages: DataFrame, key: str = "page_key", newest: str | None = None) -> DataFrame:
+    """Child blocks with the columns of the page they belong to, of its newest copy where `newest` names a time."""
+    if newest is not None:
+        pages = newest_copies(pages, key, newest).drop(newest)
     return join_unique(blocks, pages, key)
 
 
+def landed_rows(wanted: DataFrame, landed: DataFrame, keys: str | list[str], time: str = "landed_at") -> DataFrame:
+    """Every wanted key with its landed record: the newest copy where `landed` has a landing time,
+    otherwise its one row."""
+    if time in landed.columns:
+        landed = newest_copies(landed, keys, time, wanted).drop(time)
+    return join_unique(wanted, landed, keys, hot=0)
+
+
 def translate_lookup(
     rows: DataFrame, memory: DataFrame, engine: str, text: str, out: str, page_title: str | None = None
 ) -> DataFrame:

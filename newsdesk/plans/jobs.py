@@ -6,7 +6,7 @@ several results are made from each of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsdesk.functions import arrays as ar
@@ -18,7 +18,9 @@ from newsdesk.functions import times as tm
 from newsdesk.operators import cooccurrence as co
 from newsdesk.operators import corpus, joins, novelty, ranking, trends
 from newsdesk.session import store
-from newsdesk.sources import sinks, tables
+from newsdesk.sources import files, sinks, tables
+from newsdesk.sources.accumulated import Accumulated
+from newsdesk.sources.matrix import Matrix
 
 
 def _trend_documents(
@@ -52,14 +54,14 @@ def trend_country(
     """Ranked words per country with the articles found for each word.
 
     `ranked`: country, ts, rank, word; `conf`: country, search_url, pos; `search_pages`: search_url,
-    word, html, one row per query; `memory`: engine, src, dst.
+    word, html, and landed_at where a query was landed more than once; `memory`: engine, src, dst.
     """
     top = ranking.limit_rank(ranked)
     words = joins.apply_config(top, conf, "country", "search_url", "pos")
     words = words.withColumns({"name": F.concat(F.lit(f"{title}  "), "country"), "engine": F.lit(engine)})
     words = store(joins.translate_lookup(words, memory, "engine", "word", "label", "name"))
     queries = words.filter(ln.link_host_contains(F.col("search_url"), reader)).select("search_url", "word").distinct()
-    landed = joins.join_unique(queries, search_pages, ["search_url", "word"])
+    landed = joins.landed_rows(queries, search_pages, ["search_url", "word"])
     found = landed.select(
         "search_url", "word",
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), block), trends.ARTICLES_SEARCH)).alias("pos", "a"),
@@ -81,7 +83,8 @@ def trend_realtime(
     """Ranked words of rendered pages, each followed to its result page and that one's news feed.
 
     Every listed word is kept; headings show the rank printed on the page, the matrix counts places.
-    `ranking_pages`: name, ts, url, html; the other two: url, html, one row per url.
+    `ranking_pages`: name, ts, url, html; the other two: url, html, and landed_at where a url was landed
+    more than once.
     """
     seen = ranking_pages.select("name", "ts", "url", pg.extract_region_text(F.col("html"), F.lit(rules)).alias("r"))
     listed = seen.select(
@@ -92,13 +95,14 @@ def trend_realtime(
         ln.resolve_url(F.col("url"), F.get("links", F.col("pos"))).alias("link"),
     )
     words = store(words)
-    results = joins.join_unique(words.select(F.col("link").alias("url")).distinct(), result_pages, "url")
+    results = joins.landed_rows(words.select(F.col("link").alias("url")).distinct(), result_pages, "url")
     feeds = results.select(
         F.col("url").alias("link"),
         ln.resolve_url(F.col("url"), pg.link_by_text(pg.extract_links(F.col("html")), anchor)).alias("url"),
     )
     feeds = store(feeds)
-    items = joins.join_unique(feeds, feed_pages, "url").select(
+    landed = joins.landed_rows(feeds.select("url").distinct(), feed_pages, "url")
+    items = feeds.join(landed, "url").select(
         "link",
         F.posexplode(ar.first_n(pg.element_links(F.col("html"), item), trends.ARTICLES_FEED)).alias("pos", "a"),
     )
@@ -118,15 +122,19 @@ def news_documents(news: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def usable_pages(conf: DataFrame, pages: DataFrame, site: str, marker: str) -> tuple[DataFrame, DataFrame]:
+    """Landed pages of the configured site with their rules, and those that the marker makes unusable."""
+    landed = pages.join(tables.filter_contains(conf, "site", site), "url")
+    return tables.quarantine(landed, "html", marker)
+
+
 def news_topics(conf: DataFrame, pages: DataFrame, details: DataFrame, site: str, marker: str) -> tuple[DataFrame, DataFrame]:
     """Topics of configured list pages with their target and article body, and the pages refused.
 
     `conf`: site, category, url, base_url, block_rules, body_rules (JSON); `pages`: url, page_no,
     html; `details`: url, html.
     """
-    wanted = tables.filter_contains(conf, "site", site)
-    landed = pages.join(wanted, "url")
-    usable, refused = tables.quarantine(landed, "html", marker)
+    usable, refused = usable_pages(conf, pages, site, marker)
     blocks = usable.select(
         "site", "category", "base_url", "body_rules", "page_no",
         F.inline(pg.extract_blocks(F.col("html"), F.col("block_rules"))),
@@ -141,7 +149,7 @@ def news_topics(conf: DataFrame, pages: DataFrame, details: DataFrame, site: str
     )
     topics = store(topics)
     readers = topics.filter("url IS NOT NULL").groupBy("url").agg(F.max("body_rules").alias("body_rules"))
-    read = joins.join_unique(readers, details, "url").select(
+    read = joins.landed_rows(readers, details, "url").select(
         "url", pg.extract_body(F.col("html"), F.col("body_rules")).alias("a")
     )
     read = store(read.select("url", "a.date", "a.body"))
@@ -177,7 +185,7 @@ def card_rows(pages: DataFrame, details: DataFrame, site: str, link_in: str = "h
         ar.trim_ends(texts),
         lambda t, i: F.struct(i.alias("pos"), F.lit("paragraph").alias("kind"), t.alias("value")),
     )
-    read = joins.join_unique(topics.filter("url IS NOT NULL").select("url").distinct(), details, "url").select(
+    read = joins.landed_rows(topics.filter("url IS NOT NULL").select("url").distinct(), details, "url").select(
         "url",
         pg.extract_meta(F.col("html"), author).alias("author"),
         tm.iso_to_jst(pg.extract_meta(F.col("html"), published)).alias("date"),
@@ -244,12 +252,16 @@ POST_LABELS = {
 }
 
 
-def flat_posts(posts: DataFrame, users: DataFrame, site: str, per_user: int) -> DataFrame:
+def flat_posts(posts: DataFrame, users: DataFrame, site: str, per_user: int | DataFrame) -> DataFrame:
     """The nine post columns for the newest posts of every user.
 
-    `posts`: id, text, created_at, author_id, urls; `users`: id, name, username.
+    `posts`: id, text, created_at, author_id, urls; `users`: id, name, username; `per_user`: how many
+    of every user, or a table (author_id, n) of the users wanted and how many of each.
     """
-    recent = ranking.recent_per_user(posts, "author_id", "created_at", "id", per_user)
+    if isinstance(per_user, DataFrame):
+        recent = ranking.top_per_key(posts, per_user, "author_id", ["created_at", "id"])
+    else:
+        recent = ranking.recent_per_user(posts, "author_id", "created_at", "id", per_user)
     named = joins.join_author(recent, users)
     own = F.concat(F.lit(f"{site}/"), "user_username")
     rows = named.withColumn("ref", ln.first_external_url(F.col("urls"), own))
@@ -266,7 +278,7 @@ def flat_posts(posts: DataFrame, users: DataFrame, site: str, per_user: int) ->
     )
 
 
-def posts_by_user(posts: DataFrame, users: DataFrame, history: DataFrame, site: str, per_user: int) -> dict[str, DataFrame]:
+def posts_by_user(posts: DataFrame, users: DataFrame, history: DataFrame, site: str, per_user: int | DataFrame) -> dict[str, DataFrame]:
     """Newest posts of every user, those that are new in the user's own history, and their pages."""
     rows = store(flat_posts(posts, users, site, per_user).withColumn("row_id", F.col("post_id")))
     fresh = store(novelty.novelty_cells(rows, history, "row_id", group=["user_name"]))
@@ -305,6 +317,29 @@ def text_graph(edges: DataFrame) -> dict[str, DataFrame]:
     return {"nodes": co.cooccurrence_nodes(stored), "communities": co.community_shares(labels, stored)}
 
 
+def text_profile_of_files(spark: SparkSession, documents: str, titles: DataFrame, stopwords: str, min_edge: int) -> dict[str, DataFrame]:
+    """Text tables, graph and communities of the titled documents of XML files, without listed words.
+
+    `documents`: path of the XML; `titles`: title; `stopwords`: path of a list of words. Of documents with
+    the same title the first counts, by the names of the files and their order there. Frequent and rare
+    words stay: the list alone decides.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    docs = store(files.xml_docs(spark, documents).select(F.col("_title").alias("title"), F.coalesce("_VALUE", F.lit("")).alias("text"), place.alias("pos")))
+    found = store(joins.title_lookup(docs, titles, "title", "pos"))
+    stop = store(files.stopwords(spark, stopwords).distinct())
+    words = store(corpus.split_tokens(found, "text").select("title", "words"))
+    kept = store(corpus.anti_join_stopwords(corpus.token_counts(words), stop))
+    edges = store(co.cooccurrence_edges(words, "title", min_edge=min_edge, stopwords=stop))
+    return {
+        "ngrams": corpus.top_ngrams(kept),
+        "shares": corpus.treemap_share(kept),
+        "cloud": corpus.wordcloud_weight(words, group=["title"], stopwords=stop),
+        "edges": edges,
+        **text_graph(edges),
+    }
+
+
 def tag_history(records: DataFrame, name: str = "name", date: str = "date") -> dict[str, DataFrame]:
     """Tags in use and their rank sums per record name and date.
 
@@ -316,6 +351,18 @@ def tag_history(records: DataFrame, name: str = "name", date: str = "date") -> d
     }
 
 
+def accumulate_tags(records: DataFrame, batch_id: int, sums: Accumulated, table: Matrix) -> None:
+    """Add the tag ranks of a batch of records to the sums per name, date and tag, and put the dates the
+    batch touches into the matrix.  A batch that was added before changes nothing.
+
+    `sums` is kept by name, date and tag; `records`: name, date, tags.
+    """
+    added = store(trends.tag_rank_counts(records, ["name", "date"]))
+    sums.add(added.withColumnRenamed("rank", "value"), batch_id)
+    touched = sums.total().join(added.select("name", "date").distinct(), ["name", "date"], "left_semi")
+    table.add(touched.select(F.col("name").alias("source"), F.col("date").alias("ts"), F.col("tag").alias("word"), F.col("value").alias("rank")), batch_id)
+
+
 def region_compare(landed: DataFrame, keywords: list[str]) -> DataFrame:
     """Interest per region and keyword with the place each bar starts when stacked.
 

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsdesk.functions import times as tm
-from newsdesk.operators import trends
+from newsdesk.operators import ranking, trends
 from newsdesk.queries import standins as st
 from newsdesk.queries.registry import query
-
-WORDS = [f"u{i}" for i in range(150)]
-
+from newsdesk.sources.matrix import Matrix
 
 @query("accumulate_sum", """SELECT date_trunc('day', ts)::TIMESTAMP AS day,
   sum(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN round(value * 100)::BIGINT ELSE 0 END)::BIGINT AS early,
@@ -34,19 +32,37 @@ def rank_weight(spark, sf):
     return trends.rank_weight(st.snapshot(spark, sf))
 
 
-@query("pivot_matrix", f"""WITH {st.SNAP} SELECT ts, """ + ", ".join(
-    f"coalesce(max(rank) FILTER (word = '{w}'), 0)::BIGINT AS {w}" for w in WORDS
-) + " FROM snap WHERE source = 'click' GROUP BY ts")
+def _matrix(spark, sf):
+    """The snapshots of all sources, added in two batches, the second of them twice."""
+    ranked = st.snapshot(spark, sf)
+    table = Matrix(spark, st.scratch(spark))
+    cut = F.lit(st.SPLIT).cast("timestamp_ntz")
+    for batch_id, part in enumerate((ranked.filter(F.col("ts") < cut), ranked.filter(F.col("ts") >= cut))):
+        table.add(part, batch_id)
+    table.add(ranked.filter(F.col("ts") >= cut), 1)
+    return table
+
+
+@query("pivot_matrix", f"""WITH {st.SNAP}, stamps AS (SELECT DISTINCT source, ts FROM snap), words AS (SELECT DISTINCT source, word FROM snap)
+SELECT source, ts, word, coalesce(rank, 0)::BIGINT AS rank FROM stamps JOIN words USING (source) LEFT JOIN snap USING (source, ts, word)""")
 def pivot_matrix(spark, sf):
-    clicks = st.snapshot(spark, sf).filter("source = 'click'").withColumn("rank", F.col("rank").cast("bigint"))
-    return trends.pivot_matrix(clicks, WORDS)
+    return _matrix(spark, sf).dense()
 
 
-@query("unpivot_matrix", f"WITH {st.SNAP} SELECT ts, word, rank FROM snap WHERE source = 'click' AND regexp_matches(word, '^u[0-9]{{1,2}}$')")
+@query("unpivot_matrix", f"WITH {st.SNAP} SELECT source, ts, word, rank FROM snap")
 def unpivot_matrix(spark, sf):
-    short = [w for w in WORDS if len(w) <= 3]
-    matrix = pivot_matrix(spark, sf).select("ts", *short)
-    return trends.unpivot_matrix(matrix, short)
+    return _matrix(spark, sf).cells()
+
+
+@query("pivot_matrix_words", f"""WITH {st.SNAP}, top AS (SELECT word FROM snap GROUP BY word ORDER BY count(*) DESC, word LIMIT 3),
+named AS (SELECT word, row_number() OVER (ORDER BY word) AS i FROM top)
+SELECT s.source, s.ts, {", ".join(f"coalesce(max(rank) FILTER (i = {i}), 0)::BIGINT AS w{i}" for i in (1, 2, 3))}
+FROM snap s LEFT JOIN named USING (word) GROUP BY s.source, s.ts""")
+def pivot_matrix_words(spark, sf):
+    """The three words most often ranked, as columns."""
+    often = ranking.topk(st.snapshot(spark, sf).groupBy("word").agg(F.count("*").alias("n")), 3, tie="word")
+    words = sorted(r["word"] for r in often.collect())
+    return _matrix(spark, sf).wide(words).toDF("source", "ts", *[f"w{i}" for i in (1, 2, 3)])
 
 
 def _records(spark, sf):

@@ -29,11 +29,12 @@ def _letters():
     return lambda text: pattern.findall(text.lower())
 
 
-@query("apply_tokenizer", r"""SELECT doc_id, len(regexp_extract_all(lower(text), '[\p{L}\p{No}\p{Nl}]+'))::BIGINT AS n FROM documents""")
+@query("apply_tokenizer", r"""SELECT doc_id, len(t)::BIGINT AS n, md5(array_to_string(t, ' ')) AS words
+FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{No}\p{Nl}]+') AS t FROM documents)""")
 def apply_tokenizer(spark, sf):
     tokenize = corpus.apply_tokenizer(_letters)
     docs = st.table(spark, sf, "documents").select("doc_id", tokenize("text").alias("words"))
-    return docs.select("doc_id", F.size("words").cast("bigint").alias("n"))
+    return docs.select("doc_id", F.size("words").cast("bigint").alias("n"), F.md5(F.array_join("words", " ").cast("binary")).alias("words"))
 
 
 @query("ngram_count", f"""WITH {st.TOK} SELECT token, count(*) AS n FROM tok GROUP BY token""")

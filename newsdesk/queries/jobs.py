@@ -10,7 +10,7 @@ from newsdesk.functions import arrays as ar
 from newsdesk.functions import links as ln
 from newsdesk.functions import pages as pg
 from newsdesk.functions import times as tm
-from newsdesk.operators import ranking, trends
+from newsdesk.operators import corpus, ranking, trends
 from newsdesk.plans import jobs
 from newsdesk.queries import standins as st
 from newsdesk.queries.aggregates import TAGS, _records
@@ -19,27 +19,34 @@ from newsdesk.queries.pages import BODY_RULES, CARD_RULES
 from newsdesk.queries.registry import query
 from newsdesk.queries.sources import INTEREST, SEGMENTS, interest
 from newsdesk.session import store
+from newsdesk.sources.accumulated import Accumulated
+from newsdesk.sources.matrix import Matrix
 
 SEARCH = "https://news.example/search"
 
 
-def _trend_country(spark, sf):
-    """Search pages: page n answers the word `u<n modulo 150>`; memory: every third word and all `the…` titles."""
+def country_inputs(spark, sf):
+    """Ranked words, countries, landed search pages and translations: page n answers the word `u<n modulo the
+    number of users>`, later pages are newer copies; memory: every third word and all `the…` titles."""
     ranked = st.snapshot(spark, sf).withColumnRenamed("source", "country")
     stamped = F.when(F.col("r_regionkey") == 0, "https://other.example/").otherwise(SEARCH)
     types = F.element_at(F.array(*[F.lit(t) for t in ("click", "view", "error", "signup", "purchase")]), F.col("r_regionkey") + 1)
     conf = st.table(spark, sf, "region").select(
         types.alias("country"), stamped.alias("search_url"), F.col("r_regionkey").alias("pos"))
-    pages = st.table(spark, sf, "pages").select(F.concat(F.lit("u"), F.col("page_id") % 150).alias("word"), "page_id", "html")
-    first = ranking.first_match(pages, "word", "page_id", "page_id").select("page_id")
-    landed = pages.join(first, "page_id", "left_semi").select(F.lit(SEARCH).alias("search_url"), "word", "html")
+    users = st.table(spark, sf, "events").agg(F.max("user_id") + 1).first()[0]
+    landed = st.table(spark, sf, "pages").select(
+        F.lit(SEARCH).alias("search_url"), F.concat(F.lit("u"), F.col("page_id") % users).alias("word"), F.col("page_id").alias("landed_at"), "html")
     words = st.table(spark, sf, "events").select(F.concat(F.lit("u"), "user_id").alias("src")).distinct()
     memory = words.filter("src LIKE '%1'").select(F.lit("google").alias("engine"), "src", F.upper("src").alias("dst"))
-    return jobs.trend_country(ranked, conf, landed, memory, "google", block="li")
+    return ranked, conf, landed, memory
+
+
+def _trend_country(spark, sf):
+    return jobs.trend_country(*country_inputs(spark, sf), "google", block="li")
 
 
 COUNTRY_SQL = rf"""{st.SNAP}, {st.SHOWN},
-answers AS (SELECT 'u' || (page_id % 150) AS word, arg_min(html, page_id) AS html FROM shown GROUP BY 1),
+answers AS (SELECT 'u' || (page_id % (SELECT max(user_id) + 1 FROM events)) AS word, arg_max(html, page_id) AS html FROM shown GROUP BY 1),
 li AS (SELECT word, unnest(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1)) AS markup,
   generate_subscripts(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1), 1) - 1 AS pos FROM answers),
 arts AS (SELECT word, pos, {st.sql_text("markup")} AS title, 'https://news.example' || regexp_extract(markup, 'href="([^"]*)"', 1) AS url
@@ -75,11 +82,21 @@ reached AS (SELECT link, min(page_id) AS page_id FROM resolved GROUP BY link),
 anchors AS (SELECT page_id, arg_min(href, pos) AS feed FROM resolved WHERE word = 'the' GROUP BY page_id),
 feeds AS (SELECT r.link, f.page_id AS feed_page FROM reached r JOIN anchors USING (page_id)
   JOIN reached f ON f.link = regexp_extract(r.link, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || feed),
-sizes AS (SELECT page_id AS feed_page, least(count(*), 7) AS n FROM links GROUP BY page_id)
+items AS (SELECT page_id AS feed_page, string_agg({st.sql_text('markup')} || '=' || href, '|' ORDER BY pos) AS children FROM links WHERE pos < 7 GROUP BY page_id)
 SELECT sha256(url || chr(1) || '2024-01-01 12:30:00') AS page_key, pos AS block_pos, '#' || ' : ' || word AS heading,
-  coalesce(n, 0)::BIGINT AS children
-FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN sizes USING (feed_page)""")
+  coalesce(children, '') AS children
+FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN items USING (feed_page)""")
 def job_trend_realtime(spark, sf):
+    blocks = jobs.trend_realtime(*realtime_inputs(spark, sf), REALTIME_RULES, "the")["blocks"]
+    run = "struct<rich_text:array<struct<plain_text:string,text:struct<link:struct<url:string>>>>>"
+    heading = F.from_json("payload", f"heading_1 struct<rich_text:array<struct<plain_text:string>>,children:array<struct<paragraph:{run}>>>")["heading_1"]
+    article = lambda c: F.concat(c["paragraph"]["rich_text"][0]["plain_text"], F.lit("="), c["paragraph"]["rich_text"][0]["text"]["link"]["url"])
+    rows = blocks.select("page_key", F.col("block_pos").cast("bigint").alias("block_pos"), heading.alias("h"))
+    return rows.select("page_key", "block_pos", F.col("h.rich_text")[0]["plain_text"].alias("heading"),
+                       F.coalesce(F.array_join(F.transform("h.children", article), "|"), F.lit("")).alias("children"))
+
+
+def realtime_inputs(spark, sf):
     """Every page is a ranking page; a link leads to the first page that lists it, which is also its feed."""
     pages = st.table(spark, sf, "pages")
     ranking_pages = pages.select(
@@ -90,14 +107,10 @@ def job_trend_realtime(spark, sf):
     reached = links.select(ln.resolve_url(F.col("url"), F.col("a.url")).alias("url"), "page_id")
     landed = ranking.first_match(reached, "url", "page_id", "page_id").join(pages.select("page_id", "html"), "page_id").drop("page_id")
     landed = store(landed)
-    out = jobs.trend_realtime(ranking_pages.drop("page_id"), landed, landed, REALTIME_RULES, "the")
-    return out["blocks"].select(
-        "page_key", F.col("block_pos").cast("bigint").alias("block_pos"),
-        F.get_json_object("payload", "$.heading_1.rich_text[0].plain_text").alias("heading"),
-        F.json_array_length(F.get_json_object("payload", "$.heading_1.children")).cast("bigint").alias("children"))
+    return ranking_pages.drop("page_id"), landed, landed
 
 
-def _news_rules(spark, sf):
+def rules_inputs(spark, sf):
     pages = st.table(spark, sf, "pages")
     rules = json.dumps({"tag": "li", "class": "", "items": [["headline", "a", "None"], ["summary", "a", "None"], ["author", "b", "None"]]})
     conf = pages.select(
@@ -107,7 +120,11 @@ def _news_rules(spark, sf):
     links = ar.item_rows(st.page_links(spark, sf), "links", "page_id", item="a")
     reached = links.select(ln.resolve_url(F.lit("https://site.example/"), F.col("a.url")).alias("url"), "page_id")
     details = ranking.first_match(reached, "url", "page_id", "page_id").join(pages.select("page_id", "html"), "page_id").drop("page_id")
-    details = store(details)
+    return conf, landed, store(details)
+
+
+def _news_rules(spark, sf):
+    pages = st.table(spark, sf, "pages")
     known = pages.filter("page_id % 2 = 0").select(F.regexp_extract("html", r'<li><a href="([^"]*)"', 1).alias("href"))
     # History: the first topic of every second page, in every category.
     history = known.select(
@@ -118,7 +135,7 @@ def _news_rules(spark, sf):
         "target", F.lit("site").alias("site"), F.substring_index("target", "_", -1).alias("category"), title.alias("headline"),
         title.alias("summary"), none.alias("author"), ln.resolve_url(F.lit("https://site.example/"), F.col("href")).alias("url"),
         none.alias("date"))
-    return jobs.news_by_rules(conf, landed, details, history, "site", "Nicht")
+    return jobs.news_by_rules(*rules_inputs(spark, sf), history, "site", "Nicht")
 
 
 @query("job_news_rules", rf"""WITH {st.SHOWN}, li AS (
@@ -140,49 +157,65 @@ def job_news_rules(spark, sf):
 
 @query("job_news_rules_refused", "SELECT url FROM pages WHERE contains(html, 'Nicht')")
 def job_news_rules_refused(spark, sf):
-    return _news_rules(spark, sf)["refused"].select("url")
+    conf, landed, _ = rules_inputs(spark, sf)
+    return jobs.usable_pages(conf, landed, "site", "Nicht")[1].select("url")
 
 
-def _news_cards(spark, sf):
+def cards_inputs(spark, sf):
     """Front pages carry a heading link and a published time, the detail page of a link is the page itself."""
     pages = st.table(spark, sf, "pages")
     link = F.concat(F.lit("https://site.example/"), "page_id")
     front = pages.select(
         "url", F.concat(F.lit("<article><h3><a href=\""), link, F.lit("\">"),
-                        F.regexp_extract("html", r"(?is)<h1>(.*?)</h1>", 1), F.lit("</a></h3></article>")).alias("html"))
+                        F.regexp_extract("html", r"(?is)<h1>(.*?)</h1>", 1), F.lit("</a></h3></article>")).alias("html"), "page_id")
     day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
     meta = F.concat(F.lit('<meta name="article.published" content="2024-01-'), day, F.lit('T20:00:00Z">'),
                     F.when(F.col("page_id") % 3 == 0, '<meta name="author" content="A &amp; B">').otherwise(""))
     details = pages.select(link.alias("url"), F.concat(meta, "html").alias("html"))
-    history = st.table(spark, sf, "pages").filter("page_id % 2 = 0").select(
-        F.lit("site").alias("site"), F.lit("").alias("headline"), F.lit("").alias("summary"), link.alias("url"),
-        F.lit("A & B").alias("author"), F.concat(F.lit("2024-01-"), day, F.lit("T00:00:00+09:00")).alias("date"))
+    return front, details
+
+
+def _news_cards(spark, sf):
+    """History: the cards of every page whose number 8 does not divide."""
+    front, details = cards_inputs(spark, sf)
+    history = jobs.card_rows(front.filter("page_id % 8 <> 0"), details, "site").drop("row_id", "body")
     return jobs.news_cards(front, details, history, "site")
 
 
-@query("job_news_cards", rf"""SELECT 'https://site.example/' || page_id AS url,
+# New are the cards of every eighth page; all that share a date with one are shown again.
+CARDS_SQL = rf"""cards AS (SELECT page_id, 'https://site.example/' || page_id AS url,
   strftime(TIMESTAMP '2024-01-01 05:00:00' + INTERVAL (page_id % 28 + 1) DAY, '%Y-%m-%dT%H:%M:%S') || '+09:00' AS date,
   CASE WHEN page_id % 3 = 0 THEN 'A & B' ELSE ' ' END AS author
-FROM pages WHERE {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} <> ''""")
+  FROM pages WHERE {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} <> '')"""
+
+
+@query("job_news_cards", f"""WITH {CARDS_SQL} SELECT url, date, author FROM cards WHERE date IN (SELECT date FROM cards WHERE page_id % 8 = 0)""")
 def job_news_cards(spark, sf):
     shown = _news_cards(spark, sf)["pages"]
     author = F.get_json_object("payload", "$.properties.記者.rich_text[0].plain_text")
     return shown.select("url", "date", author.alias("author"))
 
 
-@query("job_tech_articles", rf"""SELECT {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title,
-  '2024-01-0' || (page_id % 7 + 1) AS date, 'tech' AS database FROM pages""")
-def job_tech_articles(spark, sf):
+def article_inputs(spark, sf, moved=0):
+    """One word per page; the articles of every fifth page are dated `moved` days later."""
     pages = st.table(spark, sf, "pages")
-    conf = pages.select(F.substring_index("url", "://", -1).alias("word"))
-    stamp = F.concat(F.lit('<article><time datetime="2024-01-0'), F.col("page_id") % 7 + 1, F.lit('"></time>'))
+    conf = pages.select(F.substring_index("url", "://", -1).alias("word"), "page_id")
+    later = F.when(F.col("page_id") % 5 == 0, moved).otherwise(0)
+    stamp = F.concat(F.lit('<article><time datetime="2024-01-0'), F.col("page_id") % 7 + 1 + later, F.lit('"></time>'))
     landed = pages.select(F.concat(F.lit("s://"), F.substring_index("url", "://", -1)).alias("url"),
                           F.replace("html", F.lit("<article>"), stamp).alias("html"))
-    text = F.lit(None).cast("string")
-    history = conf.select("word", text.alias("writer"), text.alias("date"), text.alias("title"), text.alias("url"),
-                          F.lit("Site").alias("site"), F.lit("https://site.example/").alias("site_url"),
-                          F.lit(True).alias("pick_up"), F.lit("none").alias("summary"))
-    out = jobs.tech_articles(conf, landed, history, CARD_RULES, "Site", "https://site.example/", "s://", "top")
+    return conf, landed, CARD_RULES, "Site", "https://site.example/", "s://", "top"
+
+
+@query("job_tech_articles", rf"""SELECT {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title,
+  '2024-01-0' || (page_id % 7 + 1 + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END) AS date, 'tech' AS database
+FROM pages WHERE page_id % 3 = 0 OR page_id % 5 = 0""")
+def job_tech_articles(spark, sf):
+    """History: the articles of two thirds of the words, before those of every fifth page got another date."""
+    conf, *old = article_inputs(spark, sf)
+    history = jobs.article_rows(conf.filter("page_id % 3 <> 0"), *old).drop("row_id", "tags")
+    conf, landed, *fixed = article_inputs(spark, sf, moved=1)
+    out = jobs.tech_articles(conf, landed, history, *fixed)
     return out["pages"].select("title", "date", "database")
 
 
@@ -212,6 +245,16 @@ POSTS_SQL = f"""flat AS (SELECT event_id AS post_id, strftime(ts + INTERVAL 9 HO
   FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 20)"""
 
 
+@query("job_posts_per_user", f"""WITH {POSTS_SQL.replace("<= 20", "<= CASE user_id % 4 WHEN 3 THEN 0 WHEN 2 THEN 100000 ELSE 7 * (user_id % 4) + 5 END")}
+SELECT user_id, post_id, post_time, post_type, text FROM flat""")
+def job_posts_per_user(spark, sf):
+    """A table of users grants each its own number of posts: none, few, or all."""
+    posts, users = posts_and_users(spark, sf)
+    kind = F.col("id") % 4
+    wanted = users.select(F.col("id").alias("author_id"), F.when(kind == 3, 0).when(kind == 2, 100_000).otherwise(7 * kind + 5).alias("n"))
+    return jobs.flat_posts(posts, users, st.POST_SITE, wanted).select("user_id", "post_id", "post_time", "post_type", "text")
+
+
 @query("job_posts", f"WITH {POSTS_SQL} SELECT * FROM flat")
 def job_posts(spark, sf):
     posts, users = posts_and_users(spark, sf)
@@ -220,12 +263,12 @@ def job_posts(spark, sf):
 
 
 @query("job_posts_new", f"""WITH {POSTS_SQL}, h AS (SELECT * FROM flat WHERE post_id % 5 <> 0)
-SELECT post_id, user_name FROM flat f WHERE post_id % 5 = 0""")
+SELECT post_id, user_name, post_time, post_type, text, post_url, ref_url FROM flat f WHERE post_id % 5 = 0""")
 def job_posts_new(spark, sf):
     posts, users = posts_and_users(spark, sf)
     known = jobs.flat_posts(posts, users, st.POST_SITE, 20).filter("post_id % 5 <> 0")
     out = jobs.posts_by_user(posts, users, known, st.POST_SITE, 20)
-    return out["new"].select("post_id", "user_name")
+    return out["new"].select("post_id", "user_name", "post_time", "post_type", "text", "post_url", "ref_url")
 
 
 def _profile(spark, sf):
@@ -239,23 +282,78 @@ stop AS (SELECT token FROM counts WHERE n <= 1 UNION SELECT token FROM (SELECT t
 best AS (SELECT token, n FROM counts WHERE token NOT IN (SELECT token FROM stop) ORDER BY n DESC, token LIMIT 400)
 SELECT 'ngrams' AS part, token, '' AS other, n FROM best
 UNION ALL SELECT 'edges', a, b, n FROM edges WHERE a NOT IN (SELECT token FROM stop) AND b NOT IN (SELECT token FROM stop)
-UNION ALL SELECT 'stopwords', token, '', 0 FROM stop""")
+UNION ALL SELECT 'stopwords', token, '', 0 FROM stop
+UNION ALL SELECT 'shares', token, '', floor(1000000000 * n::DOUBLE / sum(n) OVER ())::BIGINT FROM best
+UNION ALL SELECT 'cloud', token, source, n FROM (SELECT source, token, count(*) AS n FROM tok WHERE token NOT IN (SELECT token FROM stop) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, token) <= 100""")
 def job_text_profile(spark, sf):
     out = _profile(spark, sf)
     blank = F.lit("").alias("other")
     grams = out["ngrams"].select(F.lit("ngrams").alias("part"), "token", blank, "n")
     edges = out["edges"].select(F.lit("edges").alias("part"), F.col("a").alias("token"), F.col("b").alias("other"), "n")
     stop = out["stopwords"].select(F.lit("stopwords").alias("part"), "token", blank, F.lit(0).cast("bigint").alias("n"))
-    return grams.unionByName(edges).unionByName(stop)
+    shares = out["shares"].select(F.lit("shares").alias("part"), "token", blank, F.floor(F.col("share") * 1_000_000_000).alias("n"))
+    cloud = out["cloud"].select(F.lit("cloud").alias("part"), "token", F.col("source").alias("other"), "n")
+    return grams.unionByName(edges).unionByName(stop).unionByName(shares).unionByName(cloud)
+
+
+FILE_TITLES = 40
+
+
+@query("job_text_profile_files", f"""WITH chosen AS MATERIALIZED (SELECT min(doc_id) AS doc_id FROM documents WHERE n_chars > 0 GROUP BY lang || '-' || doc_id % {FILE_TITLES}),
+tok AS MATERIALIZED (SELECT doc_id, lang || '-' || doc_id % {FILE_TITLES} AS title, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS token FROM documents JOIN chosen USING (doc_id)),
+all_counts AS MATERIALIZED (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS token FROM documents) GROUP BY token),
+stop AS MATERIALIZED (SELECT token FROM all_counts ORDER BY n DESC, token LIMIT 30),
+kept AS MATERIALIZED (SELECT t.* FROM tok t ANTI JOIN stop s ON t.token = s.token),
+best AS (SELECT token, count(*) AS n FROM kept GROUP BY token ORDER BY n DESC, token LIMIT 400),
+held AS MATERIALIZED (SELECT DISTINCT title, token FROM kept),
+often AS MATERIALIZED (SELECT * FROM held SEMI JOIN (SELECT token FROM held GROUP BY token HAVING count(*) >= 40) o ON held.token = o.token),
+edges AS MATERIALIZED (SELECT a.token AS a, b.token AS b, count(*) AS n FROM often a JOIN often b ON a.title = b.title AND a.token < b.token GROUP BY ALL HAVING count(*) >= 40),
+ends AS (SELECT a AS token, n FROM edges UNION ALL SELECT b, n FROM edges)
+SELECT 'ngrams' AS part, token, '' AS other, n FROM best
+UNION ALL SELECT 'edges', a, b, n FROM edges
+UNION ALL SELECT 'nodes', token, count(*)::VARCHAR, sum(n)::BIGINT FROM ends GROUP BY token
+UNION ALL SELECT 'cloud', token, title, n FROM (SELECT title, token, count(*) AS n FROM kept GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY title ORDER BY n DESC, token) <= 100""")
+def job_text_profile_files(spark, sf):
+    """The documents as four XML files, many with the same title, and a file of frequent words."""
+    folder = st.scratch(spark)
+    title = F.concat("lang", F.lit("-"), F.col("doc_id") % FILE_TITLES)
+    docs = st.table(spark, sf, "documents").filter("n_chars > 0").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    docs = docs.select(title.alias("_title"), F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ").alias("_VALUE"))
+    docs.write.format("xml").option("rootTag", "docs").option("rowTag", "doc").save(f"{folder}/xml")
+    frequent = corpus.frequency_stopwords(st.counts(spark, sf), top_n=30)
+    frequent.select(F.concat(F.lit(" "), "token", F.lit("　")).alias("value")).write.text(f"{folder}/stopwords")
+    titles = docs.select(F.col("_title").alias("title")).distinct()
+    out = jobs.text_profile_of_files(spark, f"{folder}/xml", titles, f"{folder}/stopwords", 40)
+    row = lambda part, other, n="n", token="token": out[part].select(F.lit(part).alias("part"), F.col(token).alias("token"), other.cast("string").alias("other"), F.col(n).alias("n"))
+    return (row("ngrams", F.lit("")).unionByName(row("edges", F.col("b"), token="a"))
+            .unionByName(row("nodes", F.col("degree"), "weighted_degree")).unionByName(row("cloud", F.col("title"))))
+
+
+def _tag_history(spark, sf):
+    """The records are added day by half-month, the second half twice."""
+    records, folder = _records(spark, sf), st.scratch(spark)
+    sums, table = Accumulated(spark, f"{folder}/sums", ["name", "date", "tag"]), Matrix(spark, f"{folder}/matrix")
+    halves = [records.filter(F.col("date") < st.SPLIT), records.filter(F.col("date") >= st.SPLIT)]
+    for batch_id, part in [*enumerate(halves), (1, halves[1])]:
+        jobs.accumulate_tags(part, batch_id, sums, table)
+    return jobs.tag_history(records), sums, table
 
 
 @query("job_tag_history", f"""WITH {TAGS}
 SELECT source AS name, strftime(ts, '%Y-%m-%d') AS date, tag, sum(rank)::BIGINT AS rank FROM tags GROUP BY ALL
 UNION ALL SELECT 'options', '', tag, count(DISTINCT source) * 0 FROM tags GROUP BY tag""")
 def job_tag_history(spark, sf):
-    out = jobs.tag_history(_records(spark, sf))
+    out, sums, _ = _tag_history(spark, sf)
     options = out["options"].select(F.lit("options").alias("name"), F.lit("").alias("date"), "tag", F.lit(0).cast("bigint").alias("rank"))
-    return out["counts"].unionByName(options)
+    return sums.total().withColumnRenamed("value", "rank").unionByName(options)
+
+
+@query("job_tag_history_matrix", f"""WITH {TAGS}
+SELECT source, strftime(ts, '%Y-%m-%d') AS ts, tag AS word, sum(rank)::BIGINT AS rank FROM tags GROUP BY ALL""")
+def job_tag_history_matrix(spark, sf):
+    return _tag_history(spark, sf)[2].cells()
 
 
 @query("job_region_compare", f"""WITH {INTEREST}, s AS (SELECT region, keyword, sum(value)::BIGINT AS value FROM interest

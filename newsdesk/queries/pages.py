@@ -16,6 +16,8 @@ from newsdesk.queries.projections import SPACES
 from newsdesk.queries.registry import query
 
 LIST_RULES = json.dumps({"tag": "li", "class": "", "items": [["headline", "a", "None"], ["author", "b", "None"]]})
+#: Every second list item gets an author, every third page a named author, every article links of its own.
+MARKED = r"(<li>)(<a [^>]*>)([^<]*[aeiou])(</a>)"
 AD_RULES = json.dumps({"tag": "div", "class": "ad", "items": []})
 BODY_RULES = json.dumps({"time_attr": "datetime", "paragraph": ["p", ""], "figure": ["img", "", "src"]})
 CARD_RULES = json.dumps({
@@ -42,9 +44,14 @@ def link_by_text(spark, sf):
 
 
 @query("extract_meta", r"""SELECT page_id, regexp_extract(html, '(?i)<html\b[^>]*\blang="([^"]*)"', 1) AS lang,
-  regexp_extract(html, '(?i)<meta\b[^>]*\bcharset="([^"]*)"', 1) AS charset, 'none' AS author FROM pages""")
+  regexp_extract(html, '(?i)<meta\b[^>]*\bcharset="([^"]*)"', 1) AS charset,
+  CASE page_id % 3 WHEN 0 THEN 'none' ELSE 'A & <' || page_id || '>' END AS author FROM pages""")
 def extract_meta(spark, sf):
-    html = F.col("html")
+    """Pages without an author, with one before and one after the other attributes."""
+    name = F.concat(F.lit("'A &amp; &lt;"), "page_id", F.lit("&#62;'"))
+    meta = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("<meta name=author data-content='no' content="), name, F.lit("><title>"))).when(
+        F.col("page_id") % 3 == 2, F.concat(F.lit("<META content="), name, F.lit(' name="Author"><title>'))).otherwise(F.lit("<title>"))
+    html = F.replace("html", F.lit("<title>"), meta)
     return st.table(spark, sf, "pages").select(
         "page_id", pg.extract_attribute(html, "html", "lang").alias("lang"),
         pg.extract_attribute(html, "meta", "charset").alias("charset"),
@@ -56,11 +63,15 @@ CARDS = r"""cards AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<art
 
 @query("extract_cards", rf"""WITH {st.SHOWN}, {CARDS},
 w AS (SELECT page_id, list_filter(regexp_split_to_array({st.sql_text('markup')}, '{SPACES}+'), lambda x: x <> '') AS t FROM cards)
-SELECT page_id, t[1] AS headline, regexp_replace(coalesce(t[2], t[1]), '[0-9]+$', '') AS summary FROM w""")
+SELECT page_id, t[1] AS headline, regexp_replace(coalesce(t[2], t[1]), '[0-9]+$', '') AS summary,
+  CASE page_id % 2 WHEN 0 THEN '/card/' || page_id || '?a=1&b=2' END AS link FROM w""")
 def extract_cards(spark, sf):
-    cards = st.table(spark, sf, "pages").select("page_id", pg.extract_cards(F.col("html"), link_in="h1").alias("cards"))
+    """The heading of every second card is a link."""
+    link = F.concat(F.lit("<h1><b></b><a href='/card/"), "page_id", F.lit("?a=1&amp;b=2'>$1</a></h1>"))
+    html = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("html", F.lit(r"(?is)<h1>(.*?)</h1>"), link)).otherwise(F.col("html"))
+    cards = st.table(spark, sf, "pages").select("page_id", pg.extract_cards(html, link_in="h1").alias("cards"))
     rows = ar.item_rows(cards, "cards", "page_id", item="c")
-    return rows.select("page_id", tx.headline_summary(F.col("c.text")).alias("h")).select("page_id", "h.*")
+    return rows.select("page_id", tx.headline_summary(F.col("c.text")).alias("h"), F.col("c.url").alias("link")).select("page_id", "h.*", "link")
 
 
 @query("extract_element_text", rf"""WITH {st.SHOWN}, m AS (
@@ -75,10 +86,13 @@ def extract_element_text(spark, sf):
   unnest(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1)) AS markup,
   generate_subscripts(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1), 1) - 1 AS pos FROM shown),
 a AS (SELECT page_id, url, pos, markup, regexp_extract(markup, 'href="([^"]*)"', 1) AS href FROM li)
-SELECT page_id, pos, {st.sql_text('markup')} AS headline, 'none' AS author, {st.SQL_RESOLVED} AS link FROM a""")
+SELECT page_id, pos, {st.sql_text('markup')} AS headline, CASE WHEN regexp_matches(markup, '[aeiou]</a>') THEN 'by ' || {st.sql_text('markup')}
+  ELSE 'none' END AS author, {st.SQL_RESOLVED} AS link FROM a""")
 def extract_blocks(spark, sf):
+    """List items whose word ends in a vowel carry an author, which is that word."""
     pages = st.table(spark, sf, "pages")
-    blocks = pages.select("page_id", "url", F.inline(pg.extract_blocks(F.col("html"), F.lit(LIST_RULES))))
+    html = F.regexp_replace("html", MARKED, "$1$2$3$4<b>by $3</b>")
+    blocks = pages.select("page_id", "url", F.inline(pg.extract_blocks(html, F.lit(LIST_RULES))))
     return blocks.select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("fields")["headline"].alias("headline"),
         F.coalesce(F.col("fields")["author"], F.lit("none")).alias("author"),
@@ -106,20 +120,29 @@ def extract_body(spark, sf):
 
 @query("extract_tagged_cards", rf"""WITH {st.SHOWN} SELECT page_id, 'top' AS region, 0::BIGINT AS pos,
   {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS writer,
-  {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title, '' AS tags FROM shown""")
+  {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")} AS title,
+  CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'one' ELSE 'one|t' || page_id END AS tags, '2024-02-0' || (page_id % 9 + 1) AS date, '/th/1' AS url FROM shown""")
 def extract_tagged_cards(spark, sf):
+    """Cards with a time, a link in the heading, and up to two tag links among others."""
     pages = st.table(spark, sf, "pages")
-    cards = pages.select("page_id", F.inline(pg.extract_tagged_cards(F.col("html"), F.lit(CARD_RULES))))
+    tags = F.when(F.col("page_id") % 4 == 0, F.lit("")).when(F.col("page_id") % 4 == 1, F.lit("<a href='/th/one'>one</a>")).otherwise(
+        F.concat(F.lit("<a href='/th/one'>one</a><a href='/x/no'>no</a><a href='/th/t'>t"), "page_id", F.lit("</a>")))
+    head = F.concat(F.lit("<time datetime='2024-02-0"), F.col("page_id") % 9 + 1, F.lit("'></time>"), tags, F.lit("<h1><a href='/th/1'></a>"))
+    html = F.replace("html", F.lit("<h1>"), head)
+    cards = pages.select("page_id", F.inline(pg.extract_tagged_cards(html, F.lit(CARD_RULES))))
     return cards.select("page_id", "region", F.col("pos").cast("bigint").alias("pos"), "writer", "title",
-                        F.array_join("tags", "|").alias("tags"))
+                        F.array_join(F.filter("tags", lambda t: t != ""), "|").alias("tags"), "date", "url")
 
 
-@query("extract_region_text", rf"""WITH {st.SHOWN}, {st.LINKS}
-SELECT page_id, string_agg(href, '|' ORDER BY pos) AS links FROM links GROUP BY page_id""")
+@query("extract_region_text", rf"""WITH {st.SHOWN}, {st.LINKS},
+arts AS (SELECT page_id, regexp_split_to_array(regexp_extract(html, '(?is)<article>(.*?)</article>', 1), '<[^>]*>') AS pieces FROM shown),
+lines AS (SELECT page_id, list_filter(list_transform(pieces, lambda x: regexp_replace({st.sql_text("x")}, '^{SPACES}+|{SPACES}+$', '', 'g')), lambda x: x <> '') AS ls FROM arts),
+hrefs AS (SELECT page_id, string_agg(href, '|' ORDER BY pos) AS links FROM links GROUP BY page_id)
+SELECT page_id, coalesce(links, '') AS links, array_to_string(ls, chr(10)) AS block FROM lines LEFT JOIN hrefs USING (page_id)""")
 def extract_region_text(spark, sf):
     pages = st.table(spark, sf, "pages")
     regions = pages.select("page_id", pg.extract_region_text(F.col("html"), F.lit(REGION_RULES)).alias("r"))
-    return regions.select("page_id", F.array_join("r.links", "|").alias("links")).filter("links <> ''")
+    return regions.select("page_id", F.array_join("r.links", "|").alias("links"), "r.block")
 
 
 @query("cap_page_links", rf"""WITH {st.SHOWN}, {st.LINKS}

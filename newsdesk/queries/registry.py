@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("sources", "projections", "relations", "novelty", "aggregates", "ranking", "scalars", "corpus", "documents", "pages", "jobs")
+MODULES = ("sources", "projections", "relations", "novelty", "aggregates", "ranking", "scalars", "corpus", "documents", "pages", "jobs", "committed")
 
 
 

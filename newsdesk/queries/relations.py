@@ -8,6 +8,7 @@ from newsdesk.functions import payloads as pl
 from newsdesk.operators import corpus, joins, threads
 from newsdesk.queries import standins as st
 from newsdesk.queries.registry import query
+from newsdesk.session import tune
 
 
 @query("semi_join_new_dates", """SELECT o_orderkey, o_orderdate FROM orders
@@ -70,13 +71,38 @@ def title_lookup(spark, sf):
     return joins.title_lookup(docs, docs.select("source"), "source", "doc_id")
 
 
-@query("anti_join_stopwords", f"""WITH {st.TOK}, {st.TOP}
-SELECT token, n FROM counts WHERE token NOT IN (SELECT token FROM stop)""")
+@query("anti_join_stopwords", r"""WITH counts AS MATERIALIZED (
+  SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents) GROUP BY token),
+stop AS MATERIALIZED (SELECT token FROM counts ORDER BY n DESC, token LIMIT 20)
+SELECT c.token, c.n FROM counts c ANTI JOIN stop s ON c.token = s.token""")
 def anti_join_stopwords(spark, sf):
     counts = st.counts(spark, sf)
     return corpus.anti_join_stopwords(counts, corpus.frequency_stopwords(counts, top_n=20))
 
 
+@query("newest_copies", """WITH newest AS (SELECT lang, source, max(doc_id) AS doc_id FROM documents GROUP BY lang, source)
+SELECT d.doc_id, n.doc_id AS landed, t.n_chars, md5(t.text) AS body FROM documents d
+JOIN newest n ON d.lang = n.lang AND d.source = n.source JOIN documents t ON t.doc_id = n.doc_id""")
+def newest_copies(spark, sf):
+    """Every document with the last one of its language and source, as if these named a page that landed again and again."""
+    docs = tune(spark).read.parquet(f"{sf}/documents.parquet")
+    landed = docs.select("lang", "source", F.col("doc_id").alias("landed"), "n_chars", "text")
+    newest = joins.newest_copies(landed, ["lang", "source"], "landed")
+    rows = joins.join_unique(docs.select("doc_id", "lang", "source"), newest, ["lang", "source"])
+    return rows.select("doc_id", "landed", "n_chars", F.md5(F.col("text").cast("binary")).alias("body"))
+
+
+@query("join_detail_newest", """SELECT d.doc_id, d.n_chars, CASE WHEN l.doc_id IS NULL THEN d.lang ELSE 'rated' || l.quality END AS lang
+FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)""")
+def join_detail_newest(spark, sf):
+    """Labels landed three times, the right ones last."""
+    topics = st.table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
+    labels = st.table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    copies = labels.withColumn("landed", F.explode(F.array(F.lit(2), F.lit(3), F.lit(1))))
+    details = copies.select("doc_id", "landed", F.when(F.col("landed") == 3, F.concat(F.lit("rated"), "quality")).otherwise(F.lit("old")).alias("lang"))
+    return joins.join_detail(topics, details, "doc_id", newest="landed").select("doc_id", "n_chars", "lang")
+
+
 def _memory(spark, sf):
     names = st.table(spark, sf, "part").select("p_name", "p_type").distinct()
     google = names.filter("p_name LIKE '%ring%'").select(F.lit("google").alias("engine"), "p_name")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsdesk.functions import pages as pg
@@ -107,13 +108,52 @@ def landed_posts(spark, sf):
     )
 
 
+@query("landed_answers", """WITH a AS (SELECT *, user_id AS u, date_trunc('day', ts) AS d, max(event_id) OVER (PARTITION BY user_id, date_trunc('day', ts)) AS newest FROM events),
+posts AS (SELECT 'post' AS kind, event_id AS id, event_type || CASE WHEN event_id = newest THEN '!' ELSE '' END AS text, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created, user_id AS author,
+  CASE WHEN event_id % 2 = 1 THEN 'https://ref.example/' || event_id END AS url, CASE WHEN event_id % 3 = 0 THEN event_id - 1 ELSE -9 END AS parent FROM a)
+SELECT * FROM posts
+UNION ALL SELECT 'user', u, 'name ' || max(newest), NULL, -9, NULL, -9 FROM a GROUP BY u
+UNION ALL SELECT 'referenced', id, text, NULL, -9, NULL, -9 FROM (SELECT event_id - 1 AS id, 'was ' || event_id AS text FROM a WHERE event_id % 3 = 0)
+UNION ALL SELECT 'refused', count(*), NULL, NULL, -9, NULL, -9 FROM (SELECT DISTINCT u, d FROM a)""")
+def landed_answers(spark, sf):
+    """One answer per user and day, written and read again: each also has an older copy of its newest post,
+    the state of its user at that time, and a line cut off in the middle."""
+    events = st.table(spark, sf, "events")
+    newest = F.max("event_id").over(Window.partitionBy("user_id", F.to_date("ts")))
+    rows = events.withColumn("newest", newest)
+    odd = F.col("event_id") % 2 == 1
+    url = F.concat(F.lit("https://ref.example/"), "event_id")
+    text = F.concat("event_type", F.when(F.col("event_id") == F.col("newest"), "!").otherwise(""))
+    post = F.struct(
+        F.col("event_id").alias("id"), text.alias("text"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"), F.col("user_id").alias("author_id"),
+        F.when(odd, F.struct(F.array(F.struct(url.alias("url"), url.alias("expanded_url"))).alias("urls"))).alias("entities"),
+        F.when(F.col("event_id") % 3 == 0, F.array(F.struct(F.lit("replied_to").alias("type"), (F.col("event_id") - 1).alias("id")))).alias("referenced_tweets"))
+    side = F.when(F.col("event_id") % 3 == 0, F.struct((F.col("event_id") - 1).alias("id"), F.concat(F.lit("was "), "event_id").alias("text")))
+    days = rows.groupBy("user_id", F.to_date("ts").alias("d")).agg(F.collect_list(post).alias("data"), F.collect_list(side).alias("tweets"), F.max("newest").alias("newest_id"))
+    user = F.struct(F.col("user_id").alias("id"), F.concat(F.lit("name "), "newest_id").alias("name"))
+    answer = lambda data, tweets, newest_id: F.to_json(F.struct(
+        data.alias("data"), F.struct(F.array(user).alias("users"), tweets.alias("tweets")).alias("includes"), F.struct(newest_id.alias("newest_id")).alias("meta")))
+    last = F.filter("data", lambda p: p["id"] == F.col("newest_id"))
+    older = F.transform(last, lambda p: p.withField("text", F.lit("old")))
+    lines = F.array(answer(F.col("data"), F.col("tweets"), F.col("newest_id")), answer(older, F.slice("tweets", 1, 0), F.lit(-5).cast("bigint")),
+                    F.substring(answer(F.col("data"), F.col("tweets"), F.col("newest_id")), 1, 30))
+    folder = st.scratch(spark)
+    days.select(F.explode(lines).alias("value")).write.text(folder)
+    found = landed.read_answers(spark, folder)
+    none = lambda *names: [(F.lit(-9).cast("bigint") if n in ("author", "parent") else F.lit(None).cast("string")).alias(n) for n in names]
+    posts = found["posts"].select(F.lit("post").alias("kind"), "id", "text", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created"), F.col("author_id").alias("author"),
+                                  F.get("entities.urls", F.lit(0))["url"].alias("url"), F.coalesce(landed.parent_of(F.col("referenced_tweets")), F.lit(-9)).alias("parent"))
+    users = found["users"].select(F.lit("user").alias("kind"), "id", F.col("name").alias("text"), *none("created", "author", "url", "parent"))
+    referenced = found["referenced"].select(F.lit("referenced").alias("kind"), "id", "text", *none("created", "author", "url", "parent"))
+    refused = found["refused"].agg(F.count("*").alias("id")).select(F.lit("refused").alias("kind"), "id", *none("text", "created", "author", "url", "parent"))
+    return posts.unionByName(users).unionByName(referenced).unionByName(refused)
+
+
 @query("page_source", """SELECT url, max(page_id) AS page_id, arg_max(length(html), page_id)::BIGINT AS n
 FROM pages GROUP BY url""")
 def page_source(spark, sf):
     pages = st.table(spark, sf, "pages")
-    newest = ranking.last_wins(pages, ["url"], "page_id", "page_id").select("page_id")
-    current = pages.join(newest, "page_id", "left_semi")
-    found = tables.landed_pages(pages.select("url").distinct(), current)
+    found = tables.landed_pages(pages.select("url").distinct(), pages.withColumn("landed_at", F.col("page_id")))
     return found.select("url", "page_id", F.length("html").cast("bigint").alias("n"))
 
 

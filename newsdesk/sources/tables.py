@@ -93,7 +93,8 @@ def with_target(df: DataFrame, *parts: str) -> DataFrame:
 
 
 def landed_pages(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
-    """The landed page of every wanted url; urls that were not collected drop out."""
-    from newsdesk.operators.joins import join_unique
+    """The landed page of every wanted url, the newest where `pages` has a column landed_at; urls that were
+    not collected drop out."""
+    from newsdesk.operators.joins import landed_rows
 
-    return join_unique(urls, pages, url)
+    return landed_rows(urls, pages, url)

@@ -4,8 +4,8 @@ A shingle is placed in a circle of UNIVERSE positions by one permutation; a seco
 as a table, is read at that position and at the next HASHES - 1 ones: coordinate k of a signature is
 the least value of the table shifted by k. Bands of the signature name buckets. Documents with equal
 shingle sets are one class from the start. The classes of a bucket are compared with its centre, and
-with each other only where exact bounds from the centre leave a link possible: copies never make all
-pairs, and no link between components is lost.
+with each other only where exact bounds from the centre and from the order of rare shingles leave a link
+possible: copies never make all pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -97,12 +97,9 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_batches(source, step, f"doc_id {kind}, key bigint, n_shingles bigint, set_id bigint, check bigint, buckets array<bigint>")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """The pairs (u, v) of set ids with the sizes of both full sets, `common`, and what v has beyond u.
-
-    `beyond` are the shingles of v outside u in the order of their hashes: all of them (`whole`), or
-    as many as any set that v could be linked with must share one of.
-    """
+def _compared(pairs: DataFrame, texts: DataFrame, shingle_words: int, beyond: bool = False) -> DataFrame:
+    """The pairs (u, v) of set ids with the sizes of both full sets and `common`; with `beyond`, also the
+    shingles of v that u lacks."""
     left = texts.select(F.col("set_id").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("set_id").alias("v"), F.col("text").alias("text_v"))
 
@@ -114,19 +111,15 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: i
         return out
 
     def step(batch: pa.RecordBatch):
-        out: dict[str, list] = {"n_u": [], "n_v": [], "common": [], "whole": [], "beyond": []}
+        out: dict[str, list] = {"n_u": [], "n_v": [], "common": [], **({"beyond": []} if beyond else {})}
         for a, b in zip(sets_of(batch.column("text_u")), sets_of(batch.column("text_v"))):
             more = np.setdiff1d(b, a, assume_unique=True)
-            common = len(b) - len(more)
-            surplus = -(-percent * len(b) // 100) - common  # a set linked with v shares so many of them
-            values = (len(a), len(b), common, surplus <= 1, more[: len(more) - max(surplus, 1) + 1].view(np.int64))
-            for name, value in zip(out, values):
+            for name, value in zip(out, (len(a), len(b), len(b) - len(more), more.view(np.int64))):
                 out[name].append(value)
-        kinds = {"whole": pa.bool_(), "beyond": pa.list_(pa.int64())}
-        yield record_batch(u=batch.column("u"), v=batch.column("v"), **{n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()})
+        yield record_batch(u=batch.column("u"), v=batch.column("v"), **{n: pa.array(v, pa.list_(pa.int64()) if n == "beyond" else pa.int64()) for n, v in out.items()})
 
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
-    return map_batches(both, step, "u bigint, v bigint, n_u bigint, n_v bigint, common bigint, whole boolean, beyond array<bigint>")
+    return map_batches(both, step, "u bigint, v bigint, n_u bigint, n_v bigint, common bigint" + ", beyond array<bigint>" * beyond)
 
 
 def classes(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -160,34 +153,56 @@ def _links(members: DataFrame, texts: DataFrame, shingle_words: int, percent: in
 
     Each bucket has a centre, the class that shares most buckets with others, and every other class
     is compared with it. Classes linked with the centre are connected. Any other link (f, m) of the
-    bucket needs common shingles: those of the centre, at most as many as either has in common with
-    it, and shared ones beyond it. Pairs that the first alone cannot rule out, and pairs that share
-    one beyond the centre and that its count cannot rule out, are compared in full.
+    bucket, f not linked with the centre, is searched among the pairs that `_candidates` leaves, and these
+    are compared in full.
     """
     mates = members.groupBy("set_id").agg(F.sum("size").alias("mates"))
     ranked = members.select("bucket", "set_id").join(store(mates), "set_id")
     centres = store(ranked.groupBy("bucket").agg(F.max(F.struct("mates", "set_id"))["set_id"].alias("u")))
     first = members.select("bucket", F.col("set_id").alias("v")).join(centres, "bucket").filter("u <> v").select("u", "v").distinct()
-    compared = store(_compared(first, texts, shingle_words, percent))
+    compared = store(_compared(first, texts, shingle_words, beyond=True))
     linked = f"100 * common >= {percent} * (n_u + n_v - common)"
+    second = _candidates(compared.withColumn("linked", F.expr(linked)), percent)
+    again = _compared(store(second), texts, shingle_words)
+    return compared.filter(linked).select("u", "v").union(store(again).filter(linked).select("u", "v"))
+
+
+def _candidates(compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of classes around one centre that may be linked, at least one of them not with the centre.
 
-    rows = compared.withColumn("linked", F.expr(linked))
+    Linked sets have need = percent / (100 + percent) * (both sizes) shingles in common: at most as many
+    of the centre's as either has, and shared ones beyond it. A set needs `least` shared ones beyond the
+    centre, whatever its partner. The shingles beyond it that nobody else has are left out and the rest put
+    in order, those that few sets around the centre share first; two linked sets then share one among all
+    but the last `least` - 1 of each, and their first shared one comes so early that enough are left
+    behind it. So sets that only share what the whole crowd does, for instance where the centre itself was
+    edited, do not meet.
+    """
+    rows = compared.withColumn("least", F.ceil(F.col("n_v") * percent / 100).cast("bigint") - F.col("common"))
     mixed = store(rows.filter("NOT linked").select("u").distinct())
-    around = store(rows.join(mixed, "u").select("u", F.col("v").alias("m"), F.col("n_v").alias("n_m"), F.col("common").alias("i_m"), "linked", "whole", "beyond"))
-    apart = around.filter("NOT linked").select("u", *[F.col(c).alias(n) for c, n in (("m", "f"), ("n_m", "n_f"), ("i_m", "i_f"), ("whole", "whole_f"), ("beyond", "beyond_f"))])
-    once = (F.col("f") != F.col("m")) & (F.col("linked") | (F.col("f") < F.col("m")))
+    around = store(rows.join(mixed, "u").select("u", "v", F.col("n_v").alias("n"), F.col("common").alias("i"), "linked", "least", "beyond"))
     enough = lambda common: (100 + percent) * common >= percent * (F.col("n_f") + F.col("n_m"))
-    near = apart.drop("beyond_f").join(around.drop("beyond"), (apart["u"] == around["u"]) & once & enough(F.least("i_f", "i_m"))).select("f", "m")
-    # A set beyond the centre by more than it may be is named by a part of what it has beyond.
-    e_f = apart.select("u", "f", "n_f", "i_f", "whole_f", F.explode("beyond_f").alias("e"))
-    e_m = around.select("u", "m", "n_m", "i_m", "linked", "whole", F.explode("beyond").alias("e"))
-    possible = enough(F.least("i_f", "i_m") + F.least(F.col("n_f") - F.col("i_f"), F.col("n_m") - F.col("i_m")))
-    shared = e_f.join(e_m, ["u", "e"]).filter(once & possible).groupBy("u", "f", "m", "n_f", "i_f", "n_m", "i_m", "whole", "whole_f").agg(F.count("*").alias("shared"))
-    counted = F.when(F.col("whole") & F.col("whole_f"), F.col("shared")).otherwise(F.least(F.col("n_f") - F.col("i_f"), F.col("n_m") - F.col("i_m")))
-    far = shared.filter(enough(F.least("i_f", "i_m") + counted)).select("f", "m")
-    second = near.union(far).select(F.least("f", "m").alias("u"), F.greatest("f", "m").alias("v")).distinct()
-    again = _compared(store(second), texts, shingle_words, percent)
-    return compared.filter(linked).select("u", "v").union(store(again).filter(linked).select("u", "v"))
+    once = (F.col("f") != F.col("m")) & (F.col("linked") | (F.col("f") < F.col("m")))
+    apart = lambda df: df.filter("NOT linked").drop("linked").withColumnsRenamed({"v": "f", "n": "n_f", "i": "i_f", "rest": "rest_f"})
+    other = lambda df: df.withColumnsRenamed({"v": "m", "n": "n_m", "i": "i_m", "rest": "rest_m"})
+    pair = lambda df: df.select(F.least("f", "m").alias("u"), F.greatest("f", "m").alias("v"))
+
+    # Sets that need nothing beyond the centre; linked ones differ in size by no more than a size class.
+    inner = around.filter("least <= 0").select("u", "v", "n", "i", "linked")
+    size_class = F.floor(F.log(F.col("n").cast("double")) / max(np.log(100 / percent), 1e-6)).cast("int")
+    near = apart(inner.withColumn("c", F.explode(F.array(size_class - 1, size_class, size_class + 1))))
+    near = near.join(other(inner.withColumn("c", size_class)), ["u", "c"]).filter(once & enough(F.least("i_f", "i_m")))
+
+    entries = around.select("u", "v", "linked", F.explode("beyond").alias("e"))
+    shared = entries.groupBy("u", "e").agg(F.count("*").alias("held"), F.count_if(~F.col("linked")).alias("held_apart")).filter("held > 1 AND held_apart > 0")
+    kept = entries.join(shared, ["u", "e"]).groupBy("u", "v").agg(F.sort_array(F.collect_list(F.struct("held", "e")))["e"].alias("order"))
+    prefixes = around.drop("beyond").join(kept, ["u", "v"]).select(
+        "u", "v", "n", "i", "linked", "least", F.size("order").alias("many"), F.posexplode("order").alias("at", "e"))
+    # `rest` shingles come behind this one: a set that needs `least` in all does not start later.
+    prefixes = store(prefixes.withColumn("rest", F.col("many") - F.col("at") - 1).filter("rest >= least - 1").drop("many", "at", "least"))
+    behind = F.least("i_f", "i_m") + 1 + F.least("rest_f", "rest_m")
+    far = apart(prefixes).join(other(prefixes), ["u", "e"]).filter(once & enough(behind))
+    return pair(near).union(pair(far)).distinct()
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:

@@ -72,6 +72,40 @@ def test_near_duplicates_keep_one(docs, rows):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, (_, c) in brute.near_duplicates(rows, 2).items() if d == c)
 
 
+def test_a_crowd_of_near_copies(spark):
+    """One large group of copies, edited a little or at the border of similarity, and parts of it."""
+    rng = random.Random(21)
+    base = prose(rng, 120).split()
+    rows = []
+    for i in range(220):
+        words = [rng.choice(VOCABULARY) if rng.random() < rng.choice([0.01, 0.03, 0.05, 0.07]) else w for w in base]
+        rows.append((i, " ".join(words[: rng.choice([120, 120, 110, 95])])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 3).collect()}
+    want = brute.near_duplicates(rows, 3)
+    assert got == want and 1 < len({c for _, c in want.values()}) < 200
+
+
+def test_candidates_around_a_centre(spark):
+    """Sets that share only what the whole crowd has beyond the centre do not meet; linked ones do."""
+    rng = random.Random(22)
+    centre = set(range(100))
+    crowd = set(range(1000, 1010))
+    sets = {}
+    for v in range(1, 121):
+        common = set(rng.sample(sorted(centre), 100 - v % 45))
+        sets[v] = common | crowd | {10_000 * v + k for k in range(v % 25)} | ({5000, 5001, 5002} if v % 7 == 0 else set())
+    rows = []
+    for v, s in sets.items():
+        common = len(s & centre)
+        rows.append((0, v, 100, len(s), common, 100 * common >= 80 * (100 + len(s) - common), sorted(s - centre)))
+    compared = spark.createDataFrame(rows, "u bigint, v bigint, n_u bigint, n_v bigint, common bigint, linked boolean, beyond array<bigint>")
+    got = {(r.u, r.v) for r in near_dedup._candidates(compared, 80).collect()}
+    apart = {v for v, r in zip(sets, rows) if not r[5]}
+    pairs = [(a, b) for a in sets for b in sets if a < b and (a in apart or b in apart)]
+    wanted = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert wanted and wanted <= got and len(got) < len(pairs) / 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 5), (200, 201), (7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

@@ -6,18 +6,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsdesk.functions import arrays as ar
-from newsdesk.operators.joins import accepted_rows
+from newsdesk.operators.joins import accepted_rows, is_narrow, join_unique
+from newsdesk.operators.ranking import numbered
 from newsdesk.session import cut_lineage, store
 
 MIN_EDGE = 100
 # Vocabularies up to this size are counted as a matrix per task, larger ones as rows.
 MATRIX_TOKENS = 2000
 MATRIX_DOCS = 2048
-TILE = 128
+# Pairs of numbers a task makes before it adds them up, and different ones it holds before it sends them.
+PAIRS_AT_ONCE = 1 << 22
+PAIRS_HELD = 1 << 24
 
 
 def cooccurrence_edges(
@@ -33,8 +38,9 @@ def cooccurrence_edges(
     An edge needs both tokens in `min_edge` rows, so rarer tokens leave before any pair is
     counted (exact).  What is left is usually a short vocabulary: its size is checked, and each task
     then sums one matrix over its documents instead of making pairs.  A longer vocabulary is
-    counted by `_pairs_by_tiles`.
+    counted by `_pairs_by_product`.
     """
+    docs = docs.filter(F.col(words).isNotNull()).withColumn(words, F.array_compact(words))
     tokens = ar.item_rows(docs.select(doc, F.array_distinct(words).alias("t")), "t", doc, item="token")
     judged = tokens.groupBy("token").agg(F.count("*").alias("n")).withColumn("ok", F.col("n") >= min_edge)
     if stopwords is not None:
@@ -43,12 +49,8 @@ def cooccurrence_edges(
     judged = cut_lineage(judged.select("token", "n", "ok"))
     listed = judged.filter("ok").select("token").limit(matrix_tokens + 1).collect()
     if len(listed) <= matrix_tokens:
-        pairs = _pairs_by_matrix(docs, words, sorted(r[0] for r in listed))
-    else:
-        # Rows are numbered once and stored, so that a repeated `doc` does not merge its rows.
-        numbered = store(docs.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(words).alias("t")))
-        pairs = _pairs_by_tiles(ar.item_rows(numbered, "t", "row", item="token"), "row", judged)
-    return pairs.filter(F.col("n") >= min_edge)
+        return _pairs_by_matrix(docs, words, sorted(r[0] for r in listed)).filter(F.col("n") >= min_edge)
+    return _pairs_by_product(docs, words, judged, min_edge)
 
 
 def _pairs_by_matrix(docs: DataFrame, words: str, vocabulary: list[str]) -> DataFrame:
@@ -79,41 +81,87 @@ def _matrix_counter(vocabulary: list[str]) -> Callable[[Iterator[pd.DataFrame]],
     return count
 
 
-def _pairs_by_tiles(tokens: DataFrame, doc: str, judged: DataFrame, tile: int = TILE) -> DataFrame:
-    """Pair counts over a long vocabulary.
+def _pairs_by_product(docs: DataFrame, words: str, judged: DataFrame, min_edge: int) -> DataFrame:
+    """Pair counts over a long vocabulary: numbered tokens, one sparse product per task, names joined last.
 
-    The frequent tokens of a document are cut into tiles; a task meets one tile against another,
-    never a whole long document against itself, and pairs are summed inside each task before the
-    shuffle.
+    The frequent tokens are numbered and every document becomes the row of its numbers. A task adds up
+    the products of its rows; what it sends is one row per pair of numbers that it has met, never one
+    per document.
     """
-    kept = accepted_rows(tokens, judged, ["token"])
-    per_doc = kept.groupBy(doc).agg(F.sort_array(F.collect_list("token")).alias("t"))
-    none = F.lit(None).cast("array<string>")
-    small = per_doc.filter(F.size("t") <= tile).select(F.col("t").alias("left"), none.alias("right"))
-    last = F.floor((F.size("t") - 1) / tile).cast("int")
-    grid = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.transform(F.sequence(i, last), lambda j: F.struct(i.alias("i"), j.alias("j"))),
-        )
-    )
-    # Long documents: one row per pair of tiles, dealt out over all tasks.
-    cut = lambda at: F.slice("t", at * tile + 1, F.lit(tile))
-    dealt = (
-        per_doc.filter(F.size("t") > tile)
-        .select(doc, "t", F.explode(grid).alias("g"))
-        .select(
-            doc, "g.i", "g.j", cut(F.col("g.i")).alias("left"),
-            F.when(F.col("g.i") != F.col("g.j"), cut(F.col("g.j"))).alias("right"),
-        )
-        .repartition(doc, "i", "j")
-        .select("left", "right")
-    )
-    blocks = small.unionByName(dealt)
-    firsts = blocks.select(F.posexplode("left").alias("p", "a"), "left", "right")
-    partners = F.coalesce(F.col("right"), F.slice("left", F.col("p") + 2, F.lit(tile)))
-    pairs = firsts.select("a", F.explode(partners).alias("b"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    names = store(numbered(judged.filter("ok").select("token"), ["token"], "id"))
+    if is_narrow(names):
+        listed = names.orderBy("id").toPandas()["token"].tolist()
+        sent = docs.sparkSession.sparkContext.broadcast(listed)
+        rows, mapped = docs.select(F.array_distinct(words).alias("t")), True
+    else:  # documents are numbered once and stored, so that a repeated id does not merge its rows
+        sent, mapped = None, False
+        stored = store(docs.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(words).alias("t")))
+        tokens = ar.item_rows(stored, "t", "row", item="token")
+        kept = accepted_rows(tokens, judged, ["token"]).join(names, "token")
+        rows = kept.groupBy("row").agg(F.collect_list("id").alias("t")).select("t")
+    pairs = rows.mapInArrow(_product_counter(sent, mapped), "a bigint, b bigint, n bigint")
+    edges = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_edge)
+    first, second = (names.select(F.col("token").alias(t), F.col("id").alias(i)) for t, i in (("x", "a"), ("y", "b")))
+    named = join_unique(join_unique(edges, first, "a", hot=0, narrow=True), second, "b", hot=0, narrow=True)
+    return named.select(F.col("x").alias("a"), F.col("y").alias("b"), "n")
+
+
+def row_pairs(ids: np.ndarray, ends: np.ndarray, most: int = PAIRS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of numbers that stand in the same row, in pieces of about `most` pairs.
+
+    Row r is ids[ends[r - 1]:ends[r]], ascending.
+    """
+    partners = np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(len(ids)) - 1
+    upto = np.cumsum(partners)
+    start = 0
+    while start < len(ids):
+        base = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, base + most, "right")))
+        many = partners[start:stop]
+        first = np.repeat(np.arange(start, stop), many)
+        second = np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many) + first + 1
+        yield ids[first], ids[second]
+        start = stop
+
+
+def _product_counter(sent, mapped: bool):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = pd.Index(sent.value) if mapped else None
+        codes, counts, waiting, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+        def merged():
+            fresh, times = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (codes[:0], counts[:0])
+            every, place = np.unique(np.concatenate([codes, fresh]), return_inverse=True)
+            total = np.zeros(len(every), np.int64)
+            np.add.at(total, place, np.concatenate([counts, times]))
+            return every, total
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(codes >> 32), pa.array(codes & 0xFFFFFFFF), pa.array(counts)], ["a", "b", "n"])
+
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten()
+            owner = np.repeat(np.arange(len(lists)), pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            ids = index.get_indexer(flat.to_pandas()) if mapped else flat.to_numpy(zero_copy_only=False)
+            owner, ids = owner[ids >= 0], ids[ids >= 0].astype(np.int64)
+            order = np.lexsort((ids, owner))
+            owner, ids = owner[order], ids[order]
+            ends = np.cumsum(np.bincount(owner, minlength=len(lists)))
+            for a, b in row_pairs(ids, ends):
+                waiting.append(a << 32 | b)
+                size += len(a)
+                if size >= PAIRS_AT_ONCE:
+                    codes, counts = merged()
+                    waiting, size = [], 0
+                    if len(codes) > PAIRS_HELD:  # sent early, summed by Spark all the same
+                        yield rows()
+                        codes, counts = codes[:0], counts[:0]
+        codes, counts = merged()
+        if len(codes):
+            yield rows()
+
+    return count
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

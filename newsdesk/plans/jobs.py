@@ -6,13 +6,14 @@ several results are made from each of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsdesk.functions import arrays as ar
 from newsdesk.functions import links as ln
 from newsdesk.functions import pages as pg
 from newsdesk.functions import payloads as pl
+from newsdesk.functions import selectors as sl
 from newsdesk.functions import text as tx
 from newsdesk.functions import times as tm
 from newsdesk.operators import cooccurrence as co
@@ -47,14 +48,21 @@ def _trend_documents(
     }
 
 
+def _article_links(html: Column, item: str | dict, limit: int) -> Column:
+    if isinstance(item, dict):
+        return sl.article_links(html, item, limit)
+    return ar.first_n(pg.element_links(html, item), limit)
+
+
 def trend_country(
     ranked: DataFrame, conf: DataFrame, search_pages: DataFrame, memory: DataFrame, engine: str,
-    title: str = "trend", reader: str = "news.", block: str = "h3",
+    title: str = "trend", reader: str = "news.", block: str | dict = "h3",
 ) -> dict[str, DataFrame]:
     """Ranked words per country with the articles found for each word.
 
     `ranked`: country, ts, rank, word; `conf`: country, search_url, pos; `search_pages`: search_url,
     word, html, and landed_at where a query was landed more than once; `memory`: engine, src, dst.
+    `block`: the elements whose first links are the articles, or a selector rule with title and url.
     """
     top = ranking.limit_rank(ranked)
     words = joins.apply_config(top, conf, "country", "search_url", "pos")
@@ -64,7 +72,7 @@ def trend_country(
     landed = joins.landed_rows(queries, search_pages, ["search_url", "word"])
     found = landed.select(
         "search_url", "word",
-        F.posexplode(ar.first_n(pg.element_links(F.col("html"), block), trends.ARTICLES_SEARCH)).alias("pos", "a"),
+        F.posexplode(_article_links(F.col("html"), block, trends.ARTICLES_SEARCH)).alias("pos", "a"),
     ).select("search_url", "word", "pos", F.col("a.title").alias("title"),
              ln.resolve_url(F.col("search_url"), F.col("a.url")).alias("url"))
     found = store(found)
@@ -78,13 +86,13 @@ def trend_country(
 
 def trend_realtime(
     ranking_pages: DataFrame, result_pages: DataFrame, feed_pages: DataFrame, rules: str, anchor: str,
-    name: str = "realtime", item: str = "li",
+    name: str = "realtime", item: str | dict = "li",
 ) -> dict[str, DataFrame]:
     """Ranked words of rendered pages, each followed to its result page and that one's news feed.
 
     Every listed word is kept; headings show the rank printed on the page, the matrix counts places.
     `ranking_pages`: name, ts, url, html; the other two: url, html, and landed_at where a url was landed
-    more than once.
+    more than once.  `item`: the elements of a feed, or a selector rule with title and url.
     """
     seen = ranking_pages.select("name", "ts", "url", pg.extract_region_text(F.col("html"), F.lit(rules)).alias("r"))
     listed = seen.select(
@@ -104,7 +112,7 @@ def trend_realtime(
     landed = joins.landed_rows(feeds.select("url").distinct(), feed_pages, "url")
     items = feeds.join(landed, "url").select(
         "link",
-        F.posexplode(ar.first_n(pg.element_links(F.col("html"), item), trends.ARTICLES_FEED)).alias("pos", "a"),
+        F.posexplode(_article_links(F.col("html"), item, trends.ARTICLES_FEED)).alias("pos", "a"),
     )
     articles = words.join(store(items), "link").select("name", "ts", "rank", "pos", "a.title", "a.url")
     shown = words.withColumns({"label": F.col("word"), "engine": F.lit("off")})

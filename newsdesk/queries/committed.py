@@ -21,7 +21,7 @@ def job_trend_country_committed(spark, sf):
     folder = st.scratch(spark)
     early = ranked.filter(F.col("ts") < F.lit(st.SPLIT).cast("timestamp_ntz"))
     for batch_id, part in enumerate((early, ranked)):
-        history = committed.trend_country(spark, folder, batch_id, part, *inputs, "google", block="li")
+        history = committed.trend_country(spark, folder, batch_id, part, *inputs, "google", block=jq.CARD_ITEM)
     day = F.date_format("ts", "yyyy-MM-dd").alias("day")
     cells = history.published("matrix").select(F.lit("cell").alias("part"), "source", day, "word", F.col("rank").cast("bigint").alias("rank"), "batch_id")
     none = F.lit(0).cast("bigint").alias("rank")
@@ -37,7 +37,7 @@ def job_trend_realtime_committed(spark, sf):
     folder = st.scratch(spark)
     even = st.table(spark, sf, "pages").filter("page_id % 2 = 0").select("url")
     for batch_id, part in enumerate((ranked.join(even, "url", "left_semi"), ranked)):
-        history = committed.trend_realtime(spark, folder, batch_id, part, results, feeds, jq.REALTIME_RULES, "the")
+        history = committed.trend_realtime(spark, folder, batch_id, part, results, feeds, jq.REALTIME_RULES, "the", item=jq.FEED_ITEM)
     cells = history.published("matrix").filter("word NOT LIKE '@%'")
     return cells.select(F.col("source").alias("name"), "word", F.col("rank").cast("bigint").alias("rank"), "batch_id")
 

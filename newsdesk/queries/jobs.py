@@ -25,6 +25,9 @@ from newsdesk.sources.matrix import Matrix
 SEARCH = "https://news.example/search"
 
 
+CARD_ITEM = {"item": "nav > ul > li", "fields": {"title": {"at": "a"}, "url": {"at": "a[href]", "take": "@href"}}}
+
+
 def country_inputs(spark, sf):
     """Ranked words, countries, landed search pages and translations: page n answers the word `u<n modulo the
     number of users>`, later pages are newer copies; memory: every third word and all `the…` titles."""
@@ -42,7 +45,7 @@ def country_inputs(spark, sf):
 
 
 def _trend_country(spark, sf):
-    return jobs.trend_country(*country_inputs(spark, sf), "google", block="li")
+    return jobs.trend_country(*country_inputs(spark, sf), "google", block=CARD_ITEM)
 
 
 COUNTRY_SQL = rf"""{st.SNAP}, {st.SHOWN},
@@ -73,6 +76,8 @@ def job_trend_country_matrix(spark, sf):
     return _trend_country(spark, sf)["matrix"].withColumn("rank", F.col("rank").cast("bigint"))
 
 
+#: Ranked entries of a feed among others: title and link are elements with classes of their own.
+FEED_ITEM = {"item": "ul.feed > li.ranked", "fields": {"title": {"at": ".title", "take": "text"}, "url": {"at": "a.more[href]", "take": "@href"}}}
 REALTIME_RULES = json.dumps({"region": "body", "links": "ul > li > a", "block": "nav", "block_no": 0})
 
 
@@ -82,12 +87,13 @@ reached AS (SELECT link, min(page_id) AS page_id FROM resolved GROUP BY link),
 anchors AS (SELECT page_id, arg_min(href, pos) AS feed FROM resolved WHERE word = 'the' GROUP BY page_id),
 feeds AS (SELECT r.link, f.page_id AS feed_page FROM reached r JOIN anchors USING (page_id)
   JOIN reached f ON f.link = regexp_extract(r.link, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || feed),
-items AS (SELECT page_id AS feed_page, string_agg({st.sql_text('markup')} || '=' || href, '|' ORDER BY pos) AS children FROM links WHERE pos < 7 GROUP BY page_id)
+items AS (SELECT page_id AS feed_page, string_agg('Story ' || page_id || ' & ' || k || '=/story/' || page_id || '/' || k, '|' ORDER BY k) AS children
+  FROM pages, range(1, 8) r(k) WHERE k <= page_id % 10 GROUP BY page_id)
 SELECT sha256(url || chr(1) || '2024-01-01 12:30:00') AS page_key, pos AS block_pos, '#' || ' : ' || word AS heading,
   coalesce(children, '') AS children
 FROM resolved LEFT JOIN feeds USING (link) LEFT JOIN items USING (feed_page)""")
 def job_trend_realtime(spark, sf):
-    blocks = jobs.trend_realtime(*realtime_inputs(spark, sf), REALTIME_RULES, "the")["blocks"]
+    blocks = jobs.trend_realtime(*realtime_inputs(spark, sf), REALTIME_RULES, "the", item=FEED_ITEM)["blocks"]
     run = "struct<rich_text:array<struct<plain_text:string,text:struct<link:struct<url:string>>>>>"
     heading = F.from_json("payload", f"heading_1 struct<rich_text:array<struct<plain_text:string>>,children:array<struct<paragraph:{run}>>>")["heading_1"]
     article = lambda c: F.concat(c["paragraph"]["rich_text"][0]["plain_text"], F.lit("="), c["paragraph"]["rich_text"][0]["text"]["link"]["url"])
@@ -105,7 +111,12 @@ def realtime_inputs(spark, sf):
         F.regexp_replace(F.regexp_replace("html", "<li><a ", "<li><b>#</b><a "), "<nav>", "<nav>now").alias("html"), "page_id")
     links = ar.item_rows(st.page_links(spark, sf), "links", "page_id", "url", item="a")
     reached = links.select(ln.resolve_url(F.col("url"), F.col("a.url")).alias("url"), "page_id")
-    landed = ranking.first_match(reached, "url", "page_id", "page_id").join(pages.select("page_id", "html"), "page_id").drop("page_id")
+    story = lambda k: F.concat(
+        F.lit('<li class="item ranked"><a class="other" href="/no">-</a><b class="big title">Story '), "page_id", F.lit(" &amp; "), k,
+        F.lit('</b><a href="/story/'), "page_id", F.lit("/"), k, F.lit('" class="more">read</a></li><li class="item"><b class="title">ad</b><a class="more" href="/ad">ad</a></li>'))
+    feed = F.array_join(F.transform(F.sequence(F.lit(1), F.col("page_id") % 10), lambda k: F.when(F.col("page_id") % 10 > 0, story(k)).otherwise("")), "")
+    with_feed = pages.select("page_id", F.concat(F.regexp_replace("html", "</body>", ""), F.lit('<ul class="feed top">'), feed, F.lit("</ul></body>")).alias("html"))
+    landed = ranking.first_match(reached, "url", "page_id", "page_id").join(with_feed, "page_id").drop("page_id")
     landed = store(landed)
     return ranking_pages.drop("page_id"), landed, landed
 

@@ -10,6 +10,7 @@ from newsdesk.queries import standins as st
 from newsdesk.queries.registry import query
 from newsdesk.sources.history import History
 from newsdesk.streaming import ingest as ing
+from newsdesk.streaming import stateful
 
 
 @query("novelty_cells", f"WITH {st.PARTS} SELECT * FROM b WHERE event_id IN ({st.FRESH})")
@@ -122,3 +123,23 @@ def incremental_ingest(spark, sf):
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type, value ORDER BY poll DESC, event_id) = 1""")
 def incremental_history(spark, sf):
     return _polls(spark, sf).current().select(*st.COMPARED)
+
+
+@query("stateful_ingest", f"""WITH ev AS (SELECT *, CASE WHEN ts < TIMESTAMP '{POLLS[0]}' THEN 0
+  WHEN ts < TIMESTAMP '{POLLS[1]}' THEN 1 ELSE 2 END AS poll_of FROM events)
+SELECT b.event_id, b.event_type, b.poll FROM ({_BOUNDS.replace("SELECT e.event_id,", "SELECT e.event_id, e.event_type,")}) b WHERE poll > 0""")
+def stateful_ingest(spark, sf):
+    """Two polls of a stream whose state begins with the values that a history had seen before."""
+    folder = st.scratch(spark)
+    events = st.table(spark, sf, "events")
+    time = [F.lit(t).cast("timestamp_ntz") for t in POLLS]
+    poll = F.when(F.col("ts") < time[0], 0).when(F.col("ts") < time[1], 1).otherwise(2).cast("bigint").alias("poll")
+    rows = events.filter(F.col("ts") < time[2]).select(*st.COMPARED, poll)
+    history = History(spark, f"{folder}/history", "event_id")
+    history.merge(rows.filter("poll = 0").drop("poll"), 0)
+    for n in (1, 2):
+        rows.filter(F.col("poll") == n).coalesce(2).write.mode("append").parquet(f"{folder}/landing")
+        stream = ing.landing(spark, f"{folder}/landing", rows.schema)
+        stateful.start(stateful.fresh_ids(stream, "event_id", ["poll"], seen=history.seen()), folder).awaitTermination()
+    landed = spark.read.schema(rows.schema).parquet(f"{folder}/landing")
+    return stateful.fresh_rows(landed, folder, "event_id").select("event_id", "event_type", "poll")

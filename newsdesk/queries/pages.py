@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsdesk.functions import arrays as ar
 from newsdesk.functions import links as ln
 from newsdesk.functions import pages as pg
+from newsdesk.functions import selectors as sl
 from newsdesk.functions import text as tx
 from newsdesk.operators import ranking
 from newsdesk.queries import standins as st
@@ -150,3 +151,30 @@ SELECT url, href FROM links QUALIFY row_number() OVER (PARTITION BY page_id ORDE
 def cap_page_links(spark, sf):
     rows = ar.item_rows(st.page_links(spark, sf), "links", "page_id", "url", item="a", pos="pos")
     return ranking.cap_per_group(rows, ["page_id"], ["pos"], 3).select("url", F.col("a.url").alias("href"))
+
+
+SELECTOR_RULES = json.dumps({
+    "nav": {"item": "nav > ul > li > a", "fields": {"text": {}, "url": {"take": "@href"}}},
+    "second": {"item": "nav li:nth(1)", "fields": {"text": {"at": "a"}, "url": {"at": "a[href^=/]", "take": "@href"}}},
+    "article": {"item": "body > article", "fields": {"text": {"at": "h1"}, "url": {"at": "p:nth(1)", "take": "text"}}},
+    "head": {"item": "html[lang]", "fields": {"text": {"take": "@lang"}, "url": {"at": "head meta[charset]", "take": "@charset"}}},
+    "news": {"item": "ul.feed li.ranked", "limit": 3, "fields": {"text": {"at": ".title"}, "url": {"at": ".more", "take": "@href"}}},
+})
+
+
+@query("select_records", rf"""WITH {st.SHOWN}, {st.LINKS},
+m AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '<p>', '</p><p>', 'g'), '(?s)<p>(.*?)(?:</p>|</article>)', 1) AS ps FROM shown)
+SELECT 'nav' AS rule, page_id, pos, {st.sql_text('markup')} AS text, href AS url FROM links
+UNION ALL SELECT 'second', page_id, 0, {st.sql_text('markup')}, href FROM links WHERE pos = 1
+UNION ALL SELECT 'article', page_id, 0, {st.sql_text("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)")}, {st.sql_text("coalesce(ps[2], '-')")} FROM shown JOIN m USING (page_id)
+UNION ALL SELECT 'head', page_id, 0, regexp_extract(html, '(?i)<html\b[^>]*\blang="([^"]*)"', 1), regexp_extract(html, '(?i)<meta\b[^>]*\bcharset="([^"]*)"', 1) FROM pages
+UNION ALL SELECT 'news', page_id, k - 1, 'Story ' || page_id || ' & ' || k, '/story/' || page_id || '/' || k FROM pages, range(1, 4) r(k) WHERE k <= page_id % 6""")
+def select_records(spark, sf):
+    """Five rules in one pass over pages that carry a feed of stories and advertisements."""
+    story = lambda k: F.concat(
+        F.lit('<li class="item ranked"><b class="big title">Story '), "page_id", F.lit(" &amp; "), k, F.lit("</b><a href='/story/"), "page_id", F.lit("/"), k,
+        F.lit("' class=more>read</a></li><li class=item><b class=title>ad</b></li>"))
+    feed = F.array_join(F.transform(F.sequence(F.lit(1), F.col("page_id") % 6), lambda k: F.when(F.col("page_id") % 6 > 0, story(k)).otherwise("")), "")
+    html = F.concat(F.regexp_replace("html", "</body>", ""), F.lit('<ul class="x feed">'), feed, F.lit("</ul></body>"))
+    pages = st.table(spark, sf, "pages").select("page_id", F.inline(sl.select_records(html, F.lit(SELECTOR_RULES))))
+    return pages.select("rule", "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("fields")["text"].alias("text"), F.coalesce(F.col("fields")["url"], F.lit("-")).alias("url"))

@@ -11,7 +11,7 @@ from newsdesk.functions import text as tx
 from newsdesk.operators import corpus, ranking, trends
 from newsdesk.queries import standins as st
 from newsdesk.queries.registry import query
-from newsdesk.sources import files, landed, sinks, tables
+from newsdesk.sources import files, landed, publisher, sinks, tables
 from newsdesk.sources.history import History
 
 
@@ -255,6 +255,27 @@ def publish_blocks(spark, sf):
     return spark.read.parquet(folder).withColumn("block_pos", F.col("block_pos").cast("bigint"))
 
 
+@query("publish_documents", f"""WITH d AS (
+  SELECT doc_id, sha256(source || chr(1) || doc_id) AS page_key,
+         list_filter(regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\n|\\r)\\z', ''), '\\r\\n|\\n|\\r'), lambda x: x <> '') AS ls
+  FROM documents),
+l AS (SELECT doc_id, page_key, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS block_pos FROM d)
+SELECT page_key, block_pos::BIGINT AS block_pos, {PARAGRAPH_BLOCK}::VARCHAR AS payload, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS run FROM l""")
+def publish_documents(spark, sf):
+    """Two runs through the document writer, the first of them written twice."""
+    folder = st.scratch(spark)
+    docs = st.table(spark, sf, "documents")
+    key = pl.page_key(F.col("source"), F.col("doc_id"))
+    body = F.transform(
+        tx.lines(F.col("text")),
+        lambda t, i: F.struct(i.alias("pos"), F.lit("paragraph").alias("kind"), t.alias("value")),
+    )
+    blocks = lambda rows: sinks.block_rows(rows, key, pl.body_blocks(key, body))
+    for run, rows in (("even", docs.filter("doc_id % 2 = 0")), ("odd", docs.filter("doc_id % 2 = 1")), ("even", docs.filter("doc_id % 2 = 0"))):
+        publisher.write_documents(blocks(rows), folder, run)
+    return publisher.read_documents(spark, folder).withColumn("block_pos", F.col("block_pos").cast("bigint"))
+
+
 @query("route_target", "SELECT 'site_' || event_type AS target, count(*) AS n FROM events GROUP BY event_type")
 def route_target(spark, sf):
     folder = st.scratch(spark)

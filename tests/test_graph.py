@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,9 +25,11 @@ def brute_edges(rows, floor, stop=()):
     return {p: n for p, n in pairs.items() if n >= floor}
 
 
-@pytest.mark.parametrize("matrix_tokens", [0, 2000])
-def test_edges(spark, matrix_tokens, monkeypatch):
-    monkeypatch.setattr(co._pairs_by_tiles, "__defaults__", (4,))
+@pytest.mark.parametrize("matrix_tokens, narrow", [(0, True), (0, False), (2000, True)])
+def test_edges(spark, matrix_tokens, narrow, monkeypatch):
+    monkeypatch.setattr(co, "PAIRS_HELD", 20)
+    monkeypatch.setattr(co, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(co, "is_narrow", lambda frame: narrow)
     rows, docs = docs_frame(spark)
     stop = spark.createDataFrame([("w0",), ("w1",)], "word string")
     got = co.cooccurrence_edges(docs, "doc", min_edge=5, matrix_tokens=matrix_tokens).collect()
@@ -35,6 +38,23 @@ def test_edges(spark, matrix_tokens, monkeypatch):
     assert {(r.a, r.b): r.n for r in got} == brute_edges(rows, 3, ("w0", "w1"))
 
 
+def test_pairs_of_rows():
+    """Pieces of any size hold every pair of numbers of a row once."""
+    rows = [[1, 4, 6], [], [2], list(range(9)), [3, 5]]
+    ids, ends = np.concatenate([np.array(r, np.int64) for r in rows]), np.cumsum([len(r) for r in rows])
+    expected = sorted(p for r in rows for p in combinations(r, 2))
+    for most in (1, 5, 1000):
+        assert sorted((int(a), int(b)) for x, y in co.row_pairs(ids, ends, most) for a, b in zip(x, y)) == expected
+
+
+def test_repeated_documents_and_missing_words(spark):
+    """Rows that repeat an id are rows each; NULL lists and words count nothing."""
+    docs = spark.createDataFrame([(1, ["a", "b", "a", None])] * 3 + [(2, None), (3, [])], "doc bigint, words array<string>")
+    for matrix_tokens in (0, 10):
+        got = co.cooccurrence_edges(docs, "doc", min_edge=2, matrix_tokens=matrix_tokens).collect()
+        assert [(r.a, r.b, r.n) for r in got] == [("a", "b", 3)]
+
+
 def test_nodes_and_communities(spark):
     # Two triangles joined by one weak edge.
     edges = spark.createDataFrame([("a", "b", 5), ("a", "c", 5), ("b", "c", 5), ("x", "y", 5), ("x", "z", 5), ("y", "z", 5), ("c", "x", 1)],

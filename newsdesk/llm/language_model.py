@@ -5,8 +5,11 @@ depend on the bucket of c(previous) (its power of two) and are learned by expect
 held-out counts: a share of the training text is left out of the counts it is predicted with.
 
 Counts never pass through a table of tokens. Documents are dealt to blocks of bounded size; a block
-sends its distinct n-gram keys, sorted and packed, to the shards of the key space. A shard adds up the
-counts of all blocks and answers each block in the order it was asked; the block then scores its texts.
+sends its distinct n-gram keys, sorted and packed, to the shards of the key space, each with its count in
+the training text and what of it lies in the held-out runs. A shard adds up the counts of all blocks and
+answers each block in the order it was asked. A block then keeps the counts of its tokens, packed, and
+the counts that its held-out tokens are predicted from; the weights are learned from the latter, and the
+former are scored with them. There are at most as many rows from a block to the shards as it has keys.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ FOLDS, TEST_FOLD = 5, 1
 BLOCK_BYTES, SHARD_BYTES = 2_500_000, 2_500_000
 #: Share of the training text held out for the weights, at every size, and the tokens of a run drawn as one.
 HELD, RUN = 0.2, 1000
-BUCKETS, ROUNDS = 40, 50
+BUCKETS, ROUNDS, TOLERANCE = 40, 100, 1e-5
 END, START = (tb.mix(np.array([n], np.uint64))[0] for n in (0xE4D, 0x57A27))
 
 
@@ -46,23 +49,33 @@ def tokens_of(words: tb.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, key, tb.mix(tb.mix(before) + key)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane, compressed: the planes of high bytes nearly vanish."""
+    planes = numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True) if n else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).reshape(-1)
+
+
 def pack(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, byte plane by byte plane, so that the zero planes compress."""
-    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Ascending keys as differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1))
+    return np.cumsum(_numbers(packed))
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _planes(counts.astype(np.uint64))
 
 
 def unpack_counts(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.int64).reshape(-1)
+    return _numbers(packed).view(np.int64)
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -70,80 +83,87 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def keyed_counts(texts: pa.Array, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of a block in order (tokens, bigrams, the start), with their training counts and
-    whether the key is a token of a training document."""
-    keys, weights, kinds = [], [], []
+def contexts_of(token: np.ndarray) -> np.ndarray:
+    """Key before each token of whole documents: the previous word, or the start."""
+    before = np.concatenate([[START], token[:-1]]).astype(np.uint64)
+    before[1:][token[:-1] == END] = START
+    return before
+
+
+def keyed_counts(texts: pa.Array, names: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Distinct keys of a block in order (tokens, bigrams, the start) and their counts in training texts:
+    `whole`, in `held`-out runs, and `led`, held-out tokens that come after the key; `word` marks tokens."""
+    keys, counts = [], {n: [] for n in ("whole", "held", "led", "word")}
+
+    def add(key, **found):
+        unique, back = np.unique(key, return_inverse=True)
+        keys.append(unique)
+        for n, into in counts.items():
+            into.append(np.bincount(back, found[n], len(unique)) if n in found else np.zeros(len(unique)))
+
     for row, words in tb.pieces(texts, lower=True):
         doc, token, bigram = tokens_of(words)
-        chosen = train[row : row + len(words.counts)]
-        for k, kind in ((token, 1), (bigram, 0)):
-            unique, back = np.unique(k, return_inverse=True)
-            keys.append(unique)
-            weights.append(np.bincount(back, chosen[doc], len(unique)))
-            kinds.append(np.full(len(unique), kind, np.int8))
-    keys.append(np.array([START], np.uint64))
-    weights.append(np.array([train.sum()], float))
-    kinds.append(np.zeros(1, np.int8))
-    key, weight, kind = np.concatenate(keys), np.concatenate(weights), np.concatenate(kinds)
-    unique, first, back = np.unique(key, return_index=True, return_inverse=True)
-    return unique, np.bincount(back, weight, len(unique)).astype(np.int64), kind[first]
+        chosen = train[row : row + len(words.counts)][doc]
+        held = held_out(names[row : row + len(words.counts)], words.counts) & chosen
+        add(token, whole=chosen, held=held, word=np.ones(len(token)))
+        add(bigram, whole=chosen, held=held)
+        add(contexts_of(token)[held], led=np.ones(int(held.sum())))
+    add(np.array([START], np.uint64), whole=np.array([train.sum()], float))
+    unique, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return unique, {n: np.bincount(back, np.concatenate(c), len(unique)).astype(np.int64) for n, c in counts.items()}
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64), BUCKETS - 1)
 
 
-def learn_weights(seen: DataFrame, total: int, vocabulary: int) -> np.ndarray:
-    """Weights (bigram, unigram, uniform) per bucket, from the counts (pair, context, single, times) of held-out tokens.
+def learn_weights(stored: DataFrame, total: int, vocabulary: int) -> np.ndarray:
+    """Weights (bigram, unigram, uniform) per bucket, from the packed counts pair, context, single of held-out
+    tokens and how many times each comes (`times`), a row per block.
 
-    Expectation-maximisation from equal weights; a bucket starts from the weights of all tokens
-    together, and one without held-out tokens keeps them. A context that was never seen has no bigram
-    estimate and gives its share to the others. A round is one aggregation to three sums per bucket.
+    Expectation-maximisation from equal weights until no weight moves by more than TOLERANCE, ROUNDS
+    rounds at most. A bucket without held-out tokens takes the weights of the next one below it that has
+    some, or above it. A context that was never seen has no bigram estimate and gives its share to the
+    others. A round is one pass over the stored counts whose tasks return three sums per bucket.
     """
-    context = F.greatest("context", F.lit(1)).cast("double")
-    # Powers of two are exact as doubles, log2 is not: the edge below or at the count names the bucket.
-    bucket = F.size(F.filter(F.lit([float(1 << b) for b in range(1, BUCKETS)]), lambda edge: edge <= context))
-    rows = seen.select(F.when(F.col("context") > 0, F.col("pair") / context).otherwise(0.0).alias("p0"), (F.col("single") / F.lit(float(max(total, 1)))).alias("p1"), "times", bucket.alias("bucket"))
     uniform = 1.0 / (vocabulary + 1)
 
-    def pack_step(batch: pa.RecordBatch):
-        yield record_batch(**{n: pa.ListArray.from_arrays([0, batch.num_rows], batch.column(n)) for n in ("p0", "p1", "times", "bucket")})
-
-    # A batch in a row: a round moves few rows, and its tasks return their sums without a shuffle.
-    packed = store(map_batches(rows, pack_step, "p0 array<double>, p1 array<double>, times array<bigint>, bucket array<int>"))
-
     def sums(weights: np.ndarray) -> np.ndarray:
         """Shares of the three parts and tokens, a row per bucket."""
 
         def step(batches):
             out = np.zeros((4, BUCKETS))
             for batch in batches:
-                p0, p1, times, at = (batch.column(n).flatten().to_numpy() for n in ("p0", "p1", "times", "bucket"))
-                shares = weights[at] * np.stack([p0, p1, np.full(len(p0), uniform)], 1)
-                shares *= (times / shares.sum(1))[:, None]
-                out += np.stack([np.bincount(at, x, BUCKETS) for x in (*shares.T, times)])
+                for row in zip(*[batch.column(n).to_pylist() for n in ("pair", "context", "single", "times")]):
+                    pair, context, single, times = (unpack_counts(x) for x in row)
+                    at = bucket_of(context)
+                    parts = (np.where(context > 0, pair / np.maximum(context, 1), 0.0), single / max(total, 1), uniform)
+                    shares = [weights[at, i] * p for i, p in enumerate(parts)]
+                    scale = times / (shares[0] + shares[1] + shares[2])
+                    for i in range(3):
+                        out[i] += np.bincount(at, shares[i] * scale, BUCKETS)
+                    out[3] += np.bincount(at, times, BUCKETS)
             yield record_batch(**{f"s{i}": pa.array([out[i]], pa.list_(pa.float64())) for i in range(4)})
 
-        found = packed.mapInArrow(step, ", ".join(f"s{i} array<double>" for i in range(4))).collect()
+        found = stored.select("pair", "context", "single", "times").mapInArrow(step, ", ".join(f"s{i} array<double>" for i in range(4))).collect()
         return np.sum([np.array(list(r)).T for r in found], axis=0) if found else np.zeros((BUCKETS, 4))
 
-    def kept(weights: np.ndarray) -> np.ndarray:
-        weights = np.maximum(weights, 1e-9)
-        return weights / weights.sum(1, keepdims=True)
-
     weights = np.full((BUCKETS, 3), 1 / 3)
-    for _ in range(ROUNDS):
-        found = sums(weights).sum(0)
-        if not found[3]:
-            return weights
-        weights = np.tile(found[:3] / found[3], (BUCKETS, 1))
-    weights = kept(weights)
     for _ in range(ROUNDS):
         found = sums(weights)
-        some = found[:, 3] > 0
-        weights[some] = found[some, :3] / found[some, 3:]
-    return kept(weights)
+        some = np.flatnonzero(found[:, 3])
+        if not len(some):
+            return weights
+        moved = found[some, :3] / found[some, 3:]
+        far = np.abs(moved - weights[some]).max()
+        weights[some] = moved
+        if far < TOLERANCE:
+            break
+    for b in np.setdiff1d(np.arange(BUCKETS), some):
+        below = some[some < b]
+        weights[b] = weights[below[-1] if len(below) else some[0]]
+    weights = np.maximum(weights, 1e-9)
+    return weights / weights.sum(1, keepdims=True)
 
 
 def log10_probabilities(pair, context, single, total, vocabulary, weights) -> np.ndarray:
@@ -161,51 +181,6 @@ def held_out(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (drawn >> np.uint64(32)) < np.uint64(int(HELD * (1 << 32)))
 
 
-def _statistics(docs: DataFrame) -> tuple[int, int, np.ndarray]:
-    """Tokens and distinct tokens of the training documents, and the weights.
-
-    One pass adds up the count of each distinct token; of the tokens, contexts and bigrams outside the
-    held-out runs; and of the held-out bigrams. Nothing but sums comes to the driver.
-    """
-
-    def step(batch: pa.RecordBatch):
-        names = batch.column("key").to_numpy().view(np.uint64)
-        for row, words in tb.pieces(batch.column("text"), lower=True):
-            _, token, bigram = tokens_of(words)
-            if not len(token):
-                continue
-            before = np.concatenate([[START], token[:-1]]).astype(np.uint64)
-            before[1:][token[:-1] == END] = START
-            held = held_out(names[row : row + len(words.counts)], words.counts)
-
-            def rows(kind: int, key: np.ndarray, chosen: np.ndarray, with_parts: bool = False):
-                """Distinct keys with their tokens, and with those of `chosen`; a bigram with its parts."""
-                unique, first, back = np.unique(key, return_index=True, return_inverse=True)
-                n = len(unique)
-                whole, other = np.bincount(back, minlength=n).astype(np.int64), np.bincount(back, chosen, n).astype(np.int64)
-                parts = {"before": before[held][first].view(np.int64), "token": token[held][first].view(np.int64)} if with_parts else {"before": pa.nulls(n, pa.int64()), "token": pa.nulls(n, pa.int64())}
-                return record_batch(kind=np.full(n, kind, np.int32), key=unique.view(np.int64), **parts, whole=whole, other=other)
-
-            yield rows(0, token, ~held)
-            yield rows(2, before[~held], np.ones(int((~held).sum()), bool))
-            if held.any():
-                yield rows(1, bigram[held], np.zeros(int(held.sum()), bool), True)
-            if not held.all():
-                batch_rows = rows(1, bigram[~held], np.ones(int((~held).sum()), bool))
-                yield batch_rows.set_column(4, "whole", pa.array(np.zeros(batch_rows.num_rows, np.int64)))
-
-    found = map_batches(docs.filter("train").select("key", "text"), step, "kind int, key bigint, before bigint, token bigint, whole bigint, other bigint")
-    counts = found.groupBy("kind", "key").agg(*[F.max(c).alias(c) for c in ("before", "token")], *[F.sum(c).alias(c) for c in ("whole", "other")])
-    counts = store(counts.filter("kind <> 1 OR whole > 0"))
-    row = counts.filter("kind = 0").agg(F.sum("whole").alias("n"), F.count("*").alias("v"), F.sum("other").alias("rest")).first()
-    total, vocabulary, rest = row["n"] or 0, row["v"], row["rest"] or 0
-    bigrams = counts.filter("kind = 1").select("before", "token", F.col("whole").alias("times"), F.col("other").alias("pair"))
-    contexts = counts.filter("kind = 2").select(F.col("key").alias("before"), F.col("other").alias("context"))
-    singles = counts.filter("kind = 0").select(F.col("key").alias("token"), F.col("other").alias("single"))
-    seen = bigrams.join(contexts, "before", "left").join(singles, "token", "left").fillna(0, ["context", "single"])
-    return total, vocabulary, learn_weights(seen.groupBy("pair", "context", "single").agg(F.sum("times").alias("times")), rest, vocabulary)
-
-
 def score(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), folds: int = FOLDS, test_fold: int = TEST_FOLD) -> DataFrame:
     """The columns `keep` of `docs`, then held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -217,66 +192,118 @@ def score(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), folds: int = FOL
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     texts = docs.select(*[F.col(c).alias(k) for c, k in kept.items()], text_of(docs).alias("text"), F.xxhash64("doc_id", "text").alias("key"),
                         (remainder(docs["doc_id"], folds) == test_fold).alias("held_out"))
-    texts = texts.withColumn("train", ~F.col("held_out"))
     sizes = texts.agg(F.sum(F.octet_length("text")).alias("all")).first()
-    total, vocabulary, weights = _statistics(texts.select("key", "text", "train"))
-
     blocks = max(1, math.ceil((sizes["all"] or 0) / BLOCK_BYTES))
     shards = max(1, math.ceil((sizes["all"] or 0) / SHARD_BYTES))
-    dealt = texts.select(*kept.values(), "text", "held_out", F.pmod(F.xxhash64(F.lit("block"), "key"), F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
-
-    def ask(table: pa.Table) -> pa.Table:
-        train = ~table.column("held_out").to_numpy(zero_copy_only=False)
-        keys, counts, _ = keyed_counts(table.column("text"), train)
-        edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-        out = {"block": [], "shard": [], "keys": [], "counts": []}
-        block = table.column("block")[0].as_py()
-        for s, (a, b) in enumerate(zip(edges, edges[1:])):
-            if b > a:
-                for name, value in zip(out, (block, s, pack(keys[a:b]), pack_counts(counts[a:b]))):
-                    out[name].append(value)
-        return pa.table({"block": pa.array(out["block"], pa.int32()), "shard": pa.array(out["shard"], pa.int32()), "keys": pa.array(out["keys"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
-
-    def answer(table: pa.Table) -> pa.Table:
-        keys = [unpack(k) for k in table.column("keys").to_pylist()]
-        unique, back = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(back, np.concatenate([unpack_counts(c) for c in table.column("counts").to_pylist()]), len(unique)).astype(np.int64)
-        out, at = [], 0
-        for k in keys:
-            out.append(pack_counts(sums[back[at : at + len(k)]]))
-            at += len(k)
-        return pa.table({"block": table.column("block"), "shard": table.column("shard"), "counts": pa.array(out, pa.binary())})
-
-    def apply(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        train = ~mine.column("held_out").to_numpy(zero_copy_only=False)
-        keys, _, _ = keyed_counts(mine.column("text"), train)
-        ordered = sorted(zip(answers.column("shard").to_pylist(), answers.column("counts").to_pylist()))
-        counts = np.concatenate([unpack_counts(c) for _, c in ordered])
-        parts: dict[str, list] = {"n_tokens": [], "n_known": [], "base": [], "score": []}
-
-        def look(k: np.ndarray) -> np.ndarray:
-            return counts[np.searchsorted(keys, k)]
-
-        start = float(look(np.array([START], np.uint64))[0])
-        for _, words in tb.pieces(mine.column("text"), lower=True):
-            doc, token, bigram = tokens_of(words)
-            n = len(words.counts)
-            unique, back = np.unique(token, return_inverse=True)
-            single = look(unique)[back].astype(float)
-            pair = look(bigram).astype(float)
-            context = np.concatenate([[start], single[:-1]])
-            context[1:][token[:-1] == END] = start
+    dealt = texts.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "key"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    asked = dealt.groupBy("block").applyInArrow(lambda table: _ask(table, shards), f"block int, shard int, {_SENT}")
+    answers = asked.groupBy("shard").applyInArrow(_answer, f"block int, shard int, {_SENT}").repartition(blocks, "block")
+    own = ", ".join(f"{k} array<{kinds[c]}>" for c, k in kept.items())
+    counted = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        lambda mine, found: _counted(mine, found, list(kept.values())),
+        f"{own}, held_out array<boolean>, sizes binary, tokens binary, pairs binary, start bigint, pair binary, context binary, single binary, times binary, total bigint, rest bigint, vocabulary bigint")
+    counted = store(counted)
+
+    row = counted.agg(*[F.sum(n).alias(n) for n in ("total", "rest", "vocabulary")]).first()
+    total, rest, vocabulary = (row[n] or 0 for n in ("total", "rest", "vocabulary"))
+    weights = learn_weights(counted.filter("sizes IS NOT NULL"), rest, vocabulary)
+
+    def apply(batch: pa.RecordBatch):
+        for row in range(batch.num_rows):
+            sizes, single, pair = (unpack_counts(batch.column(n)[row].as_py()) for n in ("sizes", "tokens", "pairs"))
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            context = np.concatenate([[0], single[:-1]])
+            context[np.cumsum(sizes) - sizes] = batch.column("start")[row].as_py()
             base = np.log10((single + 0.5) / (total + 0.5 * (vocabulary + 1)))
             logs = log10_probabilities(pair, context, single, total, vocabulary, weights)
-            parts["n_tokens"].append(np.bincount(doc, minlength=n))
-            parts["n_known"].append(np.bincount(doc, single > 0, n).astype(np.int64))
-            parts["base"].append(np.bincount(doc, base, n))
-            parts["score"].append(np.bincount(doc, logs, n))
-        done = {k: np.concatenate(v) for k, v in parts.items()}
-        return pa.table({**{k: mine.column(k) for k in kept.values()}, "held_out": mine.column("held_out"), "n_tokens": pa.array(done["n_tokens"], pa.int64()), "n_known": pa.array(done["n_known"]),
-                         "train_tokens": pa.array(np.full(len(done["base"]), total, np.int64)), "base_score": pa.array(done["base"]), "score": pa.array(done["score"])})
-
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, shard int, keys binary, counts binary")
-    answers = asked.groupBy("shard").applyInArrow(answer, "block int, shard int, counts binary").repartition(blocks, "block")
+            n = len(sizes)
+            yield record_batch(**{k: batch.column(k)[row].values for k in [*kept.values(), "held_out"]}, n_tokens=sizes, n_known=np.bincount(doc, single > 0, n).astype(np.int64),
+                               train_tokens=np.full(n, total, np.int64), base_score=np.bincount(doc, base, n), score=np.bincount(doc, logs, n))
+
     schema = ", ".join([*[f"{k} {kinds[c]}" for c, k in kept.items()], "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"])
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, schema).withColumnsRenamed({k: c for c, k in kept.items()})
+    scored = counted.filter("sizes IS NOT NULL").select(*kept.values(), "held_out", "sizes", "tokens", "pairs", "start")
+    return map_batches(scored, apply, schema).withColumnsRenamed({k: c for c, k in kept.items()})
+
+
+_SENT = "keys binary, whole binary, held binary, led binary, word binary"
+
+
+def _sent(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) or [[]] * 7
+    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "shard", "keys", "whole", "held", "led", "word"), columns, kinds)})
+
+
+def _ask(table: pa.Table, shards: int) -> pa.Table:
+    """The keys of a block with their counts, a row per shard that they fall into."""
+    train = ~table.column("held_out").to_numpy(zero_copy_only=False)
+    keys, counts = keyed_counts(table.column("text"), table.column("key").to_numpy().view(np.uint64), train)
+    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    block = table.column("block")[0].as_py()
+    return _sent([(block, s, pack(keys[a:b]), *[pack_counts(counts[n][a:b]) for n in ("whole", "held", "led", "word")]) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The counts of all blocks for the keys that each asked for; and, as the row of block -1, the shard's
+    training tokens, those outside the held-out runs, and its distinct words (in `keys`, `whole`, `held`)."""
+    keys = [unpack(k) for k in table.column("keys").to_pylist()]
+    unique, back = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = {n: np.bincount(back, np.concatenate([unpack_counts(c) for c in table.column(n).to_pylist()]), len(unique)).astype(np.int64) for n in ("whole", "held", "led", "word")}
+    shard, at, out = table.column("shard")[0].as_py(), 0, []
+    nothing = pack_counts(np.zeros(0, np.int64))
+    for block, k in zip(table.column("block").to_pylist(), keys):
+        mine = back[at : at + len(k)]
+        at += len(k)
+        out.append((block, shard, nothing, *[pack_counts(sums[n][mine]) for n in ("whole", "held", "led")], nothing))
+    word = sums["word"] > 0
+    figures = (sums["whole"][word].sum(), (sums["whole"] - sums["held"])[word].sum(), int((sums["whole"][word] > 0).sum()))
+    out.append((-1, shard, *[pack_counts(np.array([f])) for f in figures], nothing, nothing))
+    return _sent(out)
+
+
+def _counted(mine: pa.Table, answers: pa.Table, kept: list[str]) -> pa.Table:
+    """One row for a block: its documents' columns, their numbers of tokens, the counts of every token and
+    bigram, and the counts its held-out tokens are predicted from; or the sums of the shards' figures."""
+    columns = [*kept, "held_out"]
+    listed = lambda n: pa.ListArray.from_arrays([0, mine.num_rows], mine.column(n).combine_chunks())
+    blank = dict.fromkeys(("sizes", "tokens", "pairs", "pair", "context", "single", "times"))
+    figures = dict.fromkeys(("total", "rest", "vocabulary"), 0)
+
+    def table(own: dict, start: int, row: dict, sums: dict) -> pa.Table:
+        order = ("sizes", "tokens", "pairs", "start", "pair", "context", "single", "times", "total", "rest", "vocabulary")
+        values = {**row, "start": start, **sums}
+        return pa.table({**own, **{n: pa.array([values[n]], pa.int64() if n in ("start", *sums) else pa.binary()) for n in order}})
+
+    if not mine.num_rows:
+        sums = {n: int(sum(unpack_counts(x)[0] for x in answers.column(c).to_pylist())) for n, c in zip(figures, ("keys", "whole", "held"))}
+        return table({n: listed(n) for n in columns}, 0, blank, sums)
+    train = ~mine.column("held_out").to_numpy(zero_copy_only=False)
+    names = mine.column("key").to_numpy().view(np.uint64)
+    ordered = sorted(zip(answers.column("shard").to_pylist(), *[answers.column(n).to_pylist() for n in ("whole", "held", "led")]))
+    whole, held, led = (np.concatenate([unpack_counts(r[i]) for r in ordered]) for i in (1, 2, 3))
+    keys = block_keys(mine.column("text"))
+    look = lambda k: np.searchsorted(keys, k)
+    parts: dict[str, list] = {n: [] for n in ("sizes", "tokens", "pairs", "rest")}
+    for row, words in tb.pieces(mine.column("text"), lower=True):
+        doc, token, bigram = tokens_of(words)
+        unique, back = np.unique(token, return_inverse=True)
+        at, both = look(unique)[back], look(bigram)
+        parts["sizes"].append(words.counts + 1)
+        parts["tokens"].append(whole[at])
+        parts["pairs"].append(whole[both])
+        out = held_out(names[row : row + len(words.counts)], words.counts) & train[row : row + len(words.counts)][doc]
+        before = look(contexts_of(token)[out])
+        parts["rest"].append(np.stack([(whole - held)[both[out]], (whole - led)[before], (whole - held)[at[out]]], 1))
+    triples, times = np.unique(np.concatenate(parts.pop("rest")), axis=0, return_counts=True)
+    packed = {n: pack_counts(np.concatenate(v)) for n, v in parts.items()}
+    packed |= {n: pack_counts(triples[:, i]) for i, n in enumerate(("pair", "context", "single"))}
+    return table({n: listed(n) for n in columns}, int(whole[look(START)]), packed | {"times": pack_counts(times)}, figures)
+
+
+def block_keys(texts: pa.Array) -> np.ndarray:
+    """The distinct keys of a block, as `keyed_counts` has them."""
+    found = [np.array([START], np.uint64)]
+    for _, words in tb.pieces(texts, lower=True):
+        _, token, bigram = tokens_of(words)
+        found.append(np.unique(np.concatenate([token, bigram])))
+    return np.unique(np.concatenate(found))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -169,30 +170,52 @@ def test_weights_learn_from_a_share(spark, monkeypatch):
     got = {}
     learn = language_model.learn_weights
 
-    def learned(seen, total, vocabulary):
-        got["seen"], got["fixed"] = [tuple(map(int, r)) for r in seen.select("pair", "context", "single", "times").collect()], (total, vocabulary)
-        got["weights"] = learn(seen, total, vocabulary)
+    def learned(stored, total, vocabulary):
+        rows = stored.select("pair", "context", "single", "times").collect()
+        got["seen"], got["fixed"] = np.concatenate([np.stack([language_model.unpack_counts(bytes(x)) for x in r], 1) for r in rows]), (total, vocabulary)
+        got["weights"] = learn(stored, total, vocabulary)
         return got["weights"]
 
     monkeypatch.setattr(language_model, "learn_weights", learned)
-    docs = spark.createDataFrame([(0, prose(rng, 1_300_000))], "doc_id bigint, text string")
+    text = prose(rng, 300_000)
+    docs = spark.createDataFrame([(0, text)], "doc_id bigint, text string")
     row = language_model.score(docs, test_fold=9).first()
     seen, (total, vocabulary) = got["seen"], got["fixed"]
-    held = sum(r[3] for r in seen)
-    assert 0.15 < held / row.train_tokens < 0.25 and total + held == row.train_tokens and all(r[0] <= r[1] for r in seen)
-    pair, context, single, times = np.array(seen, float).T
+    held = int(seen[:, 3].sum())
+    assert 0.15 < held / row.train_tokens < 0.25 and total + held == row.train_tokens and (seen[:, 0] <= seen[:, 1]).all()
+
+    # The counts are those of the tokens outside the held-out runs.
+    words = [*brute.words(text), None]
+    key = spark.createDataFrame([(0, text)], "doc_id bigint, text string").select(F.xxhash64("doc_id", "text")).first()[0]
+    out = language_model.held_out(np.array([key]).view(np.uint64), np.array([len(words) - 1]))
+    pairs, contexts, singles, wanted = Counter(), Counter(), Counter(), Counter()
+    for a, b, h in zip(["<s>", *words], words, out):
+        if not h:
+            pairs[a, b] += 1
+            contexts[a] += 1
+            singles[b] += 1
+    for a, b, h in zip(["<s>", *words], words, out):
+        if h:
+            wanted[pairs[a, b], contexts[a], singles[b]] += 1
+    assert {tuple(r[:3]): r[3] for r in seen.tolist()} == wanted
+
+    pair, context, single, times = seen.T.astype(float)
     parts = np.stack([np.where(context > 0, pair / np.maximum(context, 1), 0), single / total, np.full(len(pair), 1 / (vocabulary + 1))], 1)
-
-    def fit(mine, weights):
-        for _ in range(language_model.ROUNDS):
-            share = parts[mine] * weights
-            weights = (share / share.sum(1, keepdims=True) * times[mine, None]).sum(0) / times[mine].sum()
-        return np.maximum(weights, 1e-9) / np.maximum(weights, 1e-9).sum()
-
-    everywhere = fit(np.ones(len(pair), bool), np.full(3, 1 / 3))
     bucket = language_model.bucket_of(context)
-    for b in range(language_model.BUCKETS):
-        assert got["weights"][b] == pytest.approx(fit(bucket == b, everywhere) if (bucket == b).any() else everywhere, rel=1e-6, abs=1e-9)
+    weights = np.full((language_model.BUCKETS, 3), 1 / 3)
+    for _ in range(language_model.ROUNDS):
+        far = 0
+        for b in np.unique(bucket):
+            mine = bucket == b
+            share = parts[mine] * weights[b]
+            moved = (share / share.sum(1, keepdims=True) * times[mine, None]).sum(0) / times[mine].sum()
+            weights[b], far = moved, max(far, np.abs(moved - weights[b]).max())
+        if far < language_model.TOLERANCE:
+            break
+    for b in np.unique(bucket):
+        assert got["weights"][b] == pytest.approx(weights[b], abs=1e-6)
+    full = np.unique(bucket)
+    assert all((got["weights"][b] == got["weights"][max(x for x in full if x < b)]).all() for b in range(full[-1] + 1, language_model.BUCKETS))
 
 
 def test_line_windows(docs, rows):

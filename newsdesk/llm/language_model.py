@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from newsdesk.llm import textbatch as tb
 from newsdesk.llm.common import map_batches, record_batch, remainder, text_of
@@ -27,10 +28,12 @@ from newsdesk.session import store
 
 FOLDS, TEST_FOLD = 5, 1
 #: Bytes of text in a block, and of text whose keys a shard holds.
-BLOCK_BYTES, SHARD_BYTES = 2_500_000, 2_500_000
+BLOCK_BYTES, SHARD_BYTES = 5_000_000, 10_000_000
+#: Bytes of text a task gathers by block before it packs them.
+GATHERED_BYTES = 64_000_000
 #: Share of the training text held out for the weights, at every size, and the tokens of a run drawn as one.
 HELD, RUN = 0.2, 1000
-BUCKETS, ROUNDS, TOLERANCE = 40, 100, 1e-5
+BUCKETS, ROUNDS, TOLERANCE = 40, 100, 1e-4
 END, START = (tb.mix(np.array([n], np.uint64))[0] for n in (0xE4D, 0x57A27))
 
 
@@ -83,34 +86,42 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def contexts_of(token: np.ndarray) -> np.ndarray:
-    """Key before each token of whole documents: the previous word, or the start."""
-    before = np.concatenate([[START], token[:-1]]).astype(np.uint64)
-    before[1:][token[:-1] == END] = START
-    return before
-
-
-def keyed_counts(texts: pa.Array, names: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Distinct keys of a block in order (tokens, bigrams, the start) and their counts in training texts:
-    `whole`, in `held`-out runs, and `led`, held-out tokens that come after the key; `word` marks tokens."""
-    keys, counts = [], {n: [] for n in ("whole", "held", "led", "word")}
-
-    def add(key, **found):
-        unique, back = np.unique(key, return_inverse=True)
-        keys.append(unique)
-        for n, into in counts.items():
-            into.append(np.bincount(back, found[n], len(unique)) if n in found else np.zeros(len(unique)))
-
-    for row, words in tb.pieces(texts, lower=True):
-        doc, token, bigram = tokens_of(words)
-        chosen = train[row : row + len(words.counts)][doc]
-        held = held_out(names[row : row + len(words.counts)], words.counts) & chosen
-        add(token, whole=chosen, held=held, word=np.ones(len(token)))
-        add(bigram, whole=chosen, held=held)
-        add(contexts_of(token)[held], led=np.ones(int(held.sum())))
-    add(np.array([START], np.uint64), whole=np.array([train.sum()], float))
-    unique, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return unique, {n: np.bincount(back, np.concatenate(c), len(unique)).astype(np.int64) for n, c in counts.items()}
+class Block:
+    """Tokens of a block's documents and their distinct keys (words, bigrams, the start), ascending.
+
+    `token`, `bigram` and `before` are the places of every token, of its bigram and of what comes before it
+    among the keys; `train` says whether its document is one to learn from, `held` whether it is held out.
+    """
+
+    def __init__(self, table: pa.Table):
+        names = table.column("key").to_numpy().view(np.uint64)
+        train = ~table.column("held_out").to_numpy(zero_copy_only=False)
+        sizes, token, bigram, held = [], [], [], []
+        for row, words in tb.pieces(table.column("text"), lower=True):
+            _, t, b = tokens_of(words)
+            sizes.append(words.counts + 1)
+            token.append(t)
+            bigram.append(b)
+            held.append(held_out(names[row : row + len(words.counts)], words.counts))
+        self.sizes = np.concatenate(sizes)
+        self.train = np.repeat(train, self.sizes)
+        self.held = np.concatenate(held) & self.train
+        n, self.texts = len(self.train), int(train.sum())
+        self.keys, places = np.unique(np.concatenate([[START], *token, *bigram]).astype(np.uint64), return_inverse=True)
+        self.start, self.token, self.bigram = places[0], places[1 : n + 1], places[n + 1 :]
+        self.before = np.concatenate([[self.start], self.token[:-1]])
+        self.before[np.cumsum(self.sizes) - self.sizes] = self.start
+
+    def counts(self) -> dict[str, np.ndarray]:
+        """Of every key: its training tokens (`whole`), those in held-out runs (`held`), the held-out tokens
+        that come after it (`led`); and whether it is a word (`word`)."""
+        many = len(self.keys)
+        count = lambda *chosen: sum(np.bincount(places, minlength=many) for places in chosen)
+        whole = count(self.token[self.train], self.bigram[self.train])
+        whole[self.start] += self.texts
+        word = np.zeros(many, np.int64)
+        word[self.token] = 1
+        return {"whole": whole, "held": count(self.token[self.held], self.bigram[self.held]), "led": count(self.before[self.held]), "word": word}
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -195,12 +206,13 @@ def score(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), folds: int = FOL
     sizes = texts.agg(F.sum(F.octet_length("text")).alias("all")).first()
     blocks = max(1, math.ceil((sizes["all"] or 0) / BLOCK_BYTES))
     shards = max(1, math.ceil((sizes["all"] or 0) / SHARD_BYTES))
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "key"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = _dealt(texts.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "key"), F.lit(blocks)).cast("int"))).repartition(blocks, "block")
     asked = dealt.groupBy("block").applyInArrow(lambda table: _ask(table, shards), f"block int, shard int, {_SENT}")
     answers = asked.groupBy("shard").applyInArrow(_answer, f"block int, shard int, {_SENT}").repartition(blocks, "block")
     own = ", ".join(f"{k} array<{kinds[c]}>" for c, k in kept.items())
+    lists = {**{k: pa.list_(to_arrow_type(docs.schema[c].dataType)) for c, k in kept.items()}, "held_out": pa.list_(pa.bool_())}
     counted = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda mine, found: _counted(mine, found, list(kept.values())),
+        lambda mine, found: _counted(mine, found, lists),
         f"{own}, held_out array<boolean>, sizes binary, tokens binary, pairs binary, start bigint, pair binary, context binary, single binary, times binary, total bigint, rest bigint, vocabulary bigint")
     counted = store(counted)
 
@@ -234,13 +246,48 @@ def _sent(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "shard", "keys", "whole", "held", "led", "word"), columns, kinds)})
 
 
+def _dealt(texts: DataFrame) -> DataFrame:
+    """(block, body): the rows of `texts` by block; a task packs what it has of a block."""
+    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+    def run(batches):
+        held: dict[int, list[pa.RecordBatch]] = {}
+        size = 0
+
+        def packed():
+            for block, parts in held.items():
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(pa.Table.from_batches(parts).combine_chunks())
+                yield record_batch(block=pa.array([block], pa.int32()), body=pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+
+        for batch in batches:
+            order = np.argsort(batch.column("block").to_numpy(), kind="stable")
+            batch = batch.take(pa.array(order))
+            block = batch.column("block").to_numpy()
+            edges = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else []
+            for a, b in zip(edges, [*edges[1:], len(block)]):
+                held.setdefault(int(block[a]), []).append(batch.slice(a, b - a))
+            size += batch.nbytes
+            if size >= GATHERED_BYTES:
+                yield from packed()
+                held, size = {}, 0
+        yield from packed()
+
+    return texts.mapInArrow(run, "block int, body binary")
+
+
+def _opened(table: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(body.as_buffer()).read_all() for body in table.column("body")]).combine_chunks()
+
+
 def _ask(table: pa.Table, shards: int) -> pa.Table:
     """The keys of a block with their counts, a row per shard that they fall into."""
-    train = ~table.column("held_out").to_numpy(zero_copy_only=False)
-    keys, counts = keyed_counts(table.column("text"), table.column("key").to_numpy().view(np.uint64), train)
-    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    mine = Block(_opened(table))
+    counts = mine.counts()
+    edges = np.searchsorted(shard_of(mine.keys, shards), np.arange(shards + 1))
     block = table.column("block")[0].as_py()
-    return _sent([(block, s, pack(keys[a:b]), *[pack_counts(counts[n][a:b]) for n in ("whole", "held", "led", "word")]) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
+    return _sent([(block, s, pack(mine.keys[a:b]), *[pack_counts(counts[n][a:b]) for n in ("whole", "held", "led", "word")]) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -261,49 +308,29 @@ def _answer(table: pa.Table) -> pa.Table:
     return _sent(out)
 
 
-def _counted(mine: pa.Table, answers: pa.Table, kept: list[str]) -> pa.Table:
+def _counted(table: pa.Table, answers: pa.Table, lists: dict[str, pa.DataType]) -> pa.Table:
     """One row for a block: its documents' columns, their numbers of tokens, the counts of every token and
     bigram, and the counts its held-out tokens are predicted from; or the sums of the shards' figures."""
-    columns = [*kept, "held_out"]
-    listed = lambda n: pa.ListArray.from_arrays([0, mine.num_rows], mine.column(n).combine_chunks())
-    blank = dict.fromkeys(("sizes", "tokens", "pairs", "pair", "context", "single", "times"))
-    figures = dict.fromkeys(("total", "rest", "vocabulary"), 0)
-
-    def table(own: dict, start: int, row: dict, sums: dict) -> pa.Table:
-        order = ("sizes", "tokens", "pairs", "start", "pair", "context", "single", "times", "total", "rest", "vocabulary")
-        values = {**row, "start": start, **sums}
-        return pa.table({**own, **{n: pa.array([values[n]], pa.int64() if n in ("start", *sums) else pa.binary()) for n in order}})
-
-    if not mine.num_rows:
-        sums = {n: int(sum(unpack_counts(x)[0] for x in answers.column(c).to_pylist())) for n, c in zip(figures, ("keys", "whole", "held"))}
-        return table({n: listed(n) for n in columns}, 0, blank, sums)
-    train = ~mine.column("held_out").to_numpy(zero_copy_only=False)
-    names = mine.column("key").to_numpy().view(np.uint64)
-    ordered = sorted(zip(answers.column("shard").to_pylist(), *[answers.column(n).to_pylist() for n in ("whole", "held", "led")]))
-    whole, held, led = (np.concatenate([unpack_counts(r[i]) for r in ordered]) for i in (1, 2, 3))
-    keys = block_keys(mine.column("text"))
-    look = lambda k: np.searchsorted(keys, k)
-    parts: dict[str, list] = {n: [] for n in ("sizes", "tokens", "pairs", "rest")}
-    for row, words in tb.pieces(mine.column("text"), lower=True):
-        doc, token, bigram = tokens_of(words)
-        unique, back = np.unique(token, return_inverse=True)
-        at, both = look(unique)[back], look(bigram)
-        parts["sizes"].append(words.counts + 1)
-        parts["tokens"].append(whole[at])
-        parts["pairs"].append(whole[both])
-        out = held_out(names[row : row + len(words.counts)], words.counts) & train[row : row + len(words.counts)][doc]
-        before = look(contexts_of(token)[out])
-        parts["rest"].append(np.stack([(whole - held)[both[out]], (whole - led)[before], (whole - held)[at[out]]], 1))
-    triples, times = np.unique(np.concatenate(parts.pop("rest")), axis=0, return_counts=True)
-    packed = {n: pack_counts(np.concatenate(v)) for n, v in parts.items()}
-    packed |= {n: pack_counts(triples[:, i]) for i, n in enumerate(("pair", "context", "single"))}
-    return table({n: listed(n) for n in columns}, int(whole[look(START)]), packed | {"times": pack_counts(times)}, figures)
-
-
-def block_keys(texts: pa.Array) -> np.ndarray:
-    """The distinct keys of a block, as `keyed_counts` has them."""
-    found = [np.array([START], np.uint64)]
-    for _, words in tb.pieces(texts, lower=True):
-        _, token, bigram = tokens_of(words)
-        found.append(np.unique(np.concatenate([token, bigram])))
-    return np.unique(np.concatenate(found))
+    names = ("sizes", "tokens", "pairs", "pair", "context", "single", "times")
+    figures = ("total", "rest", "vocabulary")
+    if table.num_rows:
+        rows = _opened(table)
+        mine = Block(rows)
+        ordered = sorted(zip(answers.column("shard").to_pylist(), *[answers.column(n).to_pylist() for n in ("whole", "held", "led")]))
+        whole, held, led = (np.concatenate([unpack_counts(r[i]) for r in ordered]) for i in (1, 2, 3))
+        out = mine.held
+        triple = ((whole - held)[mine.bigram[out]], (whole - led)[mine.before[out]], (whole - held)[mine.token[out]])
+        code = np.zeros(int(out.sum()), np.uint64)
+        for part in triple:
+            code = tb.mix(code + part.astype(np.uint64))
+        _, first, times = np.unique(code, return_index=True, return_counts=True)
+        values = [pack_counts(x) for x in (mine.sizes, whole[mine.token], whole[mine.bigram], *[part[first] for part in triple], times)]
+        start, sums = int(whole[mine.start]), [0, 0, 0]
+        listed = {n: pa.ListArray.from_arrays([0, rows.num_rows], rows.column(n).combine_chunks()) for n in lists}
+    else:
+        values, start = [None] * len(names), 0
+        sums = [int(sum(unpack_counts(x)[0] for x in answers.column(c).to_pylist())) for c in ("keys", "whole", "held")]
+        listed = {n: pa.nulls(1, kind) for n, kind in lists.items()}
+    own = {n: pa.array([v], pa.binary()) for n, v in zip(names, values)}
+    return pa.table({**listed, **{n: own[n] for n in names[:3]}, "start": pa.array([start], pa.int64()), **{n: own[n] for n in names[3:]},
+                     **{n: pa.array([v], pa.int64()) for n, v in zip(figures, sums)}})

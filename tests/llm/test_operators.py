@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +272,22 @@ def test_passages_in_crowds(spark, monkeypatch):
     assert set(range(40, 50)) <= linked
 
 
+def test_long_words_and_repeated_words(spark):
+    """Alignment goes on as far as the texts agree, however long their words; repeated words make few seeds."""
+    rng = random.Random(17)
+    words = [f"https://host.example/{'x' * 60}/{i}/{rng.random()}" for i in range(70)]
+    fuzzy = [w if i % 25 else "changed" for i, w in enumerate(words)]
+    texts = [f"{prose(rng, 30)} {' '.join(words)} {prose(rng, 30)}", f"{prose(rng, 20)} {' '.join(fuzzy)} {prose(rng, 25)}",
+             " ".join(["un"] * 300), f"{prose(rng, 10)} {' '.join(['un'] * 200)}", " ".join(["un"] * 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = chaining.passages(docs).collect()
+    pairs = {frozenset((r.doc_id, r.ref_doc_id)): r for r in got}
+    assert set(pairs) == {frozenset((0, 1)), frozenset((2, 3))} and pairs[frozenset((0, 1))].n_words >= 60
+    assert len({(r.doc_id, r.ref_doc_id) for r in got}) == 2  # no pair both ways
+    run = tb.words_of(*tb.buffers(pa.array([" ".join(["un"] * 1000)]), True))
+    assert len(chaining.seeds_of(run)[0]) < 200
+
+
 def test_chains_and_alignment():
     assert chaining.chains([(0, 10, 5), (20, 30, 5), (40, 20, 5)])[0][:4] == (0, 25, 10, 35)
     assert chaining.common_words([1, 2, 3, 4, 5], [1, 9, 3, 4, 7, 5]) == 4

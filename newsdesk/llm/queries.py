@@ -35,10 +35,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
 
 @query("op1_template_decontamination")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every contaminated document with each item it holds."""
+    """Every contaminated document with each class of items it holds."""
     return decontaminate.leaks(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+@query("benchmark_classes")
+def benchmark_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every item of the benchmark: the membership that op1's rows leave out."""
+    return decontaminate.item_classes(_table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_raked_mixture", sql.MIXTURE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weight, probability and decision of every document."""

@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+from newsdesk.llm import decontaminate
+
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -182,3 +184,70 @@ def language(docs: list[tuple], vector_of) -> dict:
             mine = bundle(text)
             out[d] = max(((lang, float((mine * p).sum() / length(mine) / length(p))) for lang, p in sorted(prototypes.items())), key=lambda x: x[1])
     return out
+
+
+def template_tokens(text: str | None) -> list[tuple]:
+    """(lower-case value, kind, opening) of the tokens of an ASCII text; a run of names is one value."""
+    text, out = text or "", []
+    before, line = None, 0
+    for m in SPLIT.finditer(text):
+        core = re.sub(r"^[^0-9A-Za-z$%]+|[^0-9A-Za-z$%]+$", "", m.group())
+        if not core:
+            continue
+        sentence = before is None or before[-1] in ".!?:" or "\n" in text[line : m.start()]
+        before, line = m.group(), m.start()
+        digit = re.search(r"\d", core)
+        capital = bool(re.fullmatch(r"[A-Z][^A-Z]+", core)) and not digit
+        kind, opening = "", False
+        if digit and (core[0].isdigit() or not re.search("[A-Za-z]", core)):
+            kind = "number"
+        elif out and out[-1][1] == "number" and core.lower() in decontaminate.UNITS:
+            kind = "unit"
+        elif capital and not sentence:
+            kind = "name"
+        else:
+            opening = capital and core.lower() not in decontaminate.OPENERS
+        if kind == "name" and out and out[-1][1] == "name":
+            out[-1] = (out[-1][0] + " " + core.lower(), "name", False)
+        else:
+            out.append((core.lower(), kind, opening))
+    return out
+
+
+def template_windows(text: str | None, lengths) -> list[tuple]:
+    """(first token, named, window, slots) of every window of the lengths."""
+    tokens, out = template_tokens(text), []
+    for n in lengths:
+        for i in range(len(tokens) - n + 1):
+            part = tokens[i : i + n]
+            plain, opening = sum(not k for _, k, _ in part), sum(o for *_, o in part)
+            if plain >= decontaminate.PLAIN:
+                out.append((i, False, ("t", *[k and f"<{k}>" or v for v, k, _ in part]), [v if k else None for v, k, _ in part]))
+            else:
+                out.append((i, False, ("l", *[v for v, _, _ in part]), [v if k else None for v, k, _ in part]))
+            if opening and plain - opening >= decontaminate.PLAIN:
+                out.append((i, True, ("n", *["<name>" if o else k and f"<{k}>" or v for v, k, o in part]), [v if k or o else None for v, k, o in part]))
+    return out
+
+
+def template_leaks(docs: list[tuple], items: list[tuple], coverage: float = 0.5) -> dict:
+    """(document, item) -> covered tokens, for every pair that reaches `coverage`."""
+    out = {}
+    for item, asked_text in items:
+        size = len(template_tokens(asked_text))
+        asked = template_windows(asked_text, [min(size, decontaminate.WINDOW)]) if size >= decontaminate.PLAIN and item is not None else []
+        for d, text in docs:
+            lines: dict = {}
+            for i, named, window, slots in template_windows(text, [min(size, decontaminate.WINDOW)]) if asked else []:
+                for at, _, other, values in asked:
+                    if window == other:
+                        for way in [True] if named else [False, True]:
+                            lines.setdefault((i - at, way), []).append((at, list(zip(values, slots))))
+            covered = set()
+            for found in lines.values():
+                pairs = {p for _, ps in found for p in ps if p[0] is not None}
+                if len(pairs) == len({a for a, _ in pairs}):
+                    covered |= {at + k for at, ps in found for k in range(len(ps))}
+            if covered and len(covered) / size >= coverage:
+                out[d, item] = len(covered)
+    return out

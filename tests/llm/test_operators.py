@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -225,6 +226,15 @@ def test_line_windows(docs, rows):
     assert {r.doc_id: r.text for r in out.collect()} == brute.line_windows(rows)
 
 
+def test_line_windows_of_long_texts(spark):
+    """Many lines, kept and removed ones alternating in runs, take time in proportion."""
+    rows = [(d, "\n".join(f"same {i}" if i % 8 < 4 else f"own {d} {i}" for i in range(40_000))) for d in range(2)]
+    begun = time.monotonic()
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0] == (rows[0][1], 0) and {d: t for d, (t, _) in got.items()} == brute.line_windows(rows)
+    assert got[1][1] == 20_000 and time.monotonic() - begun < 30
+
+
 def test_passages(docs, rows):
     text = dict(rows)
     linked = set()
@@ -298,13 +308,55 @@ def test_decontamination(spark):
     item = "If 12 boxes weigh 30 kg and Mary buys 12 more boxes how heavy are all of them together now"
     same = item.replace("12", "7").replace("30", "85").replace("Mary", "John Smith")
     mixed = same.replace("7 more", "9 more")
-    docs = spark.createDataFrame([(1, f"some words before. {item} and after"), (2, f"some words before. {same} and after"), (3, f"some words before. {mixed} and after"),
-                                  (4, "nothing of it"), (5, None), (6, ""), (7, item.upper())], "doc_id bigint, text string")
-    bench = spark.createDataFrame([(1, item), (2, None), (3, "short one"), (None, item)], "item_id bigint, text string")
-    got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.leaks(docs, bench).collect()}
-    assert set(got) >= {(1, 1), (2, 1)} and not {d for d, _ in got} & {3, 4, 5, 6}
-    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == sorted({1, 2, 3, 4, 5, 6, 7} - {d for d, _ in got})
-    assert decontaminate.clean(docs, bench.limit(0)).count() == 7
+    short = ["Compute 37 times 48", "What is 12 + 7 - 3 + 9 - 4 + 6 ?", "Tom has 5 apples. Tom buys 3 more. How many now?"]
+    rows = [(1, f"some words before. {item} and after"), (2, f"some words before. {same} and after"), (3, f"some words before. {mixed} and after"),
+            (4, "nothing of it"), (5, None), (6, ""), (7, item.lower().replace("mary", "Mary")), (8, f"one must {short[0]}, then go"), (9, short[1].lower()),
+            (10, "Ann has 7 apples. Ann buys 4 more. How many now?"), (11, "Ann has 7 apples. Bob buys 4 more. How many now?"), (12, "Compute 37 times 49"),
+            (None, f"so {item}"), (1, f"some words before. {item} and after")]
+    items = [("gsm-1", item), ("gsm-2", None), ("gsm-3", "short one"), (None, item), *zip("abc", short), ("d", short[2].replace("5", "9")), ("a", short[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(c) for c in (*EXTRA, "owner", "hash", "item_id", "class", "slots")})
+    bench = spark.createDataFrame(items, "item_id string, text string").withColumns({c: F.lit(1) for c in ("class", "owner", "doc_id", "text_key")})
+    got = {(r.doc_id, r.item_id): (r.n_covered, r.n_items) for r in decontaminate.leaks(docs, bench).collect()}
+    assert {k: v for k, (v, _) in got.items()} == {k: v for k, v in brute.template_leaks(rows, items).items() if k[1] != "d"}
+    assert set(got) == {(1, "gsm-1"), (2, "gsm-1"), (7, "gsm-1"), (None, "gsm-1"), (8, "a"), (9, "b"), (10, "c")} and got[10, "c"] == (11, 2)
+    assert {tuple(r) for r in decontaminate.item_classes(bench).collect()} == {("gsm-1", "gsm-1", 1), ("a", "a", 1), ("b", "b", 1), ("c", "c", 2), ("d", "c", 2)}
+    kept = decontaminate.clean(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 11, 12]
+    assert decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_decontamination_by_brute_force(spark):
+    """Random questions of few forms, whole or in part, with other numbers and names, in long and short texts."""
+    rng = random.Random(31)
+    forms = [["{N}", "has", "{a}", "red", "hats", "and", "buys", "{b}", "more", "of", "them.", "{N}", "sells", "{a}", "hats", "to", "{M}"],
+             ["Add", "{a}", "to", "{b}"], ["A", "train", "goes", "{a}", "km", "in", "{b}", "hours:", "how", "far", "in", "{c}", "hours?"]]
+    values = lambda: {"a": rng.randint(1, 30), "b": rng.randint(1, 30), "c": rng.randint(1, 9), "N": rng.choice(["Ann", "Bob"]), "M": rng.choice(["Zoe", "Kim Li"])}
+
+    def text():
+        words = " ".join(rng.choice(forms)).format(**values()).split()
+        words = [rng.choice(["x", "Una", "4"]) if rng.random() < 0.03 else w for w in words]
+        return " ".join(words[rng.choice([0, 0, 1, 5]) :])
+
+    items = [(i, text()) for i in range(40)]
+    plain = lambda n: " ".join(rng.choice("alpha Beta gamma. delta 17 kg".split()) for _ in range(n))
+    docs = [(i, rng.choice(["{} {} {}", "{}\n{}. {}"]).format(plain(rng.choice([0, 4, 9])), text(), plain(rng.choice([0, 5, 3000 if i == 7 else 8])))) for i in range(120)]
+    want = brute.template_leaks(docs, items)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    group = {r.item_id: r.class_item_id for r in decontaminate.item_classes(bench).collect()}
+    got = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()}
+    assert {(d, i): got.get((d, group[i])) for d, i in want} == want and len(want) > 100
+    assert set(got) == {(d, group[i]) for d, i in want}
+
+
+def test_many_items_of_one_template(spark):
+    """Items with one template meet the documents as one class."""
+    ask = "A box holds {} pens and {} books. How many things are there in {} such boxes ?"
+    items = [(i, ask.format(i + 2, 1000 + i, 5000 + i)) for i in range(300)]
+    docs = [(i, f"Solve this. {ask.format(3 * i + 7, 2000 + i, 9000 + i)}") for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_items) for r in got) == [(i, 0, 300) for i in range(300)]
+    assert {tuple(r) for r in decontaminate.item_classes(bench).collect()} == {(i, 0, 300) for i in range(300)}
 
 
 def test_mixing(docs):

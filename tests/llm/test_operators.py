@@ -374,6 +374,33 @@ def test_mixing(docs):
     assert out.filter("kept AND m_lang IS NULL").isEmpty()
 
 
+def test_mixing_to_given_targets(spark):
+    """Shares stated by the caller are reached by the weights and, in expectation, by the sample."""
+    rng = random.Random(41)
+    rows = [(i, prose(rng, 100), rng.choice(["en", "en", "en", "fr", None]), rng.choice("aaab"), 0, rng.choice(["x", "y"])) for i in range(3000)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", topic string").withColumns({c: F.lit(c) for c in ("value", "target", "factor", "m_lang", "ratio")})
+    shares = {"lang": {"en": 5.0, "fr": 4.0, "": 1.0}, "source": {"a": 0.5, "b": 0.5}}
+    out = mixing.weighted(docs.drop("m_lang"), shares, budget=0.2).toPandas()
+    mass = out.weight * out.n_tokens
+    for name, wanted in shares.items():
+        got = mass.groupby(out[f"m_{name}"]).sum() / mass.sum()
+        assert got.to_dict() == pytest.approx({v: w / sum(wanted.values()) for v, w in wanted.items()}, abs=1e-6)
+    assert (out.probability * out.n_tokens).sum() == pytest.approx(0.2 * out.n_tokens.sum())
+    kept = out[out.kept]
+    assert (kept.n_tokens.where(kept.m_lang == "fr").sum() / kept.n_tokens.sum()) == pytest.approx(0.4, abs=0.06)
+
+    only = mixing.sample(docs, {"lang": {"fr": 1.0}}, budget=0.1)
+    assert only.columns == docs.columns and {r.lang for r in only.select("lang").distinct().collect()} == {"fr"}
+
+    # What the table cannot give is said, or left out on request.
+    with pytest.raises(ValueError, match="lang 'de' 0.5000 .reached 0.0000"):
+        mixing.weighted(docs, {"lang": {"en": 0.5, "de": 0.5}})
+    assert mixing.weighted(docs, {"lang": {"en": 0.5, "de": 0.5}}, slack=None).count() == len(rows)
+    with pytest.raises(ValueError):
+        mixing.weighted(docs, {"colour": {"red": 1.0}})
+    assert mixing.weighted(docs.limit(0), shares).count() == 0
+
+
 def test_rules(docs, rows):
     for r in quality_rules.ledger(docs).collect():
         text = dict(rows)[r.doc_id] or ""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import weakref
 from html.entities import name2codepoint
 from html.parser import HTMLParser
 
@@ -147,10 +148,17 @@ def extract_cards(html: Column, card: str = "article", link_in: str = "h3") -> C
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "kids", "up")
+    """An element. It holds its children and only refers to its parent, so that a tree that was read is
+    freed at once and trees do not pile up until the garbage collector runs."""
+
+    __slots__ = ("tag", "attrs", "kids", "_up", "__weakref__")
 
     def __init__(self, tag, attrs, up):
-        self.tag, self.attrs, self.kids, self.up = tag, attrs, [], up
+        self.tag, self.attrs, self.kids, self._up = tag, attrs, [], None if up is None else weakref.ref(up)
+
+    @property
+    def up(self):
+        return None if self._up is None else self._up()
 
     def walk(self):
         """Elements below this one, in document order."""

@@ -116,7 +116,8 @@ SELECT page_id, pos, 'paragraph' AS kind, {st.sql_text('markup')} AS value FROM
 def extract_body(spark, sf):
     pages = st.table(spark, sf, "pages")
     read = pages.select("page_id", pg.extract_body(F.col("html"), F.lit(BODY_RULES)).alias("a"))
-    return read.select("page_id", F.inline("a.body")).withColumn("pos", F.col("pos").cast("bigint"))
+    rows = ar.item_rows(read.select("page_id", F.col("a.body").alias("body")), "body", "page_id", item="b")
+    return rows.select("page_id", F.col("b.pos").cast("bigint").alias("pos"), "b.kind", "b.value")
 
 
 @query("extract_tagged_cards", rf"""WITH {st.SHOWN} SELECT page_id, 'top' AS region, 0::BIGINT AS pos,

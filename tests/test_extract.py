@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import json
+import weakref
 
 from pyspark.sql import functions as F
 
@@ -175,3 +177,22 @@ def test_meta_attributes_and_cards_of_every_form(spark):
     assert (row["lang"], row["author"]) == ("de", "A & B")
     assert [c["url"] for c in row["cards"]] == [None, "/in"]
     assert [i["url"] for i in row["items"]] == ["/1", "/2", "/3"]
+
+
+def test_pages_are_parsed_once_and_freed(spark, tmp_path):
+    """One evaluation in the query's plan; a tree goes without the garbage collector."""
+    from newsdesk.queries.pages import extract_body
+
+    frame(spark, DETAIL, "<p>one<p>two").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = extract_body(spark, str(tmp_path))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.pos, r.kind, r.value) for r in rows.filter("page_id = 1").collect()] == [(0, "paragraph", "one"), (1, "paragraph", "two")]
+    gc.disable()
+    try:
+        root = pg._tree(DETAIL)
+        gone = [weakref.ref(root), *(weakref.ref(n) for n in root.walk())]
+        assert all(n.up is not None for n in root.walk())
+        del root
+        assert len(gone) > 5 and not any(ref() for ref in gone)
+    finally:
+        gc.enable()

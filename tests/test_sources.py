@@ -128,3 +128,15 @@ def test_publishing(spark, tmp_path):
     many = spark.range(4000).repartition(8).select("id", F.concat(F.lit("t"), F.col("id") % 20).alias("target"))
     sinks.write_targets(many, str(tmp_path / "many"))
     assert len(list((tmp_path / "many").glob("target=*/*.parquet"))) == 20
+
+
+def test_text_files_grow_in_number(spark, tmp_path):
+    """Documents go to files of bounded size, named in the order of their ids."""
+    from newsdesk.queries.jobs import text_files
+
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("title"), F.format_string("%0100d", "id").alias("text"))
+    text_files(docs.orderBy(F.desc("doc_id")), str(tmp_path / "xml"), 1000)
+    found = sorted((tmp_path / "xml").glob("part-*"))
+    assert len(found) > 10 and max(f.stat().st_size for f in found) < 6000
+    rows = files.xml_docs(spark, str(tmp_path / "xml")).withColumn("pos", F.struct("_metadata.file_path", F.monotonically_increasing_id()))
+    assert [int(r._VALUE) for r in rows.orderBy("pos").collect()] == list(range(200))

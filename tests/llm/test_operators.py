@@ -483,3 +483,31 @@ def test_packing():
     assert (language_model.unpack(language_model.pack(keys)) == keys).all()
     assert (language_model.unpack_counts(language_model.pack_counts(np.arange(5))) == np.arange(5)).all()
     assert (np.diff(language_model.shard_of(keys, 7)) >= 0).all()
+
+
+def test_texts_are_dealt_once(spark, docs):
+    """Joins with the dealt texts move the pairs only; the table leaves the catalog."""
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    keys = [r.key for r in keyed.select("key").distinct().limit(2).collect()]
+    row = (*keys, 0, 5, 0, 5, [])
+    pairs = chaining.store(spark.createDataFrame([row], "key bigint, r_key bigint, low int, high int, r_low int, r_high int, chains array<struct<start:int,end:int,r_start:int,r_end:int>>"))
+    with chaining._dealt(keyed.union(keyed)) as texts:
+        assert texts.count() == keyed.select("key").distinct().count()
+        joined = chaining._bodies(texts, pairs, 400)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "texts_" in line]
+        assert len(scans) == 1 and "Bucketed: true" in scans[0]
+        assert joined.count() == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
+def test_larger_crowds_meet_where_they_are_few(spark):
+    def crowd(groups, most):
+        rows = [(n, n_open) for n, n_open in groups for _ in range(n)]
+        return chaining._crowd(spark.createDataFrame(rows, "n bigint, n_open bigint"), most)
+
+    groups = [(chaining.CROWD, 9), (2 * chaining.CROWD, 1), (8 * chaining.CROWD, 4)]
+    assert crowd(groups, 0) == (chaining.CROWD, True)
+    assert crowd(groups, 11 * chaining.CROWD) == (2 * chaining.CROWD, True)
+    assert crowd(groups, 10**6) == (8 * chaining.CROWD, False)
+    assert crowd([], 10**6) == (None, False)

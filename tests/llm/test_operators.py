@@ -511,3 +511,83 @@ def test_larger_crowds_meet_where_they_are_few(spark):
     assert crowd(groups, 11 * chaining.CROWD) == (2 * chaining.CROWD, True)
     assert crowd(groups, 10**6) == (8 * chaining.CROWD, False)
     assert crowd([], 10**6) == (None, False)
+
+
+def test_levels_leave_the_lists_in_their_buckets(spark, docs):
+    """A level moves its pairs and the lists of their references, never the lists of all places."""
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    with chaining._listed(keyed.union(keyed), 3) as lists:
+        rows = {r.key: r for r in lists.collect()}
+        assert len(rows) == lists.count() > 4 and all(r.starts == sorted(set(r.starts)) for r in rows.values())
+        a, b = sorted(rows, key=lambda k: -len(rows[k].seeds))[:2]
+        pairs = chaining.store(spark.createDataFrame([(a, b, [])], "key bigint, r_key bigint, direct array<struct<start:int,r_start:int,size:int>>"))
+        chained = chaining._pair_chains(lists, pairs)
+        scans = [line for line in chained._jdf.queryExecution().executedPlan().toString().splitlines() if "lists_" in line]
+        assert len(scans) == 1 and "Bucketed: true" in scans[0]
+        places = [(rows[k].seeds, rows[k].starts, rows[k].sizes) for k in (a, b)]
+        want = chaining.chains(plain_shared(*places))
+        assert [tuple(c) for r in chained.collect() for c in r.chains] == [c[:4] for c in want]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lists_")]
+
+
+def plain_shared(left, right):
+    """The n-th place of a seed with the n-th of the reference and with its first."""
+    nth = [[(s, p[0][:i].count(s) + 1) for i, s in enumerate(p[0])] for p in (left, right)]
+    return sorted((left[1][i], right[1][j], left[2][i]) for i, (s, n) in enumerate(nth[0]) for j, (t, m) in enumerate(nth[1]) if s == t and m in {n, 1})
+
+
+def test_shared_places():
+    rng = random.Random(31)
+    for _ in range(200):
+        left, right = ([rng.randrange(6) for _ in range(rng.randrange(9))] for _ in range(2))
+        left, right = [(p, [10 * i for i in range(len(p))], [5] * len(p)) for p in (left, right)]
+        assert sorted(chaining.shared_places(*left, *right[:2])) == plain_shared(left, right)
+
+
+def test_walks_by_strides():
+    """Comparing strides of words changes neither a walk nor the words in common."""
+    rng = random.Random(32)
+
+    def walk(a, b, i, j, step):
+        best, recent = (i, j), [1] * 5
+        while 0 <= i + step < len(a) and 0 <= j + step < len(b):
+            i, j = i + step, j + step
+            recent = [*recent[1:], int(a[i] == b[j])]
+            if sum(recent) < 4:
+                return best, False, False
+            best = (i, j) if a[i] == b[j] else best
+        return best, not 0 <= i + step < len(a), not 0 <= j + step < len(b)
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+        return row[-1]
+
+    for _ in range(300):
+        a = [rng.randrange(50) for _ in range(rng.randrange(1, 90))]
+        b = [rng.randrange(50) if rng.random() < rng.choice((0.0, 0.02, 0.3)) else w for w in a][: rng.randrange(1, 95)]
+        at = rng.randrange(min(len(a), len(b)))
+        assert all(chaining.extend(a, b, at, at, step) == walk(a, b, at, at, step) for step in (1, -1))
+        b = b[: len(b) // 2] + b[len(b) // 2 + rng.randrange(3) :]
+        assert chaining.common_words(a, b) == common(a, b)
+
+
+def test_narrowed_tables_give_the_same_passages(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "CROWD", 2)
+    monkeypatch.setattr(chaining, "PAIRS_PER_PLACE", 0)
+    rng = random.Random(33)
+    line = prose(rng, 45)
+    texts = [f"{prose(rng, 20)} {line} {prose(rng, 40)}" for _ in range(12)]
+    texts += [f"{prose(rng, 20)} {line} {tail}" for tail in (prose(rng, 60), prose(rng, 60)) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out, bucketed = [], chaining._bucketed
+    for share in (0, 1):
+        made = []
+        monkeypatch.setattr(chaining, "NARROWED", share)
+        monkeypatch.setattr(chaining, "_bucketed", lambda rows, n, kind: made.append(kind) or bucketed(rows, n, kind))
+        out.append((sorted(map(tuple, chaining.passages(docs).collect())), len(made)))
+    assert out[0][0] == out[1][0] and out[0][0] and out[0][1] == 2 < out[1][1]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("lists_", "texts_"))]

@@ -282,6 +282,36 @@ def test_passages_in_crowds(spark, monkeypatch):
     assert set(range(40, 50)) <= linked
 
 
+def crowded_texts(rng, families):
+    """Texts with two lines that all of them have, in pairs that share no other seed: every sixth word around the
+    lines is another in one, and in half of the pairs a few words more stand between them."""
+    lines = [prose(rng, 12) for _ in range(2)]
+
+    def changed(words, one):
+        return " ".join(str(rng.random()) if one and i % 6 == 3 else w for i, w in enumerate(words))
+
+    texts = [f"{prose(rng, 40)} {lines[i % 2]} {prose(rng, 40)}" for i in range(30)]
+    for n in range(families):
+        parts = [prose(rng, 16 + 14 * (n % 2)).split(), prose(rng, 8).split(), prose(rng, 30).split()]
+        for one in (False, True):
+            more = prose(rng, 3) + " " if n % 4 < 2 and one else ""
+            middle = f"{more}{changed(parts[1], one)} {lines[1]}" if n % 4 < 3 else changed(parts[1], one)
+            texts.append(f"{prose(rng, 20)} {changed(parts[0], one)} {lines[0]} {middle} {changed(parts[2], one)} {prose(rng, 20)}")
+    return texts
+
+
+def test_passages_around_one_crowded_seed(spark, monkeypatch):
+    """Pairs that share nothing but crowded seeds are found as if all places of a seed were compared."""
+    texts = crowded_texts(random.Random(41), 40)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(chaining, "PAIRS_PER_PLACE", 0)
+    found = []
+    for crowd in (10**6, 2):
+        monkeypatch.setattr(chaining, "CROWD", crowd)
+        found.append({frozenset((r.doc_id, r.ref_doc_id)) for r in chaining.passages(docs).collect()})
+    assert len(found[0]) > 15 and found[0] <= found[1], f"{len(found[0] - found[1])} of {len(found[0])} lost"
+
+
 def test_long_words_and_repeated_words(spark):
     """Alignment goes on as far as the texts agree, however long their words; repeated words make few seeds."""
     rng = random.Random(17)
